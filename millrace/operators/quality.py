@@ -45,13 +45,21 @@ def _no_reasons() -> Column:
 def _flag_verdict(rules: Sequence[Rule]) -> tuple[Column, Column]:
     if not rules:
         return F.lit(VALID), _no_reasons()
-    failed = [F.when(r.failed, F.lit(r.name)) for r in rules]
-    reasons = F.array_compact(F.array(*failed))
-    # COALESCE stops at the first failure, so it can be filtered on cheaply.
-    outcome = F.when(F.coalesce(*failed).isNull(), F.lit(VALID)).otherwise(F.lit(REJECT))
+    reasons = _failed_names(rules)
+    outcome = F.when(F.size(reasons) == 0, F.lit(VALID)).otherwise(F.lit(REJECT))
     return outcome, reasons
 
 
+def _failed_names(rules: Sequence[Rule]) -> Column:
+    """Names of the rules a row fails, as an array.
+
+    ``array_remove`` compiles into the surrounding stage; ``array_compact`` and
+    ``filter``, which take a lambda, would interrupt code generation.
+    """
+    names = [F.when(r.failed, F.lit(r.name)).otherwise(F.lit("")) for r in rules]
+    return F.array_remove(F.array(*names), "")
+
+
 def _cascade_verdict(rules: Sequence[Rule]) -> tuple[Column, Column]:
     if not rules:
         return F.lit(VALID), _no_reasons()
@@ -103,11 +111,13 @@ def split(
     To write both sides, ``judge`` once, write that, and filter what was written.
     """
     rules = declared_rules(df, columns, _checked(mode))
-    rejected = rejected_rows(judge(df, columns, mode))
     if not rules:
-        return df, rejected
-    passed = [~r.failed if mode == "flag" else r.passed for r in rules]
-    return df.filter(reduce(lambda a, b: a & b, passed)), rejected
+        return df, df.filter(F.lit(False))
+    if mode == "flag":
+        valid = df.filter(reduce(lambda a, b: a & b, [~r.failed for r in rules]))
+        return valid, df.filter(reduce(lambda a, b: a | b, [r.failed for r in rules]))
+    valid = df.filter(reduce(lambda a, b: a & b, [r.passed for r in rules]))
+    return valid, df.filter(_first_outcome(rules) != LOST)
 
 
 def outcome_metrics() -> list[Column]:
@@ -136,8 +146,7 @@ def rule_counts(df: DataFrame, columns: Sequence[ColumnSpec], mode: str = "flag"
     if mode == "cascade":
         named = df.select(_first_outcome(rules).alias("rule")).filter("rule IS NOT NULL")
     else:
-        failed = F.array_compact(F.array(*[F.when(r.failed, F.lit(r.name)) for r in rules]))
-        named = df.select(F.explode(failed).alias("rule"))
+        named = df.select(F.explode(_failed_names(rules)).alias("rule"))
     return named.groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
 
 

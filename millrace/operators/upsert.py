@@ -8,13 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import RESERVED_PREFIX, col, require
+from ..functions.columns import RESERVED_PREFIX, col, orderable, require
 
 _MATCHES = RESERVED_PREFIX + "matches"
+_SPREAD = RESERVED_PREFIX + "spread"
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a match, plus all source rows.
+    """Target rows without a match, plus all source rows, with the target's columns.
 
     Because a matched row is replaced whole, that equals "matched: update all, not
     matched: insert all". As in MERGE, NULL keys never match, and it is an error for
@@ -22,46 +23,50 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     result then fails, before it commits anything.
 
     Only the distinct source keys are joined, counted map-side first, so a hot source
-    key costs one row per task. The target is the outer side, which AQE can split
-    when one of its keys is hot; target rows with a NULL key skip the join
-    altogether. Nothing is broadcast unless AQE measures the keys to be small.
+    key costs one row per task. The target is the outer side, which AQE splits when
+    one of its keys is hot. Rows with a NULL key match nothing wherever they go, so
+    they are spread over all tasks instead of meeting in one. Nothing is broadcast
+    unless AQE measures the keys to be small.
     """
-    target_keys = require(target, keys, "upsert key (target)")
-    source_keys = require(source, keys, "upsert key (source)")
-
+    names = target.columns
+    arriving = source.select(
+        *[
+            col(present).cast(field.dataType).alias(field.name)
+            for present, field in zip(require(source, names, "upsert source"), target.schema)
+        ]
+    )
+    key_names = require(target, keys, "upsert key")
+    key_columns = [col(k) for k in key_names]
+    # Grouped by the hash as well, so that the grouping's shuffle serves the join.
+    join_keys = [col(k).alias(_joined(k)) for k in key_names]
     counts = (
-        source.filter(_all_present(source_keys))
-        .groupBy(*[col(c).alias(_key(i)) for i, c in enumerate(source_keys)])
+        arriving.filter(_all_present(key_columns))
+        .select(*join_keys, F.xxhash64(*key_columns).alias(_joined(_SPREAD)))
+        .groupBy(*[col(_joined(k)) for k in [*key_names, _SPREAD]])
         .agg(F.count(F.lit(1)).alias(_MATCHES))
     )
-    matchable = target.filter(_all_present(target_keys))
-    on = [col(c) == col(_key(i)) for i, c in enumerate(target_keys)]
+    hashable = [col(f.name) for f in target.schema if orderable(f.dataType)]
+    spread = F.when(_all_present(key_columns), F.xxhash64(*key_columns)).otherwise(
+        F.xxhash64(*hashable)
+    )
+    on = [col(k) == col(_joined(k)) for k in [*key_names, _SPREAD]]
+    several = F.raise_error(F.lit("upsert: several source rows match one target row"))
     unmatched = (
-        matchable.join(counts, on, "left")
+        target.withColumn(_SPREAD, spread)
+        .join(counts, on, "left")
         .filter(
             F.when(col(_MATCHES).isNull(), F.lit(True))
             .when(col(_MATCHES) == 1, F.lit(False))
-            .otherwise(
-                F.raise_error(F.lit("upsert: several source rows match one target row")).cast(
-                    "boolean"
-                )
-            )
+            .otherwise(several.cast("boolean"))
         )
-        .select(*[col(c) for c in target.columns])
-    )
-    unmatchable = target.filter(~_all_present(target_keys))
-    arriving = source.select(
-        *[
-            col(name).cast(field.dataType).alias(field.name)
-            for name, field in zip(require(source, target.columns, "upsert source"), target.schema)
-        ]
+        .select(*[col(c) for c in names])
     )
-    return unmatched.unionByName(unmatchable).unionByName(arriving)
+    return unmatched.unionByName(arriving)
 
 
-def _key(i: int) -> str:
-    return f"{RESERVED_PREFIX}key{i}"
+def _joined(name: str) -> str:
+    return f"{RESERVED_PREFIX}source_{name}"
 
 
-def _all_present(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [col(c).isNotNull() for c in names])
+def _all_present(columns: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])

@@ -46,6 +46,7 @@ from ..sources.files import read_source
 from ..spec import DatasetSpec
 
 log = logging.getLogger(__name__)
+_LOG_LEVELS = {"info": logging.INFO, "warn": logging.WARNING, "error": logging.ERROR}
 
 
 @dataclass(frozen=True)
@@ -150,6 +151,7 @@ def run_load(
             _write_rejects(rejected_rows(judged, reasons=True), options, at, result)
         status = "SUCCESS"
     finally:
+        drop_scratch(spark, scratch)
         append_audit(
             spark,
             result.paths.audit,
@@ -161,7 +163,6 @@ def run_load(
             status,
             at.astimezone(timezone.utc).replace(tzinfo=None) if at.tzinfo else at,
         )
-        drop_scratch(spark, scratch)
     return result
 
 
@@ -179,7 +180,8 @@ def _stage(
         )
         for issue in result.schema_issues:
             if issue.issue != "ok":
-                log.warning("%s: %s column %s", spec.name, issue.issue, issue.column)
+                level = _LOG_LEVELS[issue.severity]
+                log.log(level, "%s: %s column %s", spec.name, issue.issue, issue.column)
         if options.strict:
             raise_on_error(result.schema_issues)
         metrics = conformance_metrics(tagged, spec.columns)

@@ -20,6 +20,8 @@ SHUFFLE_BYTES = 256 * MIB
 MAX_TASKS = 100_000
 #: Spark's stand-in for a size it does not know (``spark.sql.defaultSizeInBytes``).
 _UNKNOWN_BYTES = (1 << 63) - 1
+#: Partition values one task may write side by side before Spark sorts by them.
+OPEN_FILES_PER_TASK = 4
 #: Size AQE aims at when it packs or splits shuffle partitions, hence output files.
 MAX_ADVISORY_BYTES = 512 * MIB
 
@@ -111,5 +113,7 @@ def sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
         _in_bytes(spark, "spark.sql.files.maxPartitionBytes"),
         _in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes"),
     )
+    writers = int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+    values["spark.sql.maxConcurrentOutputFileWriters"] = max(writers, OPEN_FILES_PER_TASK)
     with settings(spark, values):
         yield
