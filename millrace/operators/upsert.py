@@ -37,13 +37,17 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     )
     key_names = require(target, keys, "upsert key")
     key_columns = [col(k) for k in key_names]
-    # Grouped by the hash as well, so that the grouping's shuffle serves the join.
-    join_keys = [col(k).alias(_joined(k)) for k in key_names]
+    # Joined on the hash as well, so these few keys are shuffled once more than they
+    # would have to be; AQE only splits hot target keys when the join reads shuffles.
     counts = (
         arriving.filter(_all_present(key_columns))
-        .select(*join_keys, F.xxhash64(*key_columns).alias(_joined(_SPREAD)))
-        .groupBy(*[col(_joined(k)) for k in [*key_names, _SPREAD]])
+        .groupBy(*key_columns)
         .agg(F.count(F.lit(1)).alias(_MATCHES))
+        .select(
+            *[col(k).alias(_joined(k)) for k in key_names],
+            F.xxhash64(*key_columns).alias(_joined(_SPREAD)),
+            _MATCHES,
+        )
     )
     hashable = [col(f.name) for f in target.schema if orderable(f.dataType)]
     spread = F.when(_all_present(key_columns), F.xxhash64(*key_columns)).otherwise(

@@ -1,11 +1,15 @@
 """One load of one dataset, from source files to published rows and an audit row.
 
-Data is read twice: once for the staging copy, once for the judged rows. These are
-written to shared scratch space, partitioned by outcome, so that the curated and the
-reject writer each read only their own rows and the keyed dedupe shuffles once. All
-counts come from those two writes. Each count sits in the stage that writes, behind
-the last shuffle, so tasks that are run again after losing an executor do not count
-twice.
+Data is read twice: the source for the staging copy, then the rows to be judged. A
+full load takes these from the staging copy, which holds this load and nothing else,
+already filtered and in columns; an incremental one, whose staging copy also holds
+earlier loads, from the source again.
+
+Judged rows are written to shared scratch space, partitioned by outcome, so that the
+curated and the reject writer each read only their own rows and the keyed dedupe
+shuffles once. All counts come from these two writes. Each count sits in the stage
+that writes, behind the last shuffle, so tasks that are run again after losing an
+executor do not count twice.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import find
+from ..functions.columns import col, find
 from ..functions.tags import TAG_COLUMN
 from ..operators.conform import conform_columns, mask_sensitive
 from ..operators.latest import latest_per_key
@@ -35,14 +39,14 @@ from ..operators.quality import (
     valid_rows,
 )
 from ..operators.reports import SchemaIssue, conformance_metrics, raise_on_error, schema_issues
-from ..operators.rows import keep_where, with_domicile
+from ..operators.rows import keep_where, stamp_load, with_domicile
 from ..runtime import drop_scratch, scratch_dir, sized_for
 from ..sinks.audit import append_audit
 from ..sinks.curated import read_partitioned, write_curated_files
 from ..sinks.rejects import write_rejects, write_rejects_partition
 from ..sinks.staging import write_staging
 from ..sinks.tables import publish_table, table_name
-from ..sources.files import read_source
+from ..sources.files import MALFORMED, read_source
 from ..spec import DatasetSpec
 
 log = logging.getLogger(__name__)
@@ -97,6 +101,8 @@ class LoadResult:
     valid: int | None = None
     rejected: int | None = None
     lost: int | None = None
+    #: CSV lines with text that did not fit a declared type, and was read as NULL.
+    malformed: int = 0
     rule_failures: dict[str, int] = field(default_factory=dict)
     schema_issues: list[SchemaIssue] = field(default_factory=list)
     nulls: dict[str, int] = field(default_factory=dict)
@@ -133,22 +139,27 @@ def run_load(
     """Run one full or incremental load; failures are audited, then raised."""
     if spec.table is not None and not options.full_load:
         spec.merge_keys()
-    at = options.load_ts or datetime.now(timezone.utc)
+    clock, utc = _moment(spark, options.load_ts)
     result = LoadResult(spec.name, LoadPaths.under(base_path, spec.name))
     scratch = scratch_dir(spark, f"judged-{spec.name}")
     status = "FAILED"
     try:
         source = read_source(
-            spark, spec.source_path, spec.format, spec.columns, options.csv_types
+            spark,
+            spec.source_path,
+            spec.format,
+            spec.columns,
+            options.csv_types,
+            keep_malformed=True,
         )
         with sized_for(spark, source):
             tagged = with_domicile(keep_where(source, spec.where), spec.domicile)
-            _stage(tagged, spec, options, at, result)
+            staged = _stage(tagged, spec, options, clock, result)
             single_tag = find(source, TAG_COLUMN) is None
-            judged = _judge(tagged, spec, options, scratch, result)
+            judged = _judge(staged, spec, options, scratch, result)
             _check_counts(spec, options, result)
             _publish(valid_rows(judged), spec, options, single_tag, result)
-            _write_rejects(rejected_rows(judged, reasons=True), options, at, result)
+            _write_rejects(rejected_rows(judged, reasons=True), options, clock, result)
         status = "SUCCESS"
     finally:
         drop_scratch(spark, scratch)
@@ -161,22 +172,35 @@ def run_load(
             result.valid,
             result.rejected,
             status,
-            at.astimezone(timezone.utc).replace(tzinfo=None) if at.tzinfo else at,
+            utc,
         )
     return result
 
 
+def _moment(spark: SparkSession, load_ts: datetime | None) -> tuple[datetime, datetime]:
+    """The load's wall-clock time in the session time zone, and its UTC time."""
+    if load_ts is not None and load_ts.tzinfo is None:
+        return load_ts, load_ts
+    instant = load_ts or datetime.now(timezone.utc)
+    clock = spark.sql("SELECT 1").select(F.lit(instant).cast("timestamp_ntz")).first()[0]
+    return clock, instant.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def _stage(
     tagged: DataFrame,
     spec: DatasetSpec,
     options: LoadOptions,
-    at: datetime,
+    clock: datetime,
     result: LoadResult,
-) -> None:
-    metrics = {}
+) -> DataFrame:
+    """Write the staging copy; returns the rows of this load for the next step."""
+    rows = tagged.drop(MALFORMED)
+    metrics = {"rows": F.count(F.lit(1))}
+    if MALFORMED in tagged.columns:
+        metrics["malformed"] = F.count(MALFORMED)
     if spec.check_schema:
         result.schema_issues = schema_issues(
-            tagged, spec.columns, spec.allow_extra_columns, spec.allow_missing_columns
+            rows, spec.columns, spec.allow_extra_columns, spec.allow_missing_columns
         )
         for issue in result.schema_issues:
             if issue.issue != "ok":
@@ -184,27 +208,35 @@ def _stage(
                 log.log(level, "%s: %s column %s", spec.name, issue.issue, issue.column)
         if options.strict:
             raise_on_error(result.schema_issues)
-        metrics = conformance_metrics(tagged, spec.columns)
+        metrics |= conformance_metrics(rows, spec.columns)
     seen = Observation("staged")
-    rows = F.count(F.lit(1)).alias("rows")
-    watched = tagged.observe(seen, rows, *[m.alias(name) for name, m in metrics.items()])
-    write_staging(watched, result.paths.staging, options.full_load, at)
+    watched = tagged.observe(seen, *[m.alias(name) for name, m in metrics.items()])
+    write_staging(watched.drop(MALFORMED), result.paths.staging, options.full_load, clock)
     counts = seen.get
     result.source = counts["rows"]
+    result.malformed = counts.get("malformed", 0)
+    if result.malformed:
+        log.warning("%s: %d malformed CSV lines", spec.name, result.malformed)
     for i, column in enumerate(spec.columns):
         if f"nulls_{i}" in counts:
             result.nulls[column.source] = counts[f"nulls_{i}"]
             result.bad_casts[column.source] = counts[f"bad_casts_{i}"]
+    if not options.full_load:
+        return rows
+    schema = stamp_load(rows, clock).schema
+    return read_partitioned(rows.sparkSession, result.paths.staging, schema).select(
+        *[col(c) for c in rows.columns]
+    )
 
 
 def _judge(
-    tagged: DataFrame,
+    staged: DataFrame,
     spec: DatasetSpec,
     options: LoadOptions,
     scratch: str,
     result: LoadResult,
 ) -> DataFrame:
-    conformed = conform_columns(tagged, spec.columns, options.cast_mode)
+    conformed = conform_columns(staged, spec.columns, options.cast_mode)
     rows = latest_per_key(conformed, spec.id_columns, spec.update_columns)
     judged = judge(rows, spec.columns, spec.dq_mode)
     rules = rule_names(rows, spec.columns, spec.dq_mode)
@@ -216,7 +248,7 @@ def _judge(
     counts = seen.get
     result.valid, result.rejected, result.lost = counts[VALID], counts[REJECT], counts[LOST]
     result.rule_failures = {rule: counts[rule] for rule in rules}
-    return read_partitioned(spark=tagged.sparkSession, path=scratch, schema=judged.schema)
+    return read_partitioned(staged.sparkSession, scratch, judged.schema)
 
 
 def _check_counts(spec: DatasetSpec, options: LoadOptions, result: LoadResult) -> None:
@@ -250,11 +282,11 @@ def _publish(
 
 
 def _write_rejects(
-    rejected: DataFrame, options: LoadOptions, at: datetime, result: LoadResult
+    rejected: DataFrame, options: LoadOptions, clock: datetime, result: LoadResult
 ) -> None:
     result.rejects_schema = rejected.schema
     if options.rejects_by_hour:
-        dt, hr = at.strftime("%Y-%m-%d"), at.strftime("%H")
+        dt, hr = clock.strftime("%Y-%m-%d"), clock.strftime("%H")
         write_rejects_partition(rejected, result.paths.rejects, dt, hr)
         result.rejects_schema = rejected.schema.add("dt", "string").add("hr", "string")
     else:

@@ -5,11 +5,18 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-AUDIT_SCHEMA = (
-    "dataset string, sys_level string, timestamp_utc string, src_count bigint, "
-    "curated_count bigint, rejected_count bigint, status string"
-)
+# Names, order and types of the audit columns.
+AUDIT_COLUMNS = {
+    "dataset": "string",
+    "sys_level": "string",
+    "timestamp_utc": "string",
+    "src_count": "bigint",
+    "curated_count": "bigint",
+    "rejected_count": "bigint",
+    "status": "string",
+}
 
 
 def append_audit(
@@ -26,4 +33,8 @@ def append_audit(
     """Append one row; a count is NULL when the load failed before knowing it."""
     at = at or datetime.now(timezone.utc).replace(tzinfo=None)
     row = (dataset, sys_level, at.isoformat(), src_count, curated_count, rejected_count, status)
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    values = [
+        F.lit(value).cast(dtype).alias(name)
+        for value, (name, dtype) in zip(row, AUDIT_COLUMNS.items())
+    ]
+    spark.sql("SELECT 1").select(*values).write.mode("append").parquet(path)

@@ -9,9 +9,12 @@ from pathlib import PurePath
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import quoted
+from ..functions.columns import RESERVED_PREFIX, quoted
 from ..spec import ColumnSpec, DatasetSpec
 
+#: Text of a CSV line that did not fit its declared types.
+MALFORMED = RESERVED_PREFIX + "malformed"
+
 
 def load_spec(spark: SparkSession, path: str) -> DatasetSpec:
     """Read one JSON specification from any file system Spark can reach."""
@@ -27,19 +30,27 @@ def read_source(
     file_format: str,
     columns: Sequence[ColumnSpec] = (),
     csv_types: str = "declared",
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """Scan a file or folder in any format Spark has a reader for.
 
     CSV has a header line. Its types are the declared source types when every header
     column is declared (no pass over the data), otherwise they are inferred, which
-    reads all files once more; ``csv_types="infer"`` always infers.
+    reads all files once more; ``csv_types="infer"`` always infers. Text that does
+    not fit a declared type is read as NULL; ``keep_malformed`` adds a column that
+    holds the whole line for such rows.
     """
     reader = spark.read.format(file_format)
-    if file_format.lower() == "csv":
-        reader = reader.option("header", True)
-        schema = _declared_schema(reader, path, columns) if csv_types == "declared" else None
-        reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.load(path)
+    if file_format.lower() != "csv":
+        return reader.load(path)
+    reader = reader.option("header", True)
+    schema = _declared_schema(reader, path, columns) if csv_types == "declared" else None
+    if schema is None:
+        return reader.option("inferSchema", True).load(path)
+    if keep_malformed:
+        schema += f", {MALFORMED} string"
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    return reader.schema(schema).load(path)
 
 
 def _declared_schema(
