@@ -1,0 +1,249 @@
+from __future__ import annotations
+
+import uuid
+from dataclasses import replace
+from datetime import datetime, timezone
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import ColumnSpec, DatasetSpec, LoadOptions, TableSpec, run_load
+from millrace.runtime import settings
+
+AT = datetime(2024, 3, 5, 7, 30)
+SCHEMA = "id bigint, name string, updated int, domicile string"
+ROWS = [
+    (1, "ann", 1, "eu"),
+    (1, "Ann", 2, "eu"),
+    (2, "bob", 1, None),
+    (3, None, 1, "NULL"),
+    (4, "x9", 1, "us"),
+]
+COLUMNS = (
+    ColumnSpec("id", "key", "bigint", "int", nullable=False),
+    ColumnSpec("name", "name", "string", "string", regex="^[A-Za-z]+$", sensitivity="pii"),
+    ColumnSpec("updated", "updated", "int", "int"),
+)
+
+
+@pytest.fixture
+def spec(spark, tmp_path):
+    source = str(tmp_path / "source")
+    spark.createDataFrame(ROWS, SCHEMA).write.parquet(source)
+    return DatasetSpec(
+        name="people",
+        source_path=source,
+        format="parquet",
+        columns=COLUMNS,
+        id_columns=("key",),
+        update_columns=("updated",),
+    )
+
+
+def full(**options):
+    return LoadOptions(full_load=True, load_ts=AT, **options)
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def audit(spark, result):
+    return [tuple(r) for r in spark.read.parquet(result.paths.audit).collect()]
+
+
+def test_full_load(spark, spec, folder):
+    result = run_load(spark, spec, folder, full())
+    assert (result.source, result.valid, result.rejected, result.lost) == (5, 3, 1, 0)
+    assert (result.not_published, result.loss_pct) == (2, 40.0)
+    assert result.rule_failures == {"key:null": 0, "name:regex": 1}
+    assert result.nulls == {"id": 0, "name": 1, "updated": 0}
+    assert rows(result.curated(spark), "key", "name", "domicile") == [
+        (1, "Ann", "eu"),
+        (2, "bob", "global"),
+        (3, None, "global"),
+    ]
+    assert result.curated(spark).schema["key"].dataType.simpleString() == "int"
+    assert rows(result.rejects(spark), "key", "dq_reasons") == [(4, ["name:regex"])]
+    staged = spark.read.parquet(result.paths.staging)
+    assert staged.columns == ["id", "name", "updated", "domicile", "load_dt", "load_hr"]
+    assert staged.count() == 5
+    assert audit(spark, result) == [
+        ("people", "dev", "2024-03-05T07:30:00", 5, 3, 1, "SUCCESS")
+    ]
+
+
+def test_cascade_mode_loses_undecided_rows(spark, spec, folder):
+    result = run_load(spark, replace(spec, dq_mode="cascade"), folder, full())
+    assert (result.valid, result.rejected, result.lost) == (2, 1, 1)
+    assert rows(result.curated(spark), "key") == [(1,), (2,)]
+
+
+def test_incremental_files_append(spark, spec, folder):
+    run_load(spark, spec, folder, full())
+    result = run_load(spark, spec, folder, LoadOptions(load_ts=AT))
+    assert result.curated(spark).count() == 6
+    assert spark.read.parquet(result.paths.staging).count() == 10
+    assert len(audit(spark, result)) == 2
+
+
+def test_full_load_replaces(spark, spec, folder):
+    for _ in range(2):
+        result = run_load(spark, spec, folder, full())
+    assert result.curated(spark).count() == 3
+    assert spark.read.parquet(result.paths.staging).count() == 5
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    database = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    yield TableSpec("spark_catalog", database, "people", ("domicile",), "parquet")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_incremental_table_upserts(spark, spec, table, folder, tmp_path):
+    spec = replace(spec, table=table)
+    run_load(spark, spec, folder, full())
+    batch = str(tmp_path / "batch")
+    later = [(1, "Anna", 3, "eu"), (5, "eve", 1, "us"), (2, "rob", 5, "eu")]
+    spark.createDataFrame(later, SCHEMA).write.parquet(batch)
+    result = run_load(spark, replace(spec, source_path=batch), folder, LoadOptions(load_ts=AT))
+    assert rows(result.curated(spark), "key", "name", "domicile") == [
+        (1, "Anna", "eu"),
+        (2, "bob", "global"),  # the same key under another tag is another row
+        (2, "rob", "eu"),
+        (3, None, "global"),
+        (5, "eve", "us"),
+    ]
+
+
+def test_incremental_table_load_needs_a_key(spark, spec, table, folder):
+    keyless = replace(spec, table=table, id_columns=())
+    with pytest.raises(ValueError, match="id_cols"):
+        run_load(spark, keyless, folder, LoadOptions())
+
+
+def test_rejects_of_an_earlier_run_do_not_stay(spark, spec, folder):
+    run_load(spark, spec, folder, full())
+    result = run_load(spark, replace(spec, where="id < 4"), folder, full())
+    assert result.rejected == 0 and result.rejects(spark).count() == 0
+
+
+def test_rejects_by_hour(spark, spec, folder):
+    for hour in (7, 8, 7):
+        at = datetime(2024, 3, 5, hour)
+        options = LoadOptions(full_load=True, load_ts=at, rejects_by_hour=True)
+        result = run_load(spark, spec, folder, options)
+    assert rows(result.rejects(spark), "key", "dt", "hr") == [
+        (4, "2024-03-05", "07"),
+        (4, "2024-03-05", "08"),
+    ]
+
+
+def test_masking_comes_after_the_rules(spark, spec, folder):
+    result = run_load(spark, spec, folder, full(mask=True))
+    assert {r.name for r in result.curated(spark).collect()} == {"********"}
+    assert rows(result.rejects(spark), "name", "dq_reasons") == [("********", ["name:regex"])]
+
+
+def test_failure_is_audited_and_leaves_no_scratch(spark, spec, folder):
+    broken = replace(spec, id_columns=("nope",))
+    with pytest.raises(ValueError, match="dedupe key"):
+        run_load(spark, broken, folder, full())
+    trail = [tuple(r)[3:] for r in spark.read.parquet(f"{folder}/audit").collect()]
+    assert trail == [(5, None, None, "FAILED")]
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "millrace"
+    assert not list(shared.glob("judged-people-*"))
+
+
+def test_strict(spark, spec, folder):
+    missing = replace(spec, columns=(*COLUMNS, ColumnSpec("zip", "zip", "int", "int")))
+    assert run_load(spark, missing, folder, full()).schema_issues[-2].issue == "missing"
+    with pytest.raises(ValueError, match="missing columns: zip"):
+        run_load(spark, missing, folder, full(strict=True))
+    with pytest.raises(ValueError, match="2 of 5 rows"):
+        run_load(spark, spec, folder, full(strict=True))
+    unchecked = replace(spec, check_row_count=False, check_schema=False)
+    assert run_load(spark, unchecked, folder, full(strict=True)).schema_issues == []
+
+
+def test_empty_source(spark, spec, folder):
+    result = run_load(spark, replace(spec, where="id < 0"), folder, full())
+    assert (result.source, result.valid, result.rejected, result.loss_pct) == (0, 0, 0, 0.0)
+    assert result.curated(spark).count() == 0
+    assert audit(spark, result)[0][3:] == (0, 0, 0, "SUCCESS")
+
+
+def test_untagged_source_gets_the_datasets_tag(spark, spec, folder, tmp_path):
+    source = str(tmp_path / "untagged")
+    spark.createDataFrame(ROWS, SCHEMA).drop("domicile").write.parquet(source)
+    result = run_load(spark, replace(spec, source_path=source, domicile="emea"), folder, full())
+    assert rows(result.curated(spark).select("domicile").distinct(), "domicile") == [("emea",)]
+
+
+def test_stamps_use_the_session_zone_and_audit_uses_utc(spark, spec, folder):
+    at = datetime(2024, 3, 5, 23, 30, tzinfo=timezone.utc)
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        options = LoadOptions(full_load=True, load_ts=at, rejects_by_hour=True)
+        result = run_load(spark, spec, folder, options)
+        staged = spark.read.parquet(result.paths.staging)
+        assert [tuple(map(str, r)) for r in staged.select("load_dt", "load_hr").distinct().collect()] == [
+            ("2024-03-06", "8")
+        ]
+    assert rows(result.rejects(spark), "dt", "hr") == [("2024-03-06", "08")]
+    assert audit(spark, result)[0][2] == "2024-03-05T23:30:00"
+
+
+# --- CSV -----------------------------------------------------------------------
+
+CSV_COLUMNS = (
+    ColumnSpec("code", "code", "string", "string"),
+    ColumnSpec("n", "n", "int", "int"),
+)
+
+
+@pytest.fixture
+def csv_spec(tmp_path):
+    file = tmp_path / "in.csv"
+    file.write_text("code,n\n001,1\n002,2\n003,x\n")
+    return DatasetSpec(name="codes", source_path=str(file), format="csv", columns=CSV_COLUMNS)
+
+
+def test_declared_csv_types(spark, csv_spec, folder):
+    result = run_load(spark, csv_spec, folder, full())
+    assert rows(result.curated(spark), "code", "n") == [("001", 1), ("002", 2), ("003", None)]
+    assert result.malformed == 1
+    assert spark.read.parquet(result.paths.staging).columns == [
+        "code",
+        "n",
+        "domicile",
+        "load_dt",
+        "load_hr",
+    ]
+
+
+def test_inferred_csv_types(spark, csv_spec, folder):
+    result = run_load(spark, csv_spec, folder, full(csv_types="infer"))
+    assert rows(result.curated(spark), "code", "n") == [(1, "1"), (2, "2"), (3, "x")]
+    undeclared = replace(csv_spec, columns=CSV_COLUMNS[:1])
+    result = run_load(spark, undeclared, folder, full())
+    assert rows(result.curated(spark), "code", "n") == [(1, "1"), (2, "2"), (3, "x")]
+
+
+def test_incremental_csv_reads_the_source_again(spark, csv_spec, folder):
+    result = run_load(spark, csv_spec, folder, LoadOptions(load_ts=AT))
+    assert result.malformed == 1 and result.valid == 3
+    assert rows(result.curated(spark), "code", "n")[2] == ("003", None)
+
+
+def test_wide_row(spark, folder, tmp_path):
+    """Hundreds of declared columns stay one projection and one pass."""
+    source = str(tmp_path / "wide")
+    names = [f"c{i}" for i in range(300)]
+    spark.range(5).select(*[F.col("id").alias(n) for n in names]).write.parquet(source)
+    columns = tuple(ColumnSpec(n, n.upper() + "_", "bigint", "string") for n in names)
+    spec = DatasetSpec("wide", source, "parquet", columns, id_columns=("C0_",), update_columns=("C1_",))
+    result = run_load(spark, spec, folder, full())
+    assert result.valid == 5 and len(result.curated(spark).columns) == 301
