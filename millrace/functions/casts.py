@@ -1,14 +1,34 @@
-"""Casts that do not stop a load."""
+"""Casts that do not stop a load.
+
+``try_cast`` gives NULL for a value that does not fit, but finds out by raising and
+catching an exception: some 10 to 15 microseconds a value, fifty times the cost of a
+cast that works. ``convert`` therefore first asks a comparison that every convertible
+value passes, and leaves only the values that pass to ``try_cast``.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CAST_MODES = ("try", "session")
 
+_INTEGRAL_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+#: Slack of the range tests, which compare as doubles; values inside it are tried.
+_SLACK = 1.001
+
+# First letters of text that is a special number or a truth value.
+_NUMBER_WORDS = "IiNn"
+_TRUTH_WORDS = "TtYyFfNn"
 
-def convert(value: Column, target_type: str, mode: str = "try") -> Column:
-    """``value`` as ``target_type``.
+
+def convert(
+    value: Column, source: T.DataType, target_type: str, mode: str = "try"
+) -> Column:
+    """``value``, of type ``source``, as ``target_type``.
 
     ``try`` gives NULL for a value that does not fit, whatever the session says.
     ``session`` is a plain cast: an error under ANSI mode, Spark's legacy rules
@@ -16,9 +36,54 @@ def convert(value: Column, target_type: str, mode: str = "try") -> Column:
     """
     if mode not in CAST_MODES:
         raise ValueError(f"cast mode must be one of {CAST_MODES}, not {mode!r}")
-    return value.try_cast(target_type) if mode == "try" else value.cast(target_type)
+    if mode == "session":
+        return value.cast(target_type)
+    test = plausible(value, source, T.DataType.fromDDL(target_type))
+    tried = value.try_cast(target_type)
+    return tried if test is None else F.when(test, tried)
 
 
-def unconvertible(value: Column, target_type: str) -> Column:
+def unconvertible(value: Column, source: T.DataType, target_type: str) -> Column:
     """True where a value is present but ``target_type`` cannot hold it."""
-    return value.isNotNull() & value.try_cast(target_type).isNull()
+    return value.isNotNull() & convert(value, source, target_type).isNull()
+
+
+def plausible(value: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """A cheap test that no convertible value fails; None when none is worth it."""
+    if source.simpleString() == "string":  # not a collated one
+        return _plausible_text(value, target)
+    if isinstance(source, T.NumericType):
+        limit = _limit(source, target)
+        if limit is not None:
+            return value.cast("double").between(-limit * _SLACK - 1, limit * _SLACK + 1)
+    return None
+
+
+def _plausible_text(text: Column, target: T.DataType) -> Column | None:
+    if isinstance(target, T.BooleanType):
+        words = _TRUTH_WORDS
+    elif isinstance(target, (T.FloatType, T.DoubleType)):
+        words = _NUMBER_WORDS
+    elif isinstance(target, T.NumericType):
+        words = ""
+    else:
+        return None
+    # Compared bytewise: blanks, signs and digits sort before ":", letters after it,
+    # and whatever sorts after them, such as other scripts' digits, is tried too.
+    possible = [text < ":", text >= "\x7f"]
+    possible += [(text >= c) & (text < chr(ord(c) + 1)) for c in words]
+    return (text != "") & reduce(lambda a, b: a | b, possible)
+
+
+def _limit(source: T.NumericType, target: T.DataType) -> float | None:
+    """Largest magnitude ``target`` holds, if ``source`` can exceed it."""
+    room = _magnitude(target)
+    return room if room is not None and _magnitude(source, float("inf")) > room else None
+
+
+def _magnitude(kind: T.DataType, unbounded: float | None = None) -> float | None:
+    if type(kind) in _INTEGRAL_BITS:
+        return 2.0 ** (_INTEGRAL_BITS[type(kind)] - 1)
+    if isinstance(kind, T.DecimalType):
+        return 10.0 ** (kind.precision - kind.scale)
+    return unbounded

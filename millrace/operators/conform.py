@@ -32,12 +32,12 @@ def conform_columns(
             raise ValueError(f"cannot cast {spec.target}: no column {spec.source}")
 
     out, out_names = [], []
-    for name in df.columns:
+    for field in df.schema:
+        name, value = field.name, col(field.name)
         spec = declared.get(name)
-        value = col(name)
         if spec is not None:
             if spec.is_cast:
-                value = convert(value, spec.target_type, cast_mode)
+                value = convert(value, field.dataType, spec.target_type, cast_mode)
             name = spec.target
         out_names.append(name)
         out.append(value.alias(name))

@@ -71,7 +71,7 @@ def conformance_metrics(df: DataFrame, columns: Sequence[ColumnSpec]) -> dict[st
 def _bad_casts(df: DataFrame, name: str, spec: ColumnSpec) -> Column:
     if not spec.is_cast:
         return F.lit(0).cast("bigint")
-    lost = unconvertible(col(name), spec.target_type)
+    lost = unconvertible(col(name), df.schema[name].dataType, spec.target_type)
     try:
         df.select(lost).schema
     except AnalysisException:  # no such cast exists: every value present is lost
