@@ -209,7 +209,7 @@ def _stage(
         if options.strict:
             raise_on_error(result.schema_issues)
         metrics |= conformance_metrics(rows, spec.columns)
-    seen = Observation("staged")
+    seen = Observation()
     watched = tagged.observe(seen, *[m.alias(name) for name, m in metrics.items()])
     write_staging(watched.drop(MALFORMED), result.paths.staging, options.full_load, clock)
     counts = seen.get
@@ -242,7 +242,7 @@ def _judge(
     rules = rule_names(rows, spec.columns, spec.dq_mode)
     if options.mask:
         judged = mask_sensitive(judged, spec.columns)
-    seen = Observation("judged")
+    seen = Observation()
     judged = judged.observe(seen, *outcome_metrics(), *rule_metrics(rules))
     judged.write.partitionBy(OUTCOME).parquet(scratch)
     counts = seen.get

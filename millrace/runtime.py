@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,18 +91,28 @@ def scaled_settings(input_bytes: int, partitions: int, split: int, advisory: int
 
 @contextmanager
 def settings(spark: SparkSession, values: dict) -> Iterator[None]:
-    """Set session settings for a block, then put back what was there."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, str(value))
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+    """Set session settings for a block, then put back what was there.
+
+    Settings belong to the session, so threads that share one take turns. Loads that
+    are to run side by side each need their own, from ``spark.newSession()``.
+    """
+    with _lock_of(spark._jsparkSession.hashCode()):
+        before = {name: spark.conf.get(name, None) for name in values}
+        for name, value in values.items():
+            spark.conf.set(name, str(value))
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
+
+
+@cache
+def _lock_of(session: int) -> RLock:
+    return RLock()
 
 
 @contextmanager

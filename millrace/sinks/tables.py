@@ -66,21 +66,19 @@ def _insert_overwrite(
     df: DataFrame, table: TableSpec, mode: str, single_valued: bool = False
 ) -> None:
     spark = df.sparkSession
-    columns = spark.table(table_name(table)).columns
-    rows = df if single_valued else gathered(df, _partition_columns(spark, table))
-    rows = rows.select(*[col(c) for c in columns])
-    if table.provider in FILE_PROVIDERS:
-        # insertInto goes by position and reads the mode from the session.
-        with settings(spark, {"spark.sql.sources.partitionOverwriteMode": mode}):
-            rows.write.insertInto(table_name(table), overwrite=True)
-    else:
+    rows = df.select(*[col(c) for c in spark.table(table_name(table)).columns])
+    if table.provider not in FILE_PROVIDERS:  # it arranges rows for its own layout
         rows.writeTo(table_name(table)).overwrite(F.lit(True))
+        return
+    if not single_valued:
+        rows = gathered(rows, _partition_columns(spark, table))
+    # insertInto goes by position and reads the mode from the session.
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": mode}):
+        rows.write.insertInto(table_name(table), overwrite=True)
 
 
 def _partition_columns(spark: SparkSession, table: TableSpec) -> list[str]:
     """Partition columns the table really has, which an older table may differ in."""
-    if table.provider not in FILE_PROVIDERS:
-        return list(table.partition_columns)
     return [c.name for c in spark.catalog.listColumns(table_name(table)) if c.isPartition]
 
 

@@ -13,6 +13,7 @@ from millrace.operators import judge, latest_per_key, reconcile, schema_report,
 from millrace.registry.inputs import ORDER_RULES, dirty_orders, same
 from millrace.registry.queries import lineitem_spec
 from millrace.runtime import settings
+from millrace.sinks import write_curated_files
 
 
 def plan(df) -> str:
@@ -148,3 +149,20 @@ def test_full_load_reads_the_source_once(spark, sf_dir, folder):
     assert read == source_rows + result.source + result.valid + result.rejected
     shuffled = [s for s in stages_from(spark, first) if s.shuffleWriteRecords() > 0]
     assert len(shuffled) == 1  # the dedupe
+
+
+def test_a_tag_with_most_rows_is_written_by_many_tasks(spark, folder, tmp_path):
+    """Nine rows in ten share a tag; gathering by tag still spreads them."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        "id",
+        F.xxhash64("id").alias("noise"),
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("t"), F.col("id") % 4))
+        .otherwise("hot")
+        .alias("domicile"),
+    )
+    values = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+    with settings(spark, values):
+        write_curated_files(df, folder, full_load=True)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "out").glob("domicile=*")}
+    assert files.pop("domicile=hot") >= 4
+    assert set(files.values()) == {1}

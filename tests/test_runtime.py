@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from millrace import runtime
@@ -37,6 +40,19 @@ def test_settings_are_put_back(spark):
     assert spark.conf.get(name) == before and spark.conf.get(other, None) is None
 
 
+def test_threads_of_one_session_take_turns(spark):
+    name, seen = "spark.millrace.turn", []
+
+    def work(i):
+        with runtime.settings(spark, {name: i}):
+            time.sleep(0.02)
+            seen.append(spark.conf.get(name) == str(i))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, range(8)))
+    assert seen == [True] * 8 and spark.conf.get(name, None) is None
+
+
 def test_sized_for_a_large_input(spark, sf_dir, monkeypatch):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     assert runtime.estimated_bytes(orders) > 100_000

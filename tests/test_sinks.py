@@ -219,9 +219,9 @@ def test_failed_merge_changes_nothing(spark, database):
 
 
 def test_names_that_need_quoting(spark, tmp_path):
-    database = f"db {uuid.uuid4().hex}"
+    database = f"1_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {quoted(database)} LOCATION '{tmp_path}/q'")
-    table = TableSpec("spark_catalog", database, "t", ("the tag",), "parquet")
+    table = TableSpec("spark_catalog", database, "select", ("the tag",), "parquet")
     df = spark.createDataFrame([(1, "x")], "`a b` int, `the tag` string")
     sinks.create_table(spark, table, df.schema)
     sinks.replace_table(df, table)
