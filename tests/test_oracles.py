@@ -21,6 +21,8 @@ KNOWN_ROWS = {
     "dq_flag_reject": 784,
     "reject_union": 433,
     "rejects_partitioned": 1_568,
+    "curated_merge": 12_968,
+    "merge_null_key": 12_984,
     "full_load": 26_186,
     "full_load_rejects": 13_104,
     "incremental_load": 45_832,
