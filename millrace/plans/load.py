@@ -43,13 +43,19 @@ from ..operators.rows import keep_where, stamp_load, with_domicile
 from ..runtime import drop_scratch, scratch_dir, sized_for
 from ..sinks.audit import append_audit
 from ..sinks.curated import read_partitioned, write_curated_files
-from ..sinks.rejects import write_rejects, write_rejects_partition
+from ..sinks.rejects import (
+    RUN_COLUMNS,
+    publish_rejects,
+    write_rejects,
+    write_rejects_partition,
+)
 from ..sinks.staging import write_staging
 from ..sinks.tables import publish_table, table_name
 from ..sources.files import MALFORMED, read_source
 from ..spec import DatasetSpec
 
 log = logging.getLogger(__name__)
+_HOUR = [T.StructField(name, T.StringType()) for name in RUN_COLUMNS]
 _LOG_LEVELS = {"info": logging.INFO, "warn": logging.WARNING, "error": logging.ERROR}
 
 
@@ -87,6 +93,8 @@ class LoadOptions:
     strict: bool = False
     #: Keep rejects per hour (``dt=…/hr=…``) instead of only the last run's.
     rejects_by_hour: bool = False
+    #: Database and table through which rejects can be queried; none, if not given.
+    rejects_table: tuple[str, str] | None = None
     cast_mode: str = "try"
     csv_types: str = "declared"
 
@@ -284,10 +292,14 @@ def _publish(
 def _write_rejects(
     rejected: DataFrame, options: LoadOptions, clock: datetime, result: LoadResult
 ) -> None:
+    path, hour = result.paths.rejects, ()
     result.rejects_schema = rejected.schema
     if options.rejects_by_hour:
-        dt, hr = clock.strftime("%Y-%m-%d"), clock.strftime("%H")
-        write_rejects_partition(rejected, result.paths.rejects, dt, hr)
-        result.rejects_schema = rejected.schema.add("dt", "string").add("hr", "string")
+        hour = clock.strftime("%Y-%m-%d"), clock.strftime("%H")
+        result.rejects_schema = T.StructType([*rejected.schema, *_HOUR])
+    if options.rejects_table is not None:
+        publish_rejects(rejected, path, *options.rejects_table, *hour)
+    elif hour:
+        write_rejects_partition(rejected, path, *hour)
     else:
-        write_rejects(rejected, result.paths.rejects)
+        write_rejects(rejected, path)

@@ -307,11 +307,10 @@ def rejects_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejects_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered twice: the second registration replaces the first."""
     path = scratch_dir(spark, "rejects")
-    rejected = _order_rejects(spark, sf_dir)
-    sinks.write_rejects(rejected, path)
     database = file_table(spark, "orders").database
     for _ in range(2):
-        name = sinks.register_rejects(spark, database, "orders_rejects", path, rejected.schema)
+        rejected = _order_rejects(spark, sf_dir)
+        name = sinks.publish_rejects(rejected, path, database, "orders_rejects")
     return _joined_reasons(spark.table(name))
 
 

@@ -3,6 +3,7 @@
 from .audit import append_audit
 from .curated import read_partitioned, write_curated_files
 from .rejects import (
+    publish_rejects,
     register_reject_partition,
     register_rejects,
     write_rejects,
@@ -15,6 +16,7 @@ __all__ = [
     "append_audit",
     "create_table",
     "merge_into_table",
+    "publish_rejects",
     "publish_table",
     "read_partitioned",
     "register_reject_partition",

@@ -74,3 +74,29 @@ def register_reject_partition(
     )
     spark.catalog.refreshTable(name)
     return name
+
+
+def publish_rejects(
+    df: DataFrame | None,
+    location: str,
+    database: str,
+    table: str,
+    dt: str | None = None,
+    hr: str | None = None,
+) -> str | None:
+    """Write rejects and register their table; returns its quoted name.
+
+    With ``dt`` and ``hr`` only that hour is replaced, and an hour without rejects is
+    skipped. Without them the rejects of the last run are replaced, also by none.
+    ``df`` is read twice when written by hour, so pass rows that were written.
+    """
+    if df is None:
+        return None
+    spark = df.sparkSession
+    if dt is None or hr is None:
+        write_rejects(df, location)
+        return register_rejects(spark, database, table, location, df.schema)
+    if df.isEmpty():
+        return None
+    write_rejects_partition(df, location, dt, hr)
+    return register_reject_partition(spark, database, table, location, df.schema, dt, hr)

@@ -142,6 +142,24 @@ def test_rejects_by_hour(spark, spec, folder):
     ]
 
 
+def test_reject_tables(spark, spec, folder, table):
+    name = (table.database, "people_rejects")
+    run_load(spark, spec, folder, full(rejects_table=name))
+    assert rows(spark.table(".".join(name)), "key", "dq_reasons") == [(4, ["name:regex"])]
+    run_load(spark, replace(spec, where="id < 4"), folder, full(rejects_table=name))
+    assert spark.table(".".join(name)).count() == 0
+
+    hourly = (table.database, "people_rejects_by_hour")
+    base = f"{folder}/hourly"
+    options = full(rejects_table=hourly, rejects_by_hour=True)
+    run_load(spark, replace(spec, where="id < 4"), base, options)
+    assert not spark.catalog.tableExists(".".join(hourly))
+    for _ in range(2):
+        run_load(spark, spec, base, options)
+    expected = [(4, ["name:regex"], "2024-03-05", "07")]
+    assert rows(spark.table(".".join(hourly)), "key", "dq_reasons", "dt", "hr") == expected
+
+
 def test_masking_comes_after_the_rules(spark, spec, folder):
     result = run_load(spark, spec, folder, full(mask=True))
     assert {r.name for r in result.curated(spark).collect()} == {"********"}
