@@ -1,17 +1,15 @@
-"""Casts that do not stop a load.
+"""Casts that do not stop a load, as SQL text: one call per column, however wide.
 
 ``try_cast`` gives NULL for a value that does not fit, but finds out by raising and
 catching an exception: some 10 to 15 microseconds a value, fifty times the cost of a
-cast that works. ``convert`` therefore first asks a comparison that every convertible
+cast that works. ``cast_sql`` therefore first asks a comparison that every convertible
 value passes, and leaves only the values that pass to ``try_cast``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CAST_MODES = ("try", "session")
@@ -25,10 +23,14 @@ _NUMBER_WORDS = "IiNn"
 _TRUTH_WORDS = "TtYyFfNn"
 
 
-def convert(
-    value: Column, source: T.DataType, target_type: str, mode: str = "try"
-) -> Column:
-    """``value``, of type ``source``, as ``target_type``.
+@cache
+def parsed(type_text: str) -> T.DataType:
+    """The Spark type a declaration names; fails on anything that is not a type."""
+    return T.DataType.fromDDL(type_text)
+
+
+def cast_sql(value: str, source: T.DataType, target_type: str, mode: str = "try") -> str:
+    """SQL for ``value``, itself SQL of type ``source``, as ``target_type``.
 
     ``try`` gives NULL for a value that does not fit, whatever the session says.
     ``session`` is a plain cast: an error under ANSI mode, Spark's legacy rules
@@ -36,30 +38,32 @@ def convert(
     """
     if mode not in CAST_MODES:
         raise ValueError(f"cast mode must be one of {CAST_MODES}, not {mode!r}")
+    target = parsed(target_type)
     if mode == "session":
-        return value.cast(target_type)
-    test = plausible(value, source, T.DataType.fromDDL(target_type))
-    tried = value.try_cast(target_type)
-    return tried if test is None else F.when(test, tried)
+        return f"CAST({value} AS {target_type})"
+    test = plausible_sql(value, source, target)
+    tried = f"try_cast({value} AS {target_type})"
+    return tried if test is None else f"CASE WHEN {test} THEN {tried} END"
 
 
-def unconvertible(value: Column, source: T.DataType, target_type: str) -> Column:
-    """True where a value is present but ``target_type`` cannot hold it."""
-    return value.isNotNull() & convert(value, source, target_type).isNull()
+def misfit_sql(value: str, source: T.DataType, target_type: str) -> str:
+    """SQL that is true where a value is present but ``target_type`` cannot hold it."""
+    return f"{value} IS NOT NULL AND ({cast_sql(value, source, target_type)}) IS NULL"
 
 
-def plausible(value: Column, source: T.DataType, target: T.DataType) -> Column | None:
+def plausible_sql(value: str, source: T.DataType, target: T.DataType) -> str | None:
     """A cheap test that no convertible value fails; None when none is worth it."""
     if source.simpleString() == "string":  # not a collated one
         return _plausible_text(value, target)
     if isinstance(source, T.NumericType):
         limit = _limit(source, target)
         if limit is not None:
-            return value.cast("double").between(-limit * _SLACK - 1, limit * _SLACK + 1)
+            bound = f"{limit * _SLACK + 1!r}D"
+            return f"CAST({value} AS DOUBLE) BETWEEN -{bound} AND {bound}"
     return None
 
 
-def _plausible_text(text: Column, target: T.DataType) -> Column | None:
+def _plausible_text(text: str, target: T.DataType) -> str | None:
     if isinstance(target, T.BooleanType):
         words = _TRUTH_WORDS
     elif isinstance(target, (T.FloatType, T.DoubleType)):
@@ -70,9 +74,9 @@ def _plausible_text(text: Column, target: T.DataType) -> Column | None:
         return None
     # Compared bytewise: blanks, signs and digits sort before ":", letters after it,
     # and whatever sorts after them, such as other scripts' digits, is tried too.
-    possible = [text < ":", text >= "\x7f"]
-    possible += [(text >= c) & (text < chr(ord(c) + 1)) for c in words]
-    return (text != "") & reduce(lambda a, b: a | b, possible)
+    possible = [f"{text} < ':'", f"{text} >= chr(127)"]
+    possible += [f"({text} >= '{c}' AND {text} < '{chr(ord(c) + 1)}')" for c in words]
+    return f"{text} <> '' AND ({' OR '.join(possible)})"
 
 
 def _limit(source: T.NumericType, target: T.DataType) -> float | None:

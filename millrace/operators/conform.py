@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..functions.casts import convert
-from ..functions.columns import Names, check_distinct, col
+from ..functions.casts import cast_sql
+from ..functions.columns import Names, check_distinct, quoted
 from ..functions.masks import UNMASKED, level_of, mask_literal
 from ..spec import ColumnSpec
 
@@ -33,16 +33,16 @@ def conform_columns(
 
     out, out_names = [], []
     for field in df.schema:
-        name, value = field.name, col(field.name)
+        name, value = field.name, quoted(field.name)
         spec = declared.get(name)
         if spec is not None:
             if spec.is_cast:
-                value = convert(value, field.dataType, spec.target_type, cast_mode)
+                value = cast_sql(value, field.dataType, spec.target_type, cast_mode)
             name = spec.target
         out_names.append(name)
-        out.append(value.alias(name))
+        out.append(f"{value} AS {quoted(name)}")
     check_distinct(df.sparkSession, out_names, "conform_columns")
-    return df.select(*out)
+    return df.selectExpr(*out)
 
 
 def mask_sensitive(
@@ -67,4 +67,6 @@ def mask_sensitive(
         masks[present] = literal
     if not masks:
         return df
-    return df.select(*[masks[c].alias(c) if c in masks else col(c) for c in df.columns])
+    return df.select(
+        *[masks[c].alias(c) if c in masks else quoted(c) for c in df.columns]
+    )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import RESERVED_PREFIX, col, orderable, require
+from ..functions.columns import RESERVED_PREFIX, orderable, quoted, require
 
 _RANK = RESERVED_PREFIX + "rank"
 
@@ -38,7 +38,7 @@ def latest_per_key(
         rest = [f.name for f in df.schema if f.name not in used and orderable(f.dataType)]
     else:
         rest = require(df, tie_break, "dedupe tie-break")
-    window = Window.partitionBy(*[col(c) for c in key_names]).orderBy(
-        *[col(c).desc_nulls_last() for c in [*order, *rest]]
-    )
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(col(_RANK) == 1).drop(_RANK)
+    partition = ", ".join(quoted(c) for c in key_names)
+    ordering = ", ".join(f"{quoted(c)} DESC NULLS LAST" for c in [*order, *rest])
+    rank = F.expr(f"row_number() OVER (PARTITION BY {partition} ORDER BY {ordering})")
+    return df.withColumn(_RANK, rank).filter(f"{_RANK} = 1").drop(_RANK)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import unconvertible
-from ..functions.columns import Names, col
+from ..functions.casts import misfit_sql
+from ..functions.columns import Names, col, quoted
 from ..spec import ColumnSpec
 
 _REPORT = "column string, issue string, severity string, nulls bigint, bad_casts bigint"
@@ -52,31 +52,40 @@ def raise_on_error(issues: Sequence[SchemaIssue]) -> None:
         raise ValueError(f"schema check: missing columns: {', '.join(bad)}")
 
 
-def conformance_metrics(df: DataFrame, columns: Sequence[ColumnSpec]) -> dict[str, Column]:
+def conformance_metrics(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
     """Per present column: NULLs, and values its target type cannot hold.
 
-    Plain aggregates keyed by output name, so one pass serves any number of columns
-    and a load can attach them to a write it does anyway.
+    Plain aggregates, so one pass serves any number of columns and a load can attach
+    them to a write it does anyway. Named ``nulls_<i>`` and ``bad_casts_<i>``.
     """
-    names, metrics = Names(df), {}
+    names, types = Names(df), {f.name: f.dataType for f in df.schema}
+    nulls, misfits = {}, {}
     for i, spec in enumerate(columns):
         name = names.find(spec.source)
         if name is None:
             continue
-        metrics[f"nulls_{i}"] = F.count_if(col(name).isNull())
-        metrics[f"bad_casts_{i}"] = _bad_casts(df, name, spec)
-    return metrics
-
-
-def _bad_casts(df: DataFrame, name: str, spec: ColumnSpec) -> Column:
-    if not spec.is_cast:
-        return F.lit(0).cast("bigint")
-    lost = unconvertible(col(name), df.schema[name].dataType, spec.target_type)
+        nulls[i] = f"{quoted(name)} IS NULL"
+        misfits[i] = (
+            misfit_sql(quoted(name), types[name], spec.target_type) if spec.is_cast else "false"
+        )
+    if not _all_resolve(df, misfits.values()):
+        # Where no such cast exists, every value present is lost.
+        for i, test in misfits.items():
+            if not _all_resolve(df, [test]):
+                misfits[i] = f"NOT ({nulls[i]})"
+    return [
+        F.expr(f"count_if({test}) AS {kind}_{i}")
+        for kind, tests in (("nulls", nulls), ("bad_casts", misfits))
+        for i, test in tests.items()
+    ]
+
+
+def _all_resolve(df: DataFrame, expressions: Iterable[str]) -> bool:
     try:
-        df.select(lost).schema
-    except AnalysisException:  # no such cast exists: every value present is lost
-        lost = col(name).isNotNull()
-    return F.count_if(lost)
+        df.selectExpr(*expressions)
+    except AnalysisException:
+        return False
+    return True
 
 
 def schema_report(
@@ -116,8 +125,7 @@ def schema_report(
         )
     if not lines:
         return df.sparkSession.createDataFrame([], _REPORT)
-    counts = [m.alias(n) for n, m in metrics.items()] or [F.count(F.lit(1)).alias("rows")]
-    return df.agg(*counts).select(F.inline(F.array(*lines)))
+    return df.agg(*(metrics or [F.count(F.lit(1))])).select(F.inline(F.array(*lines)))
 
 
 def loss_pct(src: Column, rejected: Column) -> Column:

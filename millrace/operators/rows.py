@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, find
+from ..functions.columns import col, find, quoted
 from ..functions.tags import DEFAULT_TAG, TAG_COLUMN, normalized_tag, repaired_tag
 
 
@@ -37,8 +37,10 @@ def normalize_domicile(df: DataFrame, default: str = DEFAULT_TAG) -> DataFrame:
     return _replace(df, present, normalized_tag(col(present), default))
 
 
-def _replace(df: DataFrame, present: str, tag) -> DataFrame:
-    return df.select(*[tag.alias(TAG_COLUMN) if c == present else col(c) for c in df.columns])
+def _replace(df: DataFrame, present: str, tag: Column) -> DataFrame:
+    return df.select(
+        *[tag.alias(TAG_COLUMN) if c == present else quoted(c) for c in df.columns]
+    )
 
 
 def stamp_load(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import RESERVED_PREFIX, col, orderable, require
+from ..functions.columns import RESERVED_PREFIX, col, orderable, quoted, require
 
 _MATCHES = RESERVED_PREFIX + "matches"
 _SPREAD = RESERVED_PREFIX + "spread"
@@ -31,7 +32,7 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     names = target.columns
     arriving = source.select(
         *[
-            col(present).cast(field.dataType).alias(field.name)
+            _as_stored(source.schema[present], field)
             for present, field in zip(require(source, names, "upsert source"), target.schema)
         ]
     )
@@ -63,11 +64,18 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
             .when(col(_MATCHES) == 1, F.lit(False))
             .otherwise(several.cast("boolean"))
         )
-        .select(*[col(c) for c in names])
+        .select(*[quoted(c) for c in names])
     )
     return unmatched.unionByName(arriving)
 
 
+def _as_stored(given: T.StructField, stored: T.StructField) -> Column:
+    value = col(given.name)
+    if given.dataType != stored.dataType:
+        value = value.cast(stored.dataType)
+    return value if given.name == stored.name else value.alias(stored.name)
+
+
 def _joined(name: str) -> str:
     return f"{RESERVED_PREFIX}source_{name}"
 

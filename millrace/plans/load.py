@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, find
+from ..functions.columns import find, quoted
 from ..functions.tags import TAG_COLUMN
 from ..operators.conform import conform_columns, mask_sensitive
 from ..operators.latest import latest_per_key
@@ -203,9 +203,9 @@ def _stage(
 ) -> DataFrame:
     """Write the staging copy; returns the rows of this load for the next step."""
     rows = tagged.drop(MALFORMED)
-    metrics = {"rows": F.count(F.lit(1))}
+    metrics = [F.count(F.lit(1)).alias("rows")]
     if MALFORMED in tagged.columns:
-        metrics["malformed"] = F.count(MALFORMED)
+        metrics.append(F.count(MALFORMED).alias("malformed"))
     if spec.check_schema:
         result.schema_issues = schema_issues(
             rows, spec.columns, spec.allow_extra_columns, spec.allow_missing_columns
@@ -216,9 +216,9 @@ def _stage(
                 log.log(level, "%s: %s column %s", spec.name, issue.issue, issue.column)
         if options.strict:
             raise_on_error(result.schema_issues)
-        metrics |= conformance_metrics(rows, spec.columns)
+        metrics += conformance_metrics(rows, spec.columns)
     seen = Observation()
-    watched = tagged.observe(seen, *[m.alias(name) for name, m in metrics.items()])
+    watched = tagged.observe(seen, *metrics)
     write_staging(watched.drop(MALFORMED), result.paths.staging, options.full_load, clock)
     counts = seen.get
     result.source = counts["rows"]
@@ -233,7 +233,7 @@ def _stage(
         return rows
     schema = stamp_load(rows, clock).schema
     return read_partitioned(rows.sparkSession, result.paths.staging, schema).select(
-        *[col(c) for c in rows.columns]
+        *[quoted(c) for c in rows.columns]
     )
 
 

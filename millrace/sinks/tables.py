@@ -66,7 +66,7 @@ def _insert_overwrite(
     df: DataFrame, table: TableSpec, mode: str, single_valued: bool = False
 ) -> None:
     spark = df.sparkSession
-    rows = df.select(*[col(c) for c in spark.table(table_name(table)).columns])
+    rows = df.select(*[quoted(c) for c in spark.table(table_name(table)).columns])
     if table.provider not in FILE_PROVIDERS:  # it arranges rows for its own layout
         rows.writeTo(table_name(table)).overwrite(F.lit(True))
         return

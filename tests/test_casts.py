@@ -1,4 +1,4 @@
-"""``convert`` must give exactly what ``try_cast`` gives, for any pair of types."""
+"""``cast_sql`` must give exactly what ``try_cast`` gives, for any pair of types."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.casts import convert, plausible
+from millrace.functions.casts import cast_sql, parsed, plausible_sql
 
 TEXTS = [
     None, "", " ", "\t", "0", "1", "-1", "+7", " 42 ", "\t42\n", "\x0042", "\x7f42", "1e2", "9.7",
@@ -49,22 +49,20 @@ def test_same_as_try_cast(spark, source):
     for target in TARGETS:
         if target in ("date", "timestamp_ntz") and source != "string":
             continue
-        ours = convert(F.col("v"), kind, target)
+        ours = F.expr(cast_sql("v", kind, target))
         different = df.filter(~ours.eqNullSafe(F.col("v").try_cast(target)))
         assert [r.v for r in different.collect()] == [], (source, target)
 
 
 @pytest.mark.parametrize("source, target", [("int", "bigint"), ("int", "double"), ("date", "int")])
 def test_no_test_where_nothing_is_gained(source, target):
-    from pyspark.sql.types import DataType
-
-    assert plausible(F.col("v"), DataType.fromDDL(source), DataType.fromDDL(target)) is None
+    assert plausible_sql("v", parsed(source), parsed(target)) is None
 
 
 def test_a_column_that_does_not_fit_is_not_slow(spark):
     """200,000 words read as numbers; by exceptions alone this takes seconds."""
     df = spark.range(0, 200_000, 1, 1).select(F.concat(F.lit("N"), "id").alias("v"))
-    bad = df.select(convert(F.col("v"), df.schema["v"].dataType, "int").alias("n"))
+    bad = df.select(F.expr(cast_sql("v", df.schema["v"].dataType, "int")).alias("n"))
     bad.agg(F.count("n")).collect()
     start = time.perf_counter()
     assert bad.agg(F.count("n")).first()[0] == 0
