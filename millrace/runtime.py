@@ -117,13 +117,17 @@ def _lock_of(session: int) -> RLock:
 
 @contextmanager
 def sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
-    """Run a block with settings that fit the size of its inputs."""
+    """Run a block with settings that fit the size of its inputs, and with AQE on.
+
+    AQE is what splits a hot key of a join and a hot value of a partitioned write.
+    """
     values = scaled_settings(
         sum(estimated_bytes(df) for df in inputs),
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         _in_bytes(spark, "spark.sql.files.maxPartitionBytes"),
         _in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes"),
     )
+    values["spark.sql.adaptive.enabled"] = "true"
     writers = int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
     values["spark.sql.maxConcurrentOutputFileWriters"] = max(writers, OPEN_FILES_PER_TASK)
     with settings(spark, values):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import replace
 from datetime import datetime, timezone
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import ColumnSpec, DatasetSpec, LoadOptions, TableSpec, run_load
+from millrace.__main__ import main
 from millrace.runtime import settings
 
 AT = datetime(2024, 3, 5, 7, 30)
@@ -214,6 +216,36 @@ def test_stamps_use_the_session_zone_and_audit_uses_utc(spark, spec, folder):
     assert audit(spark, result)[0][2] == "2024-03-05T23:30:00"
 
 
+def test_command_line(spark, spec, folder, tmp_path):
+    file = tmp_path / "people_feed.json"
+    columns = [
+        {
+            "src_nm": c.source,
+            "tgt_nm": c.target,
+            "src_dtype": c.source_type,
+            "tgt_dtype": c.target_type,
+            "nullable": c.nullable,
+            "regex": c.regex,
+            "sensitivity": c.sensitivity,
+        }
+        for c in spec.columns
+    ]
+    document = {
+        "src_prefix": spec.source_path,
+        "format": "parquet",
+        "cols": columns,
+        "id_cols": ["key"],
+        "upd_cols": ["updated"],
+    }
+    file.write_text(json.dumps({"ds": document}))
+    argv = ["--spec", str(file), "--base", folder, "--sys-level", "qa", "--full-load", "TRUE"]
+    result = main([*argv, "--mask"])
+    assert (result.dataset, result.valid, result.rejected) == ("people_feed", 3, 1)
+    assert audit(spark, result)[0][:2] == ("people_feed", "qa")
+    assert {r.name for r in result.curated(spark).collect()} == {"********"}
+    assert main([*argv, "--dataset", "folk"]).paths.curated.endswith("/curated/folk")
+
+
 # --- CSV -----------------------------------------------------------------------
 
 CSV_COLUMNS = (
