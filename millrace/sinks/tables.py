@@ -17,7 +17,7 @@ from ..runtime import drop_scratch, scratch_dir, settings, sized_for
 from ..spec import TableSpec
 from .layout import gathered
 
-#: Providers that store plain files and have no row-level MERGE.
+# Providers that store plain files and have no row-level MERGE.
 FILE_PROVIDERS = ("parquet", "orc", "avro", "json", "csv")
 #: Up to this many touched partitions are named in the scan's partition filter.
 MAX_LISTED_PARTITIONS = 1_000
@@ -28,6 +28,10 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _is_files(table: TableSpec) -> bool:
+    return table.provider.lower() in FILE_PROVIDERS
+
+
 def namespace_name(table: TableSpec) -> str:
     return f"{quoted(table.catalog)}.{quoted(table.database)}"
 
@@ -67,7 +71,7 @@ def _insert_overwrite(
 ) -> None:
     spark = df.sparkSession
     rows = df.select(*[quoted(c) for c in spark.table(table_name(table)).columns])
-    if table.provider not in FILE_PROVIDERS:  # it arranges rows for its own layout
+    if not _is_files(table):  # the provider arranges rows for its own layout
         rows.writeTo(table_name(table)).overwrite(F.lit(True))
         return
     if not single_valued:
@@ -93,7 +97,7 @@ def merge_into_table(source: DataFrame, table: TableSpec, keys: Sequence[str]) -
     ``source`` is read up to three times, so pass rows that were written somewhere.
     """
     spark = source.sparkSession
-    if table.provider not in FILE_PROVIDERS:
+    if not _is_files(table):
         incoming = source.alias("s")
         target = f"{quoted(table.table)}."
         on = reduce(
@@ -121,11 +125,13 @@ def merge_into_table(source: DataFrame, table: TableSpec, keys: Sequence[str]) -
 
     # A file table cannot be replaced while it is read: go through scratch space.
     scratch = scratch_dir(spark, f"merge-{table.table}")
-    with sized_for(spark, target, source):
-        merged = upsert_rows(target, source, keys)
-        merged.write.parquet(scratch)
-        replace_table(spark.read.schema(merged.schema).parquet(scratch), table)
-    drop_scratch(spark, scratch)
+    try:
+        with sized_for(spark, target, source):
+            merged = upsert_rows(target, source, keys)
+            merged.write.parquet(scratch)
+            replace_table(spark.read.schema(merged.schema).parquet(scratch), table)
+    finally:
+        drop_scratch(spark, scratch)
 
 
 def _touched(target: DataFrame, source: DataFrame, parts: list[str]) -> tuple[DataFrame, bool]:
@@ -135,7 +141,10 @@ def _touched(target: DataFrame, source: DataFrame, parts: list[str]) -> tuple[Da
     ``MAX_LISTED_PARTITIONS`` is matched by a semi-join instead, with the same rows.
     """
     keys = [f"{RESERVED_PREFIX}part{i}" for i in range(len(parts))]
-    values = source.select(*[col(p).alias(k) for p, k in zip(parts, keys)]).distinct()
+    stored = [target.schema[p].dataType for p in parts]
+    values = source.select(
+        *[col(p).cast(dtype).alias(k) for p, dtype, k in zip(parts, stored, keys)]
+    ).distinct()
     listed = values.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
         same = [col(p).eqNullSafe(col(k)) for p, k in zip(parts, keys)]
@@ -150,11 +159,13 @@ def _any_of(parts: list[str], listed: list) -> Column:
         present = [row[0] for row in listed if row[0] is not None]
         test = col(parts[0]).isin(present)
         return test | col(parts[0]).isNull() if len(present) < len(listed) else test
-    rows = [
+    tests = [
         reduce(lambda a, b: a & b, [col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, row)])
         for row in listed
     ]
-    return reduce(lambda a, b: a | b, rows)
+    while len(tests) > 1:  # pairwise, so that the expression stays shallow
+        tests = [reduce(lambda a, b: a | b, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
 
 
 def publish_table(

@@ -243,3 +243,29 @@ def test_file_table_at_a_location(spark, database, folder):
     table = replace(parquet_table(database, "domicile"), location=folder)
     sinks.publish_table(spark.createDataFrame(ROWS, SCHEMA), table, full_load=True)
     assert sinks.read_partitioned(spark, folder, stored(spark, table).schema).count() == 4
+
+
+def test_partition_values_are_compared_as_stored(spark, database):
+    table = parquet_table(database, "part")
+    first = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "part int, id int, v string")
+    sinks.create_table(spark, table, first.select("id", "v", "part").schema)
+    sinks.replace_table(first, table)
+    batch = spark.createDataFrame([("001", 1, "A"), ("003", 3, "C")], "part string, id int, v string")
+    sinks.merge_into_table(batch, table, ["part", "id"])
+    assert bag(stored(spark, table)) == Counter([(1, "A", 1), (2, "b", 2), (3, "C", 3)])
+
+
+def test_a_thousand_partitions_in_one_filter(spark):
+    listed = [(i, f"t{i}") for i in range(tables.MAX_LISTED_PARTITIONS)]
+    df = spark.range(2_000).select(
+        F.col("id").alias("a"), F.concat(F.lit("t"), F.col("id")).alias("b")
+    )
+    assert df.filter(tables._any_of(["a", "b"], listed)).count() == 1_000
+
+
+def test_orc_table(spark, database):
+    table = replace(parquet_table(database, "domicile"), provider="ORC")
+    sinks.publish_table(spark.createDataFrame(ROWS, SCHEMA), table, full_load=True)
+    batch = spark.createDataFrame(BATCH, SCHEMA)
+    sinks.publish_table(batch, table, full_load=False, keys=["id", "domicile"])
+    assert bag(stored(spark, table)) == Counter(AFTER)
