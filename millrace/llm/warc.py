@@ -163,7 +163,7 @@ def verify_payloads(spark: SparkSession, archive: Archive) -> DataFrame:
 
 
 def header_field(name: str) -> Column:
-    return F.regexp_extract(F.col("text"), rf"(?m)^{name}: ([^\r]*)\r$", 1)
+    return F.regexp_extract(F.col("text"), rf"(?m)^{name}: ([^\r\n]*)$", 1)
 
 
 def read_index(spark: SparkSession, archive: Archive) -> DataFrame:
