@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from ..runtime import drop_scratch, scratch_dir
 
 #: The characters that count as white space in word and line operators.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: Characters that Python workers take on together.
+TOGETHER = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,3 +52,21 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     for frame in rest:
         first = first.unionByName(frame)
     return first
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def grouped(texts: Iterator[str], together: int = TOGETHER) -> Iterator[list[str]]:
+    """Lists of texts of about so many characters; a longer text is alone in its list."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= together:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

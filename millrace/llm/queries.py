@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, warc
+from . import bpe, exact_dedup, packing, token_counts, warc
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_token_counts": token_counts.op4_token_counts,
+    "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
+    "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
 ORACLES = {
