@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,15 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
+def find_package(spark: SparkSession) -> None:
+    """Python workers started from here on look for this package where the driver
+    found it; on a cluster that installs it or ships it with the job this changes nothing."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
+
+
 class Scratch:
     """Tables written to the shared checkpoint folder, so that lost executors cost
     a re-read instead of a re-computation. ``drop`` removes those no longer needed."""
@@ -70,3 +81,19 @@ def grouped(texts: Iterator[str], together: int = TOGETHER) -> Iterator[list[str
             held, size = [], 0
     if held:
         yield held
+
+
+#: Stored bytes up to which a table is sent to every executor instead of shuffled to.
+SMALL_BYTES = 8 << 20
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength()
+
+
+def small_side(df: DataFrame, path: str) -> DataFrame:
+    """``df``, read from the table at ``path``, for a join: marked for broadcast only if
+    that table's size is below ``SMALL_BYTES``; Spark shuffles both sides otherwise."""
+    return F.broadcast(df) if stored_bytes(df.sparkSession, path) <= SMALL_BYTES else df

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, grouped, table, text_or_empty
+from .common import Scratch, column, find_package, grouped, table, text_or_empty
 from .merges import LONGEST, from_tokenizer_file
 
 CAPACITY = 2048
@@ -332,6 +332,7 @@ def pack(
     are not looked at.
     """
     spark = df.sparkSession
+    find_package(spark)
     pieces = Scratch(spark, "packing").save(
         token_pieces(df, tokenizer_path, id_col, text_col, capacity, with_ids), "pieces"
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, token_counts, warc
+from . import bpe, exact_dedup, packing, setsketch, token_counts, warc
 
 QUERIES = {
+    "op1_near_duplicates": setsketch.op1_near_duplicates,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_counts": token_counts.op4_token_counts,
     "op8_packing": packing.op8_packing,
