@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, secret_scan, setsketch, token_counts, warc
+from . import ann, bpe, exact_dedup, packing, secret_scan, setsketch, token_counts, warc
 
 QUERIES = {
     "op1_near_duplicates": setsketch.op1_near_duplicates,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_counts": token_counts.op4_token_counts,
     "op6_secrets": secret_scan.op6_secrets,
+    "op7_nearest": ann.op7_nearest,
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
     "op10_byte_bpe": bpe.op10_byte_bpe,
@@ -17,5 +18,6 @@ QUERIES = {
 ORACLES = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op6_secrets": secret_scan.ORACLE,
+    "op7_nearest": ann.ORACLE,
     "op9_warc": warc.ORACLE,
 }
