@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, exact_dedup, line_dedup, packing, secret_scan, setsketch, token_counts, warc
+from . import ann, bpe, exact_dedup, langid, line_dedup, packing, secret_scan, setsketch, token_counts, warc
 
 QUERIES = {
     "op1_near_duplicates": setsketch.op1_near_duplicates,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_language": langid.op5_language,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_nearest": ann.op7_nearest,
     "op8_packing": packing.op8_packing,
