@@ -1,11 +1,81 @@
-"""Corpus pipeline over documents: the stages, in order, and how they are run."""
+"""Corpus pipeline over documents: language ID, line dedup, near-duplicate documents,
+secrets, packing.
+
+Each stage takes ``(spark, docs, sf_dir)``; its result is written and read again as the
+next one's ``docs``. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import langid, line_dedup, packing, secret_scan, setsketch
+from millrace.llm.common import Scratch, small_side, table
+
+#: A document whose language is less sure than this is rejected, as is one without letters.
+LEAST_SCORE = 0.3
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.char_length("text").cast(kind))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the network can tell. If no row can teach it, all stay."""
+    network = langid.train_on(docs)
+    if network is None:
+        return docs
+    named = langid.with_language(docs, network)
+    sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    return named.filter(sure).select(*docs.columns)
+
+
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occur earlier, in full or but for two edits."""
+    return _counted(line_dedup.drop_repeated_lines(docs))
+
+
+def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group."""
+    scratch = Scratch(spark, "near-deduplication")
+    judged = setsketch.near_duplicates(docs, shingle_words=5, threshold=80)
+    gone = scratch.save(judged.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return docs.join(small_side(gone, scratch.path("gone")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced."""
+    return _counted(secret_scan.redact(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_deduplication),
+    ("minhash_near_dedup", near_deduplication),
+    ("secret_scans", secret_removal),
+    ("best_fit_packing", best_fit_packing),
+]
 
+#: The network's predictions cannot be stated in SQL; the tests use brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    scratch = Scratch(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES):
+        docs = scratch.save(stage(spark, docs, sf_dir), f"{number}-{name}")
+    return docs
