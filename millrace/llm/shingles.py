@@ -77,7 +77,8 @@ def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     rolled = np.zeros(n, np.uint64)
     for k in range(size):
         weight = _U(pow(_M, 7 * k + 3, 1 << 64))
-        rolled[: n - k] += hashes[k:] * weight
+        if k < n:
+            rolled[: n - k] += hashes[k:] * weight
     rolled = mixed(rolled)
     out, at = [], 0
     for count in words.tolist():
