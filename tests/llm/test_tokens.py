@@ -1,0 +1,213 @@
+"""Token counts, packing and byte-level BPE against the libraries."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from millrace.llm.bpe import ByteBPE, decode, encode, scan
+from millrace.llm.common import Scratch
+from millrace.llm.packing import CAPACITY, WordEncoder, pack, plan_bins, reduce_instance
+from millrace.llm.queries import QUERIES
+from millrace.llm.token_counts import PieceCounter, count_tokens
+
+from .support import documents, documents_of, edge_rows
+
+BYTE_JSON, WORD_JSON, RANKS = map(
+    public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken")
+)
+PARTS = [
+    "it's", " ", "  ", "\n", "\n\n", "'s", "''s", "don't", "DON'T", "a", "é", "É", "é", "<|endoftext|>",
+    "<|startoftext|>", "123", "\t", "\x1c", "\x85", "\xa0", "foo.", "...", "　", "ß", "ẞ", "Σ", "ΑΣ ", "İ",
+    "​", "😀", "'ll", "'LL", "x'", "_", "-", "\r\n", "中文", "́", "\x00", "'re", "'v",
+]
+
+
+def odd_texts(n: int = 1500) -> list[str]:
+    random.seed(11)
+    made = ["".join(random.choices(PARTS, k=random.randint(0, 25))) for _ in range(n)]
+    return [*made, "a" * 5000, "ab" * 300 + "'s" * 50, "", "'", " 's", "a's's'tb", "z" * 48, "z" * 49]
+
+
+def tiktoken_library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_counts_equal_the_librarys():
+    library, counter = Tokenizer.from_file(BYTE_JSON), PieceCounter(BYTE_JSON)
+    texts = odd_texts()
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counter.count_all(texts) == want
+    assert [counter.count_all([t])[0] for t in texts[:200]] == want[:200]
+
+
+def test_count_query(spark, sf_dir):
+    library = Tokenizer.from_file(BYTE_JSON)
+    got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op4_token_counts"](spark, sf_dir).collect()}
+    for doc, text in documents_of(spark, sf_dir):
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert got.pop(doc) == (len((text or "").encode()), n, n > 1024)
+    assert not got
+
+
+def test_counts_are_cached(spark, monkeypatch):
+    rows = edge_rows()
+    path = Scratch(spark, "test-cache").path("cache")
+    first = sorted(map(tuple, count_tokens(documents(spark, rows), BYTE_JSON, path).collect()), key=str)
+    assert len(first) == len(rows)
+    assert {r[2] for r in first if r[1] == 0} == {0}
+    stored = spark.read.parquet(path).count()
+    assert stored == len({text or "" for _, text in rows})
+    again = count_tokens(documents(spark, rows + [(99, "something new")]), BYTE_JSON, path)
+    assert len(again.collect()) == len(rows) + 1
+    assert spark.read.parquet(path).count() == stored + 1
+    other = count_tokens(documents(spark, [(1, "something new")]), WORD_JSON.replace("word_bpe_49k", "byte_bpe_50k"), path)
+    assert other.collect()[0]["n_tokens"] == 2
+    assert count_tokens(documents(spark, []), BYTE_JSON, path).collect() == []
+
+
+# -- packing ---------------------------------------------------------------------------
+
+
+def test_words_equal_the_librarys():
+    library, encoder = Tokenizer.from_file(WORD_JSON), WordEncoder(WORD_JSON)
+    texts = odd_texts()
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode_all(texts) == want
+
+
+def packed_well(rows, docs, capacity=CAPACITY, encoded=None):
+    library = Tokenizer.from_file(WORD_JSON)
+    want = Counter()
+    for doc, text in docs:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            want[doc, piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    assert Counter((r[0], *r[1:5]) for r in rows) == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences), sum(r["length"] for r in rows)
+
+
+def test_packing_query(spark, sf_dir):
+    rows = QUERIES["op8_packing"](spark, sf_dir).collect()
+    used, tokens = packed_well(rows, documents_of(spark, sf_dir))
+    assert used <= -(-tokens // CAPACITY) + 1
+
+
+def test_packing_edges(spark, monkeypatch):
+    monkeypatch.setattr("millrace.llm.packing.NUMBERED_TOGETHER", 4)
+    rows = pack(documents(spark, edge_rows()), WORD_JSON).collect()
+    packed_well(rows, edge_rows())
+    assert pack(documents(spark, []), WORD_JSON).collect() == []
+
+
+@pytest.mark.parametrize("capacity", [10, 37, 100])
+def test_plan_holds_all_and_beats_or_meets_plain_best_fit(capacity):
+    random.seed(capacity)
+    for _ in range(60):
+        lengths = random.sample(range(1, capacity + 1), random.randint(1, capacity))
+        counts = {n: random.randint(1, 9) for n in lengths}
+        plan = plan_bins(dict(counts), capacity)
+        held = Counter()
+        for pattern, bins in plan:
+            assert bins > 0 and sum(n * each for n, each in pattern) <= capacity
+            for n, each in pattern:
+                held[n] += each * bins
+        assert held == Counter(counts)
+        fixed, left = reduce_instance(dict(counts), capacity)
+        total = sum(n * c for n, c in counts.items())
+        assert sum(b for _, b in plan) >= -(-total // capacity)
+        assert sum(b for _, b in fixed) + sum(left.values()) >= sum(b for _, b in plan)
+
+
+def best_possible(items: tuple, capacity: int) -> int:
+    best = len(items)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for b in range(len(bins)):
+            if bins[b] + items[i] <= capacity and bins[b] not in bins[:b]:
+                place(i + 1, [*bins[:b], bins[b] + items[i], *bins[b + 1 :]])
+        place(i + 1, [*bins, items[i]])
+
+    place(0, [])
+    return best
+
+
+def test_reduction_never_costs_a_bin():
+    random.seed(9)
+    for _ in range(150):
+        items = sorted((random.randint(1, 20) for _ in range(random.randint(2, 9))), reverse=True)
+        fixed, left = reduce_instance(dict(Counter(items)), 20)
+        rest = sorted((n for n, c in left.items() for _ in range(c)), reverse=True)
+        assert sum(b for _, b in fixed) + best_possible(tuple(rest), 20) == best_possible(tuple(items), 20)
+
+
+# -- byte-level BPE --------------------------------------------------------------------
+
+
+def test_encoding_equals_the_librarys():
+    library, bpe = tiktoken_library(), ByteBPE.from_file(RANKS)
+    texts = odd_texts()
+    for text, ids in zip(texts, bpe.encode_all(texts)):
+        assert ids == library.encode_ordinary(text)
+        assert bpe.decode(ids) == text.encode()
+    pieces, offsets, counts = bpe.slices(texts)
+    at = 0
+    for text, n in zip(texts, counts):
+        assert "".join(pieces[at : at + n]) == text
+        assert all(text[o : o + len(p)] == p for o, p in zip(offsets[at : at + n], pieces[at : at + n]))
+        at += n
+
+
+def test_scan_equals_one_step_at_a_time():
+    random.seed(3)
+    functions = np.array([random.randrange(256) for _ in range(1000)], np.uint8)
+    state, want = 0, []
+    for f in functions:
+        state = (int(f) >> (2 * state)) & 3
+        want.append(state)
+    for block in (1, 7, 256, 2000):
+        assert scan(functions, block).tolist() == want
+
+
+def test_bpe_query(spark, sf_dir):
+    library = tiktoken_library()
+    got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op10_byte_bpe"](spark, sf_dir).collect()}
+    for doc, text in documents_of(spark, sf_dir):
+        ids = library.encode_ordinary(text or "")
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        assert got.pop(doc) == (len(ids), sha(" ".join(map(str, ids)).encode()), sha((text or "").encode()))
+    assert not got
+
+
+def test_bpe_edges(spark):
+    rows = edge_rows()
+    found = encode(documents(spark, rows), RANKS, with_ids=True)
+    back = decode(found, RANKS).collect()
+    assert sorted((tuple(r) for r in back), key=str) == sorted(((d, t or "") for d, t in rows), key=str)
+    assert encode(documents(spark, []), RANKS).collect() == []
