@@ -43,12 +43,20 @@ def _replace(df: DataFrame, present: str, tag: Column) -> DataFrame:
     )
 
 
+#: The columns of the load stamp.
+STAMP_COLUMNS = ("load_dt", "load_hr")
+
+
 def stamp_load(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
     """Add ``load_dt`` and ``load_hr``, in the session time zone.
 
     ``load_ts`` fixes the moment: a naive value is wall-clock time as it stands, an
-    aware one is an instant. Without it Spark's own clock is used.
+    aware one is an instant. Without it Spark's own clock is used. Columns that already
+    have these names are an error.
     """
+    taken = [c for c in df.columns if c.lower() in STAMP_COLUMNS]
+    if taken:
+        raise ValueError(f"rows already have the column {', '.join(taken)}")
     if load_ts is None:
         moment = F.current_timestamp()
     elif load_ts.tzinfo is None:

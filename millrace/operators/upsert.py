@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import RESERVED_PREFIX, col, orderable, quoted, require
+from ..functions.columns import RESERVED_PREFIX, Names, col, orderable, quoted, require
 
 _MATCHES = RESERVED_PREFIX + "matches"
 _SPREAD = RESERVED_PREFIX + "spread"
@@ -18,6 +18,8 @@ _SPREAD = RESERVED_PREFIX + "spread"
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows without a match, plus all source rows, with the target's columns.
 
+    Source columns that the target lacks are an error.
+
     Because a matched row is replaced whole, that equals "matched: update all, not
     matched: insert all". As in MERGE, NULL keys never match, and it is an error for
     one target row to be matched by several source rows: the job that evaluates the
@@ -30,13 +32,17 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     unless AQE measures the keys to be small.
     """
     names = target.columns
+    known = Names(target)
+    extra = [c for c in source.columns if known.find(c) is None]
+    if extra:
+        raise ValueError(f"upsert: the target has no column {', '.join(extra)}")
     arriving = source.select(
         *[
             _as_stored(source.schema[present], field)
             for present, field in zip(require(source, names, "upsert source"), target.schema)
         ]
     )
-    key_names = require(target, keys, "upsert key")
+    key_names = list(dict.fromkeys(require(target, keys, "upsert key")))
     key_columns = [col(k) for k in key_names]
     # Joined on the hash as well, so these few keys are shuffled once more than they
     # would have to be; AQE only splits hot target keys when the join reads shuffles.

@@ -7,9 +7,12 @@ earlier loads, from the source again.
 
 Judged rows are written to shared scratch space, partitioned by outcome, so that the
 curated and the reject writer each read only their own rows and the keyed dedupe
-shuffles once. All counts come from these two writes. Each count sits in the stage
-that writes, behind the last shuffle, so tasks that are run again after losing an
-executor do not count twice.
+shuffles once. Without rules all rows are valid, and go to curated files directly. All
+counts come from these writes. Each count sits in the stage that writes, behind the
+last shuffle, so tasks that are run again after losing an executor do not count twice.
+
+All steps are planned before the first write, so a specification that does not fit its
+source fails while everything is as it was.
 """
 
 from __future__ import annotations
@@ -22,13 +25,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import find, quoted
+from ..functions.columns import col, find, orderable, require
+from ..functions.masks import UNMASKED, level_of
 from ..functions.tags import TAG_COLUMN
 from ..operators.conform import conform_columns, mask_sensitive
 from ..operators.latest import latest_per_key
 from ..operators.quality import (
     LOST,
     OUTCOME,
+    REASONS,
     REJECT,
     VALID,
     judge,
@@ -39,10 +44,10 @@ from ..operators.quality import (
     valid_rows,
 )
 from ..operators.reports import SchemaIssue, conformance_metrics, raise_on_error, schema_issues
-from ..operators.rows import keep_where, stamp_load, with_domicile
+from ..operators.rows import STAMP_COLUMNS, keep_where, stamp_load, with_domicile
 from ..runtime import drop_scratch, scratch_dir, sized_for
 from ..sinks.audit import append_audit
-from ..sinks.curated import read_partitioned, write_curated_files
+from ..sinks.curated import read_partitioned, with_earlier_columns, write_curated_files
 from ..sinks.rejects import (
     RUN_COLUMNS,
     publish_rejects,
@@ -50,7 +55,7 @@ from ..sinks.rejects import (
     write_rejects_partition,
 )
 from ..sinks.staging import write_staging
-from ..sinks.tables import publish_table, table_name
+from ..sinks.tables import publish_table, table_name, unknown_columns
 from ..sources.files import MALFORMED, read_source
 from ..spec import DatasetSpec
 
@@ -128,14 +133,22 @@ class LoadResult:
     def loss_pct(self) -> float:
         return round(self.not_published / self.source * 100, 2) if self.source else 0.0
 
+    #: ``(dt, hr)`` of this run's rejects, if they are kept by hour.
+    hour: tuple[str, str] | None = None
+
     def curated(self, spark: SparkSession) -> DataFrame:
-        """All curated rows there are now, of this and earlier runs."""
+        """All curated rows there are now, with the columns of this and earlier runs."""
         if self.table is not None:
             return spark.table(self.table)
-        return read_partitioned(spark, self.paths.curated, self.curated_schema)
+        schema = with_earlier_columns(spark, self.paths.curated, self.curated_schema)
+        return read_partitioned(spark, self.paths.curated, schema)
 
-    def rejects(self, spark: SparkSession) -> DataFrame:
-        return read_partitioned(spark, self.paths.rejects, self.rejects_schema)
+    def rejects(self, spark: SparkSession, all_hours: bool = False) -> DataFrame:
+        """This run's rejects; with ``all_hours`` those of every hour that is kept."""
+        found = read_partitioned(spark, self.paths.rejects, self.rejects_schema)
+        if self.hour is None or all_hours:
+            return found
+        return found.filter((F.col("dt") == self.hour[0]) & (F.col("hr") == self.hour[1]))
 
 
 def run_load(
@@ -145,8 +158,6 @@ def run_load(
     options: LoadOptions = LoadOptions(),
 ) -> LoadResult:
     """Run one full or incremental load; failures are audited, then raised."""
-    if spec.table is not None and not options.full_load:
-        spec.merge_keys()
     clock, utc = _moment(spark, options.load_ts)
     result = LoadResult(spec.name, LoadPaths.under(base_path, spec.name))
     scratch = scratch_dir(spark, f"judged-{spec.name}")
@@ -160,14 +171,21 @@ def run_load(
             options.csv_types,
             keep_malformed=True,
         )
+        tagged = with_domicile(keep_where(source, spec.where), spec.domicile)
+        _check_plan(tagged.drop(MALFORMED), spec, options)
         with sized_for(spark, source):
-            tagged = with_domicile(keep_where(source, spec.where), spec.domicile)
             staged = _stage(tagged, spec, options, clock, result)
             single_tag = find(source, TAG_COLUMN) is None
-            judged = _judge(staged, spec, options, scratch, result)
-            _check_counts(spec, options, result)
-            _publish(valid_rows(judged), spec, options, single_tag, result)
-            _write_rejects(rejected_rows(judged, reasons=True), options, clock, result)
+            rows = _deduped(staged, spec, options)
+            if _all_valid(rows, spec, options):
+                rejected = _write_all(rows, spec, options, single_tag, result)
+                _check_counts(spec, options, result)
+            else:
+                judged = _judge(rows, spec, options, scratch, result)
+                _check_counts(spec, options, result)
+                _publish(valid_rows(judged), spec, options, single_tag, result)
+                rejected = rejected_rows(judged, reasons=True)
+            _write_rejects(rejected, options, clock, result)
         status = "SUCCESS"
     finally:
         drop_scratch(spark, scratch)
@@ -194,6 +212,34 @@ def _moment(spark: SparkSession, load_ts: datetime | None) -> tuple[datetime, da
     return clock, instant.astimezone(timezone.utc).replace(tzinfo=None)
 
 
+def _moved_aside(df: DataFrame) -> dict[str, str]:
+    """New names, in the staging copy only, of source columns named like the load stamp."""
+    return {c: f"source_{c}" for c in df.columns if c.lower() in STAMP_COLUMNS}
+
+
+def _check_plan(rows: DataFrame, spec: DatasetSpec, options: LoadOptions) -> None:
+    """Plan every step once, without running it, and refuse names that would collide."""
+    deduped = _deduped(rows, spec, options)
+    judged = judge(deduped, spec.columns, spec.dq_mode)
+    if options.mask:
+        judged = mask_sensitive(judged, spec.columns)
+    assert judged.schema
+    reserved = [REASONS, OUTCOME, *(RUN_COLUMNS if options.rejects_by_hour else ())]
+    taken = [c for c in deduped.columns if c.lower() in reserved]
+    aside = _moved_aside(rows).values()
+    taken += [c for c in rows.columns if c in aside]
+    if taken:
+        raise ValueError(f"{spec.name}: the load needs the column name {', '.join(taken)} itself")
+    if spec.table is None:
+        return
+    if not options.full_load:
+        require(deduped, spec.merge_keys(), f"{spec.name}: table key")
+    if not spec.table.evolve:
+        unknown = unknown_columns(deduped, spec.table)
+        if unknown:
+            raise ValueError(f"{table_name(spec.table)} has no column {', '.join(unknown)}")
+
+
 def _stage(
     tagged: DataFrame,
     spec: DatasetSpec,
@@ -219,7 +265,9 @@ def _stage(
         metrics += conformance_metrics(rows, spec.columns)
     seen = Observation()
     watched = tagged.observe(seen, *metrics)
-    write_staging(watched.drop(MALFORMED), result.paths.staging, options.full_load, clock)
+    aside = _moved_aside(rows)
+    copied = watched.drop(MALFORMED).withColumnsRenamed(aside)
+    write_staging(copied, result.paths.staging, options.full_load, clock)
     counts = seen.get
     result.source = counts["rows"]
     result.malformed = counts.get("malformed", 0)
@@ -231,21 +279,68 @@ def _stage(
             result.bad_casts[column.source] = counts[f"bad_casts_{i}"]
     if not options.full_load:
         return rows
-    schema = stamp_load(rows, clock).schema
+    schema = stamp_load(rows.withColumnsRenamed(aside), clock).schema
     return read_partitioned(rows.sparkSession, result.paths.staging, schema).select(
-        *[quoted(c) for c in rows.columns]
+        *[col(aside.get(c, c)).alias(c) for c in rows.columns]
+    )
+
+
+def _deduped(rows: DataFrame, spec: DatasetSpec, options: LoadOptions) -> DataFrame:
+    """Conformed rows, the latest per key. Columns that are masked and that no rule looks
+    at do not break ties, so that they need not be read."""
+    conformed = conform_columns(rows, spec.columns, options.cast_mode)
+    ties = None
+    if options.mask:
+        unread = {
+            find(conformed, c.target)
+            for c in spec.columns
+            if level_of(c.sensitivity) != UNMASKED and c.nullable and not c.regex
+        }
+        used = {*spec.id_columns, *spec.update_columns}
+        ties = [
+            f.name for f in conformed.schema
+            if f.name not in unread and f.name not in used and orderable(f.dataType)
+        ]
+    return latest_per_key(conformed, spec.id_columns, spec.update_columns, ties)
+
+
+def _all_valid(rows: DataFrame, spec: DatasetSpec, options: LoadOptions) -> bool:
+    """No rule to judge by, files to write to, and no count that could stop it first."""
+    stopped = options.strict and spec.check_row_count
+    return not rule_names(rows, spec.columns, spec.dq_mode) and spec.table is None and not stopped
+
+
+def _write_all(
+    rows: DataFrame,
+    spec: DatasetSpec,
+    options: LoadOptions,
+    single_tag: bool,
+    result: LoadResult,
+) -> DataFrame:
+    """Write rows that are all valid; returns the rejects, none."""
+    none = rejected_rows(judge(rows.filter(F.lit(False)), spec.columns, spec.dq_mode), reasons=True)
+    if options.mask:
+        rows, none = (mask_sensitive(df, spec.columns) for df in (rows, none))
+    seen = Observation()
+    result.curated_schema = write_curated_files(
+        rows,
+        result.paths.curated,
+        options.full_load,
+        spec.domicile,
+        single_tag,
+        watch=lambda df: df.observe(seen, F.count(F.lit(1)).alias(VALID)),
     )
+    result.valid, result.rejected, result.lost = seen.get[VALID], 0, 0
+    return none
 
 
 def _judge(
-    staged: DataFrame,
+    rows: DataFrame,
     spec: DatasetSpec,
     options: LoadOptions,
     scratch: str,
     result: LoadResult,
 ) -> DataFrame:
-    conformed = conform_columns(staged, spec.columns, options.cast_mode)
-    rows = latest_per_key(conformed, spec.id_columns, spec.update_columns)
     judged = judge(rows, spec.columns, spec.dq_mode)
     rules = rule_names(rows, spec.columns, spec.dq_mode)
     if options.mask:
@@ -256,7 +351,7 @@ def _judge(
     counts = seen.get
     result.valid, result.rejected, result.lost = counts[VALID], counts[REJECT], counts[LOST]
     result.rule_failures = {rule: counts[rule] for rule in rules}
-    return read_partitioned(staged.sparkSession, scratch, judged.schema)
+    return read_partitioned(rows.sparkSession, scratch, judged.schema)
 
 
 def _check_counts(spec: DatasetSpec, options: LoadOptions, result: LoadResult) -> None:
@@ -295,7 +390,7 @@ def _write_rejects(
     path, hour = result.paths.rejects, ()
     result.rejects_schema = rejected.schema
     if options.rejects_by_hour:
-        hour = clock.strftime("%Y-%m-%d"), clock.strftime("%H")
+        hour = result.hour = clock.strftime("%Y-%m-%d"), clock.strftime("%H")
         result.rejects_schema = T.StructType([*rejected.schema, *_HOUR])
     if options.rejects_table is not None:
         publish_rejects(rejected, path, *options.rejects_table, *hour)

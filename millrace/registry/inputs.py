@@ -67,12 +67,15 @@ def _tagged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What an upsert meets: orders placed before 1999, tagged by status."""
-    return _tagged_orders(spark, sf_dir).filter("o_orderdate < TIMESTAMP_NTZ '1999-01-01'")
+    """What an upsert meets: all finished orders, and others placed before 1999."""
+    return _tagged_orders(spark, sf_dir).filter(
+        "o_orderdate < TIMESTAMP_NTZ '1999-01-01' OR o_orderstatus = 'F'"
+    )
 
 
 def order_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What arrives: open and pending orders since 1998, at twice the price."""
+    """What arrives: open and pending orders since 1998, at twice the price. With the
+    history, which it overlaps for a year, it covers all orders."""
     return (
         _tagged_orders(spark, sf_dir)
         .filter("o_orderdate >= TIMESTAMP_NTZ '1998-01-01' AND o_orderstatus <> 'F'")
@@ -88,8 +91,20 @@ def with_null_keys(orders: DataFrame) -> DataFrame:
 def file_table(
     spark: SparkSession, name: str, partition_columns: tuple[str, ...] = (TAG_COLUMN,)
 ) -> TableSpec:
-    """A Parquet table of its own, in a new database kept in shared scratch space."""
+    """A Parquet table over a folder of its own, in a new database."""
     database = f"millrace_{uuid.uuid4().hex}"
     folder = scratch_dir(spark, database)
     spark.sql(f"CREATE DATABASE {quoted(database)} LOCATION '{folder}'")
-    return TableSpec("spark_catalog", database, name, partition_columns, "parquet")
+    data = f"{scratch_dir(spark, name)}/data"
+    return TableSpec("spark_catalog", database, name, partition_columns, "parquet", data)
+
+
+def taken_from(spark: SparkSession, target: TableSpec, name: str | None = None) -> DataFrame:
+    """The rows of a table of ``file_table``'s database, read as files; the database is
+    dropped, which leaves the files."""
+    name = name or f"{quoted(target.database)}.{quoted(target.table)}"
+    found = spark.table(name)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    rows = spark.read.schema(found.schema).parquet(location.first()["data_type"])
+    spark.sql(f"DROP DATABASE {quoted(target.database)} CASCADE")
+    return rows

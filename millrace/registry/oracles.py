@@ -53,7 +53,8 @@ def _merge(key: str) -> str:
   SELECT {key} AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
          o_orderpriority, CASE o_orderstatus WHEN 'F' THEN 'eu' WHEN 'O' THEN 'us'
          ELSE 'apac' END AS domicile FROM orders),
-history AS (SELECT * FROM tagged WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+history AS (SELECT * FROM tagged
+            WHERE o_orderdate < TIMESTAMP '1999-01-01' OR o_orderstatus = 'F'),
 batch AS (SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM tagged
           WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus <> 'F')
 SELECT * FROM history t WHERE NOT EXISTS (
@@ -85,6 +86,8 @@ ORACLES = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": "SELECT * FROM customer",
     "scan_csv_inferred": "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey) FROM customer",
+    "scan_csv_partly_declared": """SELECT * REPLACE (
+        lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS c_nationkey) FROM customer""",
     "scan_json": "SELECT * REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
     "scan_orc": "SELECT * FROM customer",
     "source_count": "SELECT count(*) AS rows FROM orders",
@@ -166,8 +169,11 @@ ORACLES = {
         SELECT * FROM repaired UNION ALL SELECT * FROM repaired""",
     "curated_merge": _merge("o_orderkey"),
     "merge_null_key": _merge("CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey END"),
+    "merge_whole_table": _merge("o_orderkey"),
     "upsert_frames": _merge("o_orderkey"),
     "table_create": "SELECT * FROM customer",
+    "table_evolve": """SELECT *, 'global' AS domicile,
+        CASE WHEN c_custkey % 2 = 0 THEN c_acctbal > 5000 END AS c_rich FROM customer""",
     "table_replace": "SELECT * REPLACE (CAST(0 AS DOUBLE) AS c_acctbal) FROM customer",
     "rejects_write": f"WITH {FLAGGED} {FLAG_REASONED}",
     "rejects_table": f"WITH {FLAGGED} {FLAG_REASONED}",
@@ -196,6 +202,24 @@ ORACLES = {
     "full_load_masked": f"""SELECT page_id, url, 'XXX-CONFIDENTIAL-XXX' AS html,
         'web' AS domicile FROM ({_latest("pages", "url", "page_id DESC NULLS LAST")})
         WHERE regexp_matches(url, '^https://') AND regexp_matches(html, '<[a-zA-Z!]')""",
+    "full_load_cascade": f"""WITH {CASCADED} SELECT * REPLACE (CASE
+        WHEN domicile IS NULL OR lower(domicile) IN ('', 'null', 'none') THEN 'global'
+        ELSE domicile END AS domicile) FROM step3""",
+    "full_load_cascade_rejects": f"""WITH {CASCADED} SELECT * REPLACE (CASE
+        WHEN domicile IS NULL OR lower(domicile) IN ('', 'null', 'none') THEN 'global'
+        ELSE domicile END AS domicile) FROM (SELECT * FROM bad1
+        UNION ALL SELECT * FROM bad2 UNION ALL SELECT * FROM bad3)""",
+    "full_load_cascade_audit": f"""WITH {CASCADED} SELECT 'orders' AS dataset,
+        'dev' AS sys_level, '2024-03-05T07:30:00' AS timestamp_utc,
+        (SELECT count(*) FROM dirty) AS src_count, (SELECT count(*) FROM step3) AS curated_count,
+        (SELECT count(*) FROM bad1) + (SELECT count(*) FROM bad2) + (SELECT count(*) FROM bad3)
+            AS rejected_count, 'SUCCESS' AS status""",
+    "full_load_own_stamp": """SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS load_dt,
+        o_orderkey % 24 AS load_hr, 'global' AS domicile FROM orders""",
+    "full_load_rejects_by_hour": f"""WITH {FLAGGED} SELECT * REPLACE (CASE
+        WHEN domicile IS NULL OR lower(domicile) IN ('', 'null', 'none') THEN 'global'
+        ELSE domicile END AS domicile), '2024-03-05' AS dt, '07' AS hr
+        FROM ({FLAG_REASONED}) WHERE o_custkey IS NULL""",
     "incremental_load": f"SELECT *, 'global' AS domicile FROM ({LATEST_LINES})",
     "incremental_append": "SELECT *, 'global' AS domicile FROM ("
     + _latest(

@@ -29,6 +29,7 @@ from .inputs import (
     order_history,
     same,
     table,
+    taken_from,
     with_null_keys,
 )
 
@@ -58,6 +59,16 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, path, "csv", CUSTOMER_COLUMNS)
 
 
+def scan_csv_partly_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with leading zeros stays text though other columns are not declared."""
+    path = scratch_dir(spark, "customer-csv")
+    padded = F.lpad(F.col("c_nationkey").cast("string"), 4, "0")
+    customers = table(spark, sf_dir, "customer").withColumn("c_nationkey", padded)
+    customers.write.option("header", True).csv(path)
+    declared = (same("c_custkey", "bigint"), same("c_nationkey", "string"))
+    return read_source(spark, path, "csv", declared)
+
+
 def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, _rewritten(spark, sf_dir, "customer", "csv"), "csv")
 
@@ -253,7 +264,16 @@ def _merged(spark: SparkSession, history: DataFrame, batch: DataFrame) -> DataFr
     target = file_table(spark, "orders")
     sinks.publish_table(history, target, full_load=True)
     sinks.publish_table(batch, target, full_load=False, keys=["o_orderkey", "domicile"])
-    return spark.table(sinks.table_name(target))
+    return taken_from(spark, target)
+
+
+def merge_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert into a table partitioned by a column outside the key."""
+    target = file_table(spark, "orders", ("o_orderpriority",))
+    sinks.publish_table(order_history(spark, sf_dir), target, full_load=True)
+    batch = order_batch(spark, sf_dir)
+    sinks.publish_table(batch, target, full_load=False, keys=["o_orderkey", "domicile"])
+    return taken_from(spark, target)
 
 
 def curated_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +298,18 @@ def table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.create_table(spark, target, customers.schema)
     sinks.create_table(spark, target, customers.schema)
     sinks.replace_table(customers, target)
-    return spark.table(sinks.table_name(target))
+    return taken_from(spark, target)
+
+
+def table_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column the table lacks is added; customers are upserted, half of them with it."""
+    customers = table(spark, sf_dir, "customer").withColumn("domicile", F.lit("global"))
+    target = file_table(spark, "customer", ("c_mktsegment",))
+    sinks.publish_table(customers, target, full_load=True)
+    wider = customers.filter("c_custkey % 2 = 0").withColumn("c_rich", F.col("c_acctbal") > 5000)
+    keys = ["c_custkey", "c_mktsegment"]
+    sinks.publish_table(wider, target, full_load=False, keys=keys, evolve=True)
+    return taken_from(spark, target)
 
 
 def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,7 +320,7 @@ def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.replace_table(customers, target)
     zeroed = customers.withColumn("c_acctbal", F.lit(0.0))
     sinks.replace_table(zeroed.select(*reversed(customers.columns)), target)
-    return spark.table(sinks.table_name(target))
+    return taken_from(spark, target)
 
 
 def _order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,11 +338,11 @@ def rejects_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejects_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered twice: the second registration replaces the first."""
     path = scratch_dir(spark, "rejects")
-    database = file_table(spark, "orders").database
+    target = file_table(spark, "orders")
     for _ in range(2):
         rejected = _order_rejects(spark, sf_dir)
-        name = sinks.publish_rejects(rejected, path, database, "orders_rejects")
-    return _joined_reasons(spark.table(name))
+        name = sinks.publish_rejects(rejected, path, target.database, "orders_rejects")
+    return _joined_reasons(taken_from(spark, target, name))
 
 
 def _two_hours_of_rejects(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
@@ -332,12 +363,12 @@ def rejects_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejects_table_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "rejects")
     schema = _two_hours_of_rejects(spark, sf_dir, path).schema
-    database = file_table(spark, "orders").database
+    target = file_table(spark, "orders")
     for hr in ("07", "08", "07"):
         name = sinks.register_reject_partition(
-            spark, database, "orders_rejects", path, schema, "2024-03-05", hr
+            spark, target.database, "orders_rejects", path, schema, "2024-03-05", hr
         )
-    return _joined_reasons(spark.table(name))
+    return _joined_reasons(taken_from(spark, target, name))
 
 
 def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,6 +442,53 @@ def full_load_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load(spark, spec, base, full_load=True, mask=True).curated(spark)
 
 
+def orders_spec(spark: SparkSession, rows: DataFrame, **changes) -> DatasetSpec:
+    """Orders, written to a folder first, under the rules of ``ORDER_RULES``."""
+    path = scratch_dir(spark, "source-orders")
+    rows.write.parquet(path)
+    spec = DatasetSpec("orders", path, "parquet", ORDER_RULES)
+    return replace(spec, **changes)
+
+
+def _cascade_load(spark: SparkSession, sf_dir: str):
+    spec = orders_spec(spark, dirty_orders(spark, sf_dir), dq_mode="cascade")
+    return _load(spark, spec, scratch_dir(spark, "load"), full_load=True)
+
+
+def full_load_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops at a row's first failing rule; undecided rows are in neither output."""
+    return _cascade_load(spark, sf_dir).curated(spark)
+
+
+def full_load_cascade_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cascade_load(spark, sf_dir).rejects(spark).drop("dq_reasons")
+
+
+def full_load_cascade_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_cascade_load(spark, sf_dir).paths.audit)
+
+
+def full_load_own_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source columns named like the load stamp keep their values."""
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {"load_dt": F.date_format("o_orderdate", "yyyy-MM-dd"), "load_hr": F.col("o_orderkey") % 24}
+    )
+    spec = orders_spec(spark, orders, columns=())
+    return _load(spark, spec, scratch_dir(spark, "load"), full_load=True).curated(spark)
+
+
+def full_load_rejects_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each hour is run twice: the second run of one has fewer rejects, of one none."""
+    spec, base = orders_spec(spark, dirty_orders(spark, sf_dir)), scratch_dir(spark, "load")
+    passing = "o_custkey IS NOT NULL AND o_orderstatus RLIKE '^[FOP]$' AND o_orderpriority RLIKE '^[1-5]-'"
+    for moment, where in (
+        (LOAD_TS, ""), (LOAD_TS, "o_custkey IS NULL"), (NEXT_LOAD_TS, ""), (NEXT_LOAD_TS, passing),
+    ):
+        options = LoadOptions(full_load=True, load_ts=moment, rejects_by_hour=True)
+        result = run_load(spark, replace(spec, where=where), base, options)
+    return _joined_reasons(result.rejects(spark, all_hours=True))
+
+
 #: Rows before this moment are the first load, the others the incremental batch.
 CUT = "TIMESTAMP_NTZ '2000-01-01'"
 
@@ -434,8 +512,9 @@ def _plain_lineitem(sf_dir: str) -> DatasetSpec:
 
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert into a table: the batch is newer, so all that remains is the latest."""
-    spec = replace(_plain_lineitem(sf_dir), table=file_table(spark, "lineitem"))
-    return _two_loads(spark, spec)
+    target = file_table(spark, "lineitem")
+    _two_loads(spark, replace(_plain_lineitem(sf_dir), table=target))
+    return taken_from(spark, target)
 
 
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,6 +526,7 @@ QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_csv": scan_csv,
     "scan_csv_inferred": scan_csv_inferred,
+    "scan_csv_partly_declared": scan_csv_partly_declared,
     "scan_json": scan_json,
     "scan_orc": scan_orc,
     "source_count": count_source,
@@ -480,8 +560,10 @@ QUERIES = {
     "curated_append": curated_append,
     "curated_merge": curated_merge,
     "merge_null_key": merge_null_key,
+    "merge_whole_table": merge_whole_table,
     "upsert_frames": upsert_frames,
     "table_create": table_create,
+    "table_evolve": table_evolve,
     "table_replace": table_replace,
     "rejects_write": rejects_write,
     "rejects_table": rejects_table,
@@ -492,6 +574,11 @@ QUERIES = {
     "full_load_rejects": full_load_rejects,
     "full_load_audit": full_load_audit,
     "full_load_masked": full_load_masked,
+    "full_load_cascade": full_load_cascade,
+    "full_load_cascade_rejects": full_load_cascade_rejects,
+    "full_load_cascade_audit": full_load_cascade_audit,
+    "full_load_own_stamp": full_load_own_stamp,
+    "full_load_rejects_by_hour": full_load_rejects_by_hour,
     "incremental_load": incremental_load,
     "incremental_append": incremental_append,
 }

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache
 from threading import RLock
@@ -28,31 +27,63 @@ MAX_ADVISORY_BYTES = 512 * MIB
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder all executors can reach, under ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to the machine's own
-    temporary folder; on a cluster executors would each see a different one.
-    """
+    """A new, unused folder all executors can reach: under ``spark.checkpoint.dir`` or,
+    where that is unset, under the warehouse, which is shared as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/{SCRATCH_FOLDER}/{label}-{uuid.uuid4().hex}"
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="millrace-")
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder; 0 if there is none."""
+    files, folder = file_system(spark, path)
+    return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a new folder beside ``path``; then let it take ``path``'s place.
+
+    Until the new folder is complete nothing that exists is touched, so a write that
+    fails leaves the old files as they were. The switch is two renames; if the second
+    fails the first is undone. Stores without a rename of their own copy instead.
+    """
+    files, target = file_system(spark, path.rstrip("/"))
+    mark = uuid.uuid4().hex
+    beside = lambda kind: f"{target.getParent()}/_{kind}-{target.getName()}-{mark}"
+    new, old = (file_system(spark, beside(kind))[1] for kind in ("new", "old"))
+    try:
+        write(str(new.toString()))
+        replaced = files.exists(target)
+        if replaced and not files.rename(target, old):
+            raise OSError(f"cannot move {target} aside")
+        files.mkdirs(target.getParent())
+        moved = False
+        try:
+            moved = files.rename(new, target)
+        finally:
+            if replaced and not moved:
+                files.rename(old, target)
+        if not moved:
+            raise OSError(f"cannot move the new files to {target}")
+    finally:
+        files.delete(new, True)
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``scratch_dir``; refuses any other path."""
     if f"/{SCRATCH_FOLDER}/" not in path:
         raise ValueError(f"not a scratch folder: {path}")
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = file_system(spark, path)
+    files.delete(folder, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -116,13 +147,15 @@ def _lock_of(session: int) -> RLock:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
+def sized_for(spark: SparkSession, *inputs: DataFrame, stored: int = 0) -> Iterator[None]:
     """Run a block with settings that fit the size of its inputs, and with AQE on.
 
+    ``stored`` adds the bytes of inputs whose size Catalyst does not know.
+
     AQE is what splits a hot key of a join and a hot value of a partitioned write.
     """
     values = scaled_settings(
-        sum(estimated_bytes(df) for df in inputs),
+        stored + sum(estimated_bytes(df) for df in inputs),
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         _in_bytes(spark, "spark.sql.files.maxPartitionBytes"),
         _in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes"),

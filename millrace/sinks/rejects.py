@@ -3,33 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import quoted
+from ..runtime import replace_folder
 from .tables import columns_ddl, ensure_namespace, sql_text
 
 RUN_COLUMNS = ("dt", "hr")
 
 
+#: Characters that Spark writes as %XX in the folder names of partitions; fixed values.
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
+
+
 def write_rejects(df: DataFrame, path: str) -> None:
     """Replace the previous run's rejects, also by nothing when there are none now."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    replace_folder(df.sparkSession, path, lambda new: df.write.parquet(new))
 
 
 def write_rejects_partition(df: DataFrame, path: str, dt: str, hr: str) -> None:
-    """Replace the rejects of one hour, ``dt=…/hr=…``; other hours stay.
+    """Replace the rejects of one hour, ``dt=…/hr=…``, also by nothing; other hours stay.
 
-    No rejects, no write: dynamic overwrite only touches partitions it has rows for,
-    so this needs no count first.
+    The hour's folder always holds a file afterwards, so what is empty can be read.
     """
-    (
-        df.withColumns({"dt": F.lit(dt), "hr": F.lit(hr)})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RUN_COLUMNS)
-        .parquet(path)
-    )
+    taken = [c for c in df.columns if c.lower() in RUN_COLUMNS]
+    if taken:
+        raise ValueError(f"rejects already have the column {', '.join(taken)}")
+    write_rejects(df, hour_folder(path, dt, hr))
+
+
+def hour_folder(path: str, dt: str, hr: str) -> str:
+    """Where Spark puts, and looks for, the files of one hour."""
+    named = zip(RUN_COLUMNS, (dt, hr))
+    escape = lambda text: "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+    return "/".join([path.rstrip("/"), *[f"{name}={escape(value)}" for name, value in named]])
 
 
 def register_rejects(
@@ -67,10 +74,8 @@ def register_reject_partition(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(columns)}) USING parquet "
         f"PARTITIONED BY ({', '.join(RUN_COLUMNS)}) LOCATION {sql_text(location)}"
     )
-    hour = f"{location.rstrip('/')}/dt={dt}/hr={hr}"
     spark.sql(
-        f"ALTER TABLE {name} ADD IF NOT EXISTS "
-        f"PARTITION (dt = {sql_text(dt)}, hr = {sql_text(hr)}) LOCATION {sql_text(hour)}"
+        f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (dt = {sql_text(dt)}, hr = {sql_text(hr)})"
     )
     spark.catalog.refreshTable(name)
     return name
@@ -86,9 +91,8 @@ def publish_rejects(
 ) -> str | None:
     """Write rejects and register their table; returns its quoted name.
 
-    With ``dt`` and ``hr`` only that hour is replaced, and an hour without rejects is
-    skipped. Without them the rejects of the last run are replaced, also by none.
-    ``df`` is read twice when written by hour, so pass rows that were written.
+    With ``dt`` and ``hr`` only that hour is replaced, otherwise the rejects of the last
+    run; either also by none.
     """
     if df is None:
         return None
@@ -96,7 +100,5 @@ def publish_rejects(
     if dt is None or hr is None:
         write_rejects(df, location)
         return register_rejects(spark, database, table, location, df.schema)
-    if df.isEmpty():
-        return None
     write_rejects_partition(df, location, dt, hr)
     return register_reject_partition(spark, database, table, location, df.schema, dt, hr)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from ..operators.rows import stamp_load
+from ..runtime import replace_folder
 
 
 def write_staging(
@@ -14,14 +15,14 @@ def write_staging(
 ) -> None:
     """Write the rows under ``load_dt=…/load_hr=…``.
 
-    A full load replaces all earlier history, an incremental one adds to it. Both
+    A full load replaces all earlier history once it is written completely, an
+    incremental one adds to it. Both
     partition values are constants, so every task writes one file and no shuffle is
     needed.
     """
-    (
-        stamp_load(df, load_ts)
-        .write.mode("overwrite" if full_load else "append")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("load_dt", "load_hr")
-        .parquet(path)
-    )
+    rows = stamp_load(df, load_ts)
+    write = lambda to: rows.write.mode("append").partitionBy("load_dt", "load_hr").parquet(to)
+    if full_load:
+        replace_folder(df.sparkSession, path, write)
+    else:
+        write(path)

@@ -5,22 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import RESERVED_PREFIX, col, quoted
+from ..functions.columns import RESERVED_PREFIX, Names, col, quoted, require
 from ..functions.tags import DEFAULT_TAG, TAG_COLUMN
 from ..operators.rows import with_domicile
 from ..operators.upsert import upsert_rows
-from ..runtime import drop_scratch, scratch_dir, settings, sized_for
+from ..runtime import estimated_bytes, replace_folder, settings, sized_for, stored_bytes
 from ..spec import TableSpec
 from .layout import gathered
 
 # Providers that store plain files and have no row-level MERGE.
 FILE_PROVIDERS = ("parquet", "orc", "avro", "json", "csv")
-#: Up to this many touched partitions are named in the scan's partition filter.
-MAX_LISTED_PARTITIONS = 1_000
 
 
 def sql_text(value: str) -> str:
@@ -61,23 +59,83 @@ def create_table(spark: SparkSession, table: TableSpec, schema: T.StructType) ->
     )
 
 
-def replace_table(df: DataFrame, table: TableSpec, single_valued: bool = False) -> None:
-    """Swap all rows of the table for ``df``, matched by name, in one commit."""
-    _insert_overwrite(df, table, "static", single_valued)
-
-
-def _insert_overwrite(
-    df: DataFrame, table: TableSpec, mode: str, single_valued: bool = False
+def replace_table(
+    df: DataFrame, table: TableSpec, single_valued: bool = False, evolve: bool = False
 ) -> None:
+    """Swap all rows of the table for ``df``, matched by name.
+
+    Row-level providers do it in one commit. Plain files are written completely to a
+    new folder, which then takes the place of the table's; if the write fails the
+    table is as it was. See ``matched`` for columns the table lacks.
+    """
     spark = df.sparkSession
-    rows = df.select(*[quoted(c) for c in spark.table(table_name(table)).columns])
+    rows = matched(df, table, evolve)
     if not _is_files(table):  # the provider arranges rows for its own layout
         rows.writeTo(table_name(table)).overwrite(F.lit(True))
         return
-    if not single_valued:
+    parts = _partition_columns(spark, table)
+    _replace_files(rows if single_valued else gathered(rows, parts), table, parts)
+
+
+def matched(df: DataFrame, table: TableSpec, evolve: bool = False) -> DataFrame:
+    """``df`` with the table's columns, in its order.
+
+    Columns the table lacks are an error that names them, or are added to the table
+    first if ``evolve`` is set; rows written before then hold NULL there.
+    """
+    spark = df.sparkSession
+    known = Names(spark.table(table_name(table)))
+    extra = [f for f in df.schema if known.find(f.name) is None]
+    if extra and not evolve:
+        names = ", ".join(f.name for f in extra)
+        raise ValueError(f"{table_name(table)} has no column {names}; nothing was written")
+    if extra:
+        spark.sql(f"ALTER TABLE {table_name(table)} ADD COLUMNS ({columns_ddl(T.StructType(extra))})")
+    columns = spark.table(table_name(table)).columns
+    return df.select(
+        *[col(name).alias(c) for name, c in zip(require(df, columns, table_name(table)), columns)]
+    )
+
+
+def unknown_columns(df: DataFrame, table: TableSpec) -> list[str]:
+    """Columns of ``df`` that an existing table lacks; none if there is no table."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table_name(table)):
+        return []
+    known = Names(spark.table(table_name(table)))
+    return [c for c in df.columns if known.find(c) is None]
+
+
+def _replace_files(rows: DataFrame, table: TableSpec, parts: list[str]) -> None:
+    spark, name = rows.sparkSession, table_name(table)
+    location = table_location(spark, table)
+    writer = lambda path: rows.write.format(table.provider).partitionBy(*parts).save(path)
+    replace_folder(spark, location, writer)
+    if parts and _tracks_partitions(spark, table):
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def table_location(spark: SparkSession, table: TableSpec) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(table)}")
+    return rows.filter("col_name = 'Location'").first()["data_type"]
+
+
+def _tracks_partitions(spark: SparkSession, table: TableSpec) -> bool:
+    """Whether the catalog lists partitions itself, rather than the folder telling."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(table)}")
+    return not rows.filter("col_name = 'Partition Provider' AND data_type = 'Catalog'").isEmpty()
+
+
+def _overwrite_partitions(rows: DataFrame, table: TableSpec, one_partition: bool) -> None:
+    """Replace the partitions that ``rows`` has rows for. Spark writes them to a folder of
+    its own and moves them when all tasks are done."""
+    spark = rows.sparkSession
+    rows = rows.select(*[quoted(c) for c in spark.table(table_name(table)).columns])
+    if not one_partition:
         rows = gathered(rows, _partition_columns(spark, table))
     # insertInto goes by position and reads the mode from the session.
-    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": mode}):
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         rows.write.insertInto(table_name(table), overwrite=True)
 
 
@@ -86,17 +144,22 @@ def _partition_columns(spark: SparkSession, table: TableSpec) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table_name(table)) if c.isPartition]
 
 
-def merge_into_table(source: DataFrame, table: TableSpec, keys: Sequence[str]) -> None:
+def merge_into_table(
+    source: DataFrame, table: TableSpec, keys: Sequence[str], evolve: bool = False
+) -> None:
     """Upsert ``source`` by ``keys``: replace matched rows whole, insert the others.
 
     With a provider that has row-level operations this is its MERGE. Plain files are
     rewritten instead: only the partitions the batch touches, when the partition
-    columns are part of the key, so a matched row cannot lie elsewhere. Concurrent
-    readers of a file table may see partitions change one after the other.
+    columns are part of the key, so a matched row cannot lie elsewhere; else the whole
+    table, once, into a new folder that then takes its place. A write that fails leaves
+    the table as it was. Concurrent readers of a file table may see partitions change
+    one after the other. See ``matched`` for columns the table lacks.
 
     ``source`` is read up to three times, so pass rows that were written somewhere.
     """
     spark = source.sparkSession
+    source = matched(source, table, evolve)
     if not _is_files(table):
         incoming = source.alias("s")
         target = f"{quoted(table.table)}."
@@ -116,56 +179,49 @@ def merge_into_table(source: DataFrame, table: TableSpec, keys: Sequence[str]) -
 
     target = spark.table(table_name(table))
     parts = _partition_columns(spark, table)
+    stored = stored_bytes(spark, table_location(spark, table))
     if parts and {p.lower() for p in parts} <= {k.lower() for k in keys}:
         touched, one_partition = _touched(target, source, parts)
-        with sized_for(spark, touched, source):
+        known = estimated_bytes(touched)
+        with sized_for(spark, source, stored=min(known, stored) if known else stored):
             merged = upsert_rows(touched, source, keys)
-            _insert_overwrite(merged, table, "dynamic", one_partition)
+            _overwrite_partitions(merged, table, one_partition)
         return
-
-    # A file table cannot be replaced while it is read: go through scratch space.
-    scratch = scratch_dir(spark, f"merge-{table.table}")
-    try:
-        with sized_for(spark, target, source):
-            merged = upsert_rows(target, source, keys)
-            merged.write.parquet(scratch)
-            replace_table(spark.read.schema(merged.schema).parquet(scratch), table)
-    finally:
-        drop_scratch(spark, scratch)
+    with sized_for(spark, source, stored=stored):
+        _replace_files(gathered(upsert_rows(target, source, keys), parts), table, parts)
 
 
 def _touched(target: DataFrame, source: DataFrame, parts: list[str]) -> tuple[DataFrame, bool]:
     """Target rows in the partitions ``source`` has rows for; and: is it only one?
 
-    The list of touched partitions prunes the scan. A batch that touches more than
-    ``MAX_LISTED_PARTITIONS`` is matched by a semi-join instead, with the same rows.
+    The scan is pruned by the range of each partition column, one row however many
+    partitions are touched, and then by a semi-join with the touched values, which
+    Spark also turns into a runtime partition filter where they are few.
     """
     keys = [f"{RESERVED_PREFIX}part{i}" for i in range(len(parts))]
     stored = [target.schema[p].dataType for p in parts]
     values = source.select(
         *[col(p).cast(dtype).alias(k) for p, dtype, k in zip(parts, stored, keys)]
     ).distinct()
-    listed = values.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        same = [col(p).eqNullSafe(col(k)) for p, k in zip(parts, keys)]
-        return target.join(values, same, "left_semi"), False
-    if not listed:
+    ends = values.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(col(k)).alias(f"{k}_{f.__name__}") for k in keys for f in (F.min, F.max)],
+        *[F.max(col(k).isNull()).alias(f"{k}_null") for k in keys],
+    ).first()
+    if not ends["n"]:
         return target.filter(F.lit(False)), True
-    return target.filter(_any_of(parts, listed)), len(listed) == 1
-
-
-def _any_of(parts: list[str], listed: list) -> Column:
-    if len(parts) == 1:
-        present = [row[0] for row in listed if row[0] is not None]
-        test = col(parts[0]).isin(present)
-        return test | col(parts[0]).isNull() if len(present) < len(listed) else test
-    tests = [
-        reduce(lambda a, b: a & b, [col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, row)])
-        for row in listed
-    ]
-    while len(tests) > 1:  # pairwise, so that the expression stays shallow
-        tests = [reduce(lambda a, b: a | b, tests[i : i + 2]) for i in range(0, len(tests), 2)]
-    return tests[0]
+    inside, same, chosen = [], [], []
+    for p, k in zip(parts, keys):
+        low, high, null = ends[f"{k}_min"], ends[f"{k}_max"], ends[f"{k}_null"]
+        within = lambda c: F.lit(False) if low is None else (c >= F.lit(low)) & (c <= F.lit(high))  # noqa: B023, E731
+        inside.append(within(col(p)) | col(p).isNull() if null else within(col(p)))
+        chosen.append(within(col(k)) | col(k).isNull() if null else within(col(k)))
+        same.append(col(p).eqNullSafe(col(k)) if null else col(p) == col(k))
+    both = lambda tests: reduce(lambda a, b: a & b, tests)
+    pruned = target.filter(both(inside))
+    if ends["n"] == 1:
+        return pruned, True
+    return pruned.join(values.filter(both(chosen)), same, "left_semi"), False
 
 
 def publish_table(
@@ -175,11 +231,17 @@ def publish_table(
     keys: Sequence[str] = (),
     domicile: str = DEFAULT_TAG,
     single_tag: bool = False,
+    evolve: bool = False,
 ) -> None:
-    """Create the table if needed, then replace it (full) or upsert into it."""
+    """Create the table if needed, then replace it (full) or upsert into it.
+
+    ``evolve``, or the table's own setting, adds columns that an existing table lacks.
+    """
+    evolve = evolve or table.evolve
     df = with_domicile(df, domicile)
     create_table(df.sparkSession, table, df.schema)
     if full_load:
-        replace_table(df, table, single_tag and table.partition_columns == (TAG_COLUMN,))
+        single = single_tag and table.partition_columns == (TAG_COLUMN,)
+        replace_table(df, table, single, evolve)
     else:
-        merge_into_table(df, table, keys)
+        merge_into_table(df, table, keys, evolve)

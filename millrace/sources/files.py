@@ -34,36 +34,35 @@ def read_source(
 ) -> DataFrame:
     """Scan a file or folder in any format Spark has a reader for.
 
-    CSV has a header line. Its types are the declared source types when every header
-    column is declared (no pass over the data), otherwise they are inferred, which
-    reads all files once more; ``csv_types="infer"`` always infers. Text that does
-    not fit a declared type is read as NULL; ``keep_malformed`` adds a column that
-    holds the whole line for such rows.
+    CSV has a header line. Declared columns have their declared source types, whatever
+    else the header holds; only columns that are not declared have their types inferred,
+    which reads all files once more. ``csv_types="infer"`` infers all. Files whose header
+    differs from the first one's fail the job rather than mix columns up. Text that does
+    not fit a declared type is read as NULL; ``keep_malformed`` adds a column that holds
+    the whole line for such rows.
     """
     reader = spark.read.format(file_format)
     if file_format.lower() != "csv":
         return reader.load(path)
-    reader = reader.option("header", True)
-    schema = _declared_schema(reader, path, columns) if csv_types == "declared" else None
-    if schema is None:
+    reader = reader.option("header", True).option("enforceSchema", False)
+    if csv_types != "declared" or not columns:
         return reader.option("inferSchema", True).load(path)
+    schema = _declared_schema(reader, path, columns)
     if keep_malformed:
         schema += f", {MALFORMED} string"
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     return reader.schema(schema).load(path)
 
 
-def _declared_schema(
-    reader: DataFrameReader, path: str, columns: Sequence[ColumnSpec]
-) -> str | None:
-    """Declared types in header order, or ``None`` if some header column has none."""
-    if not columns:
-        return None
-    declared = {c.source.lower(): c.source_type for c in columns}
+def _declared_schema(reader: DataFrameReader, path: str, columns: Sequence[ColumnSpec]) -> str:
+    """Types in header order: the declared ones, and inferred ones for the rest."""
+    types = {c.source.lower(): c.source_type for c in columns}
     header = reader.load(path).columns
-    if any(name.lower() not in declared for name in header):
-        return None
-    return ", ".join(f"{quoted(name)} {declared[name.lower()]}" for name in header)
+    if any(name.lower() not in types for name in header):
+        inferred = reader.option("inferSchema", True).load(path).dtypes
+        reader.option("inferSchema", False)
+        types = {name.lower(): found for name, found in inferred} | types
+    return ", ".join(f"{quoted(name)} {types[name.lower()]}" for name in header)
 
 
 def source_count(df: DataFrame) -> DataFrame:

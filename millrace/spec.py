@@ -50,6 +50,8 @@ class TableSpec:
     partition_columns: tuple[str, ...] = (TAG_COLUMN,)
     provider: str = "iceberg"
     location: str | None = None
+    #: Add columns that the table lacks, instead of refusing to publish them.
+    evolve: bool = False
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any]) -> TableSpec:
@@ -60,6 +62,7 @@ class TableSpec:
             partition_columns=tuple(raw.get("partition_cols", (TAG_COLUMN,))),
             provider=raw.get("provider", "iceberg"),
             location=raw.get("location"),
+            evolve=bool(raw.get("evolve", False)),
         )
 
 
@@ -121,4 +124,5 @@ class DatasetSpec:
         keys: Sequence[str] = self.id_columns
         if not keys:
             raise ValueError(f"{self.name}: an incremental table load needs id_cols")
-        return tuple(keys) if TAG_COLUMN in keys else (*keys, TAG_COLUMN)
+        tagged = any(key.lower() == TAG_COLUMN for key in keys)
+        return tuple(keys) if tagged else (*keys, TAG_COLUMN)

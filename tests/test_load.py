@@ -125,6 +125,63 @@ def test_incremental_table_load_needs_a_key(spark, spec, table, folder):
     keyless = replace(spec, table=table, id_columns=())
     with pytest.raises(ValueError, match="id_cols"):
         run_load(spark, keyless, folder, LoadOptions())
+    assert [tuple(r)[3:] for r in spark.read.parquet(f"{folder}/audit").collect()] == [
+        (None, None, None, "FAILED")
+    ]
+
+
+def test_a_key_spelled_like_the_tag_is_one_key(spark, spec, table, folder):
+    spec = replace(spec, table=table, id_columns=("key", "DOMICILE"))
+    run_load(spark, spec, folder, full())
+    assert run_load(spark, spec, folder, LoadOptions(load_ts=AT)).curated(spark).count() == 3
+
+
+@pytest.mark.parametrize("change", [
+    {"id_columns": ("nope",)},
+    {"columns": (ColumnSpec("id", "key", "bigint", "no such type"),)},
+    {"columns": (ColumnSpec("id", "key", "bigint", "bigint", sensitivity="odd"),)},
+    {"columns": (ColumnSpec("id", "dq_reasons", "bigint", "bigint"),), "id_columns": ()},
+    {"columns": (ColumnSpec("id", "HR", "bigint", "bigint"),), "id_columns": ()},
+])
+def test_a_bad_specification_writes_nothing(spark, spec, folder, change):
+    first = run_load(spark, spec, folder, full())
+    before = sorted(Path(first.paths.staging).rglob("*.parquet"))
+    with pytest.raises(Exception):
+        run_load(spark, replace(spec, **change), folder, full(mask=True, rejects_by_hour=True))
+    assert sorted(Path(first.paths.staging).rglob("*.parquet")) == before
+    assert first.curated(spark).count() == 3
+
+
+@pytest.mark.parametrize("full_load", [True, False])
+def test_source_columns_named_like_the_stamp_are_kept(spark, spec, folder, tmp_path, full_load):
+    source = str(tmp_path / "stamped")
+    spark.createDataFrame(ROWS, SCHEMA).withColumns(
+        {"load_dt": F.lit("2001-01-01"), "LOAD_HR": F.lit(5)}
+    ).write.parquet(source)
+    result = run_load(spark, replace(spec, source_path=source), folder, LoadOptions(full_load=full_load, load_ts=AT))
+    assert set(rows(result.curated(spark), "load_dt", "LOAD_HR")) == {("2001-01-01", 5)}
+    staged = spark.read.parquet(result.paths.staging)
+    assert set(rows(staged.selectExpr("cast(load_dt as string) d", "load_hr h", "source_load_dt s"), "d", "h", "s")) == {
+        ("2024-03-05", 7, "2001-01-01")
+    }
+
+
+def test_curated_keeps_columns_of_earlier_runs(spark, spec, folder, tmp_path):
+    noted = str(tmp_path / "noted")
+    spark.createDataFrame(ROWS, SCHEMA).withColumn("note", F.lit("n")).write.parquet(noted)
+    run_load(spark, replace(spec, source_path=noted), folder, full())
+    result = run_load(spark, spec, folder, LoadOptions(load_ts=AT))
+    assert rows(result.curated(spark).groupBy("note").count(), "note", "count") == [("n", 3), (None, 3)]
+
+
+def test_a_load_without_rules_writes_curated_rows_once(spark, spec, folder, tmp_path):
+    plain = tuple(replace(c, nullable=True, regex="") for c in COLUMNS)
+    result = run_load(spark, replace(spec, columns=plain), folder, full())
+    assert (result.source, result.valid, result.rejected, result.lost) == (5, 4, 0, 0)
+    assert result.curated(spark).count() == 4
+    assert result.rejects(spark).count() == 0 and "dq_reasons" in result.rejects(spark).columns
+    masked = run_load(spark, replace(spec, columns=plain), folder, full(mask=True))
+    assert {r.name for r in masked.curated(spark).collect()} == {"********"}
 
 
 def test_rejects_of_an_earlier_run_do_not_stay(spark, spec, folder):
@@ -138,10 +195,20 @@ def test_rejects_by_hour(spark, spec, folder):
         at = datetime(2024, 3, 5, hour)
         options = LoadOptions(full_load=True, load_ts=at, rejects_by_hour=True)
         result = run_load(spark, spec, folder, options)
-    assert rows(result.rejects(spark), "key", "dt", "hr") == [
+    assert rows(result.rejects(spark), "key", "hr") == [(4, "07")]
+    assert rows(result.rejects(spark, all_hours=True), "key", "dt", "hr") == [
         (4, "2024-03-05", "07"),
         (4, "2024-03-05", "08"),
     ]
+    options = LoadOptions(full_load=True, load_ts=datetime(2024, 3, 5, 8), rejects_by_hour=True)
+    result = run_load(spark, replace(spec, where="id < 4"), folder, options)
+    assert result.rejected == 0 and result.rejects(spark).count() == 0
+    assert rows(result.rejects(spark, all_hours=True), "key", "hr") == [(4, "07")]
+
+
+def test_no_rejects_on_the_first_run_of_an_hour(spark, spec, folder):
+    result = run_load(spark, replace(spec, where="id < 4"), folder, full(rejects_by_hour=True))
+    assert result.rejects(spark).count() == 0
 
 
 def test_reject_tables(spark, spec, folder, table):
@@ -155,7 +222,7 @@ def test_reject_tables(spark, spec, folder, table):
     base = f"{folder}/hourly"
     options = full(rejects_table=hourly, rejects_by_hour=True)
     run_load(spark, replace(spec, where="id < 4"), base, options)
-    assert not spark.catalog.tableExists(".".join(hourly))
+    assert spark.table(".".join(hourly)).count() == 0
     for _ in range(2):
         run_load(spark, spec, base, options)
     expected = [(4, ["name:regex"], "2024-03-05", "07")]
@@ -173,7 +240,7 @@ def test_failure_is_audited_and_leaves_no_scratch(spark, spec, folder):
     with pytest.raises(ValueError, match="dedupe key"):
         run_load(spark, broken, folder, full())
     trail = [tuple(r)[3:] for r in spark.read.parquet(f"{folder}/audit").collect()]
-    assert trail == [(5, None, None, "FAILED")]
+    assert trail == [(None, None, None, "FAILED")]
     shared = Path(spark.conf.get("spark.checkpoint.dir")) / "millrace"
     assert not list(shared.glob("judged-people-*"))
 
@@ -279,7 +346,17 @@ def test_inferred_csv_types(spark, csv_spec, folder):
     assert rows(result.curated(spark), "code", "n") == [(1, "1"), (2, "2"), (3, "x")]
     undeclared = replace(csv_spec, columns=CSV_COLUMNS[:1])
     result = run_load(spark, undeclared, folder, full())
-    assert rows(result.curated(spark), "code", "n") == [(1, "1"), (2, "2"), (3, "x")]
+    assert rows(result.curated(spark), "code", "n") == [("001", "1"), ("002", "2"), ("003", "x")]
+
+
+def test_csv_headers_in_another_order_fail(spark, folder, tmp_path):
+    source = tmp_path / "headers"
+    source.mkdir()
+    (source / "a.csv").write_text("code,n\n001,1\n")
+    (source / "b.csv").write_text("n,code\n2,002\n")
+    spec = DatasetSpec(name="codes", source_path=str(source), format="csv", columns=CSV_COLUMNS)
+    with pytest.raises(Exception, match="CSV header"):
+        run_load(spark, spec, folder, full())
 
 
 def test_incremental_csv_reads_the_source_again(spark, csv_spec, folder):
