@@ -2,7 +2,7 @@
 
 Not collected by pytest, as it starts a small cluster of its own on this machine:
 
-    python tests/executor_loss.py /root/testdata/sf0.1
+    python tests/executor_loss.py /root/testdata/sf0.1 FOLDER_ALL_EXECUTORS_SHARE
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ import os
 import signal
 import subprocess
 import sys
-import tempfile
 import threading
 import time
 from dataclasses import replace
@@ -39,8 +38,7 @@ def executors(jvm_pid: int) -> list[int]:
     ]
 
 
-def main(sf_dir: str) -> None:
-    work = tempfile.mkdtemp(prefix="run-")
+def main(sf_dir: str, work: str) -> None:
     spark = (
         SparkSession.builder.master("local-cluster[3,2,2048]")
         .config("spark.executor.memory", "1500m")
@@ -92,4 +90,4 @@ def main(sf_dir: str) -> None:
 
 
 if __name__ == "__main__":
-    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
+    main(*sys.argv[1:3])
