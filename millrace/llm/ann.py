@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import settings
-from .common import Scratch, column, find_package, table
+from .common import Scratch, column, prepare_workers, table
 
 SHARD_VECTORS = 4096
 LEAF_VECTORS = 64
@@ -251,7 +251,7 @@ def nearest(
     result is exact; a larger one skips more.
     """
     spark = df.sparkSession
-    find_package(spark)
+    prepare_workers(spark)
     scratch = Scratch(spark, "nearest")
     vectors, asked = usable(df, id_col, vector_col), usable(queries, id_col, vector_col)
     shards = max(1, -(-vectors.count() // shard))

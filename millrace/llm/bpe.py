@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import column, find_package, grouped, table, text_or_empty
+from .common import column, give_back_memory, grouped, prepare_workers, table, text_or_empty
 from .merges import LONGEST, from_ranks
 
 #: Slices a worker's cache may hold, and code points per block of the scan.
@@ -229,6 +229,8 @@ def _digests(path: str, with_ids: bool):
                 columns.append(pa.array(ids_of, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.cache.clear()
+        give_back_memory()
 
     return run
 
@@ -246,7 +248,7 @@ def encode(
     A NULL text is an empty one, of no tokens. Repeated and NULL ids give a row each. An
     empty table gives an empty result. Other columns are not looked at.
     """
-    find_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     rows = df.select(column(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     schema = (
         f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string,"
@@ -257,7 +259,7 @@ def encode(
 
 def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Id and ``text`` of every row of ids; NULL ids give an empty text."""
-    find_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     rows = df.select(column(id_col).alias("id"), column(ids_col).cast("array<int>").alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,13 +32,27 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
-def find_package(spark: SparkSession) -> None:
-    """Python workers started from here on look for this package where the driver
-    found it; on a cluster that installs it or ships it with the job this changes nothing."""
+#: Bytes of an Arrow batch, unless the session says otherwise: a batch is held by the
+#: executor and by its Python worker at once, and a text can be long.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Batches of bounded size, and Python workers that find this package where the driver
+    found it; on a cluster that installs it, or ships it with the job, they do anyway."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
+def give_back_memory() -> None:
+    """At the end of a task: a worker that is used again keeps what it still holds."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 class Scratch:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, Scratch, column, find_package, table, text_or_empty
+from .common import SPACE_RUN, Scratch, column, prepare_workers, table, text_or_empty
 
 #: A digest with at least 1/512 of the rows is certain to be treated as hot.
 HOT_SHARE = 1 / 512
@@ -72,7 +72,7 @@ def exact_dedup(
     """
     if not hot_share > 1 / (counters + 1):
         raise ValueError("hot_share must exceed the error of the summaries")
-    find_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     scratch = Scratch(df.sparkSession, "exact-dedup")
     text = F.regexp_replace(text_or_empty(text_col), SPACE_RUN, " ")
     digests = scratch.save(

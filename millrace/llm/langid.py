@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, find_package, grouped, table, text_or_empty
+from .common import column, give_back_memory, grouped, prepare_workers, table, text_or_empty
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 12, 6
@@ -224,6 +224,7 @@ def _predict(model: bytes):
                 [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(names), pa.array(scores)],
                 [*batch.schema.names[:-1], "lang_pred", "score"],
             )
+        give_back_memory()
 
     return run
 
@@ -252,7 +253,7 @@ def with_language(
     A NULL text, one without a letter, or any text if there is no network is ``und``
     with score 0. Columns named ``lang_pred`` or ``score`` are replaced.
     """
-    find_package(df.sparkSession)
+    prepare_workers(df.sparkSession)
     keep = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     kept = df.select(*[column(c) for c in keep], column(text_col).cast("string").alias("__text"))
     lettered = F.col("__text").rlike(r"\p{L}")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, find_package, grouped, small_side, table, text_or_empty
+from .common import Scratch, column, give_back_memory, grouped, prepare_workers, small_side, table, text_or_empty
 from .shingles import mixed
 
 EDITS = 2
@@ -100,6 +100,7 @@ def _line_keys(edits: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel().view(np.int64)), pa.array(own)], ["key", "node"]
                 )
+        give_back_memory()
 
     return run
 
@@ -287,7 +288,7 @@ def near_lines(
     table gives an empty result. Other columns are not looked at.
     """
     spark = df.sparkSession
-    find_package(spark)
+    prepare_workers(spark)
     scratch = Scratch(spark, "lines")
     lines = _lines(df, id_col, text_col).withColumns(
         {"node": F.xxhash64("line"), "digest": F.unhex(F.md5("line"))}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, find_package, grouped, table, text_or_empty
+from .common import Scratch, column, give_back_memory, grouped, prepare_workers, table, text_or_empty
 from .merges import LONGEST, from_tokenizer_file
 
 CAPACITY = 2048
@@ -210,9 +210,12 @@ class WordEncoder:
         for chunk, encoding in zip(other, found):
             self.chunks[chunk] = np.array(encoding.ids, "<u4").tobytes()
 
+    def forget(self) -> None:
+        self.chunks = {"": b""}
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > self.entries:
-            self.chunks = {"": b""}
+            self.forget()
         split = [text.replace("\n", " ").split(" ") for text in texts]
         self._learn([c for c in dict.fromkeys(chain.from_iterable(split)) if c not in self.chunks])
         return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
@@ -253,6 +256,8 @@ def _cut(path: str, capacity: int, with_ids: bool):
                 columns.append(pa.array(ids, pa.binary()))
             names = ["id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)]
             yield pa.RecordBatch.from_arrays(columns, names)
+        encoder.forget()
+        give_back_memory()
 
     return run
 
@@ -332,7 +337,7 @@ def pack(
     are not looked at.
     """
     spark = df.sparkSession
-    find_package(spark)
+    prepare_workers(spark)
     pieces = Scratch(spark, "packing").save(
         token_pieces(df, tokenizer_path, id_col, text_col, capacity, with_ids), "pieces"
     )

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, find_package, grouped, small_side, table, text_or_empty
+from .common import Scratch, column, give_back_memory, grouped, prepare_workers, small_side, table, text_or_empty
 from .graph import connected_components
 from .shingles import shingle_sets
 
@@ -112,6 +112,7 @@ def _sketches(size: int):
                  pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())],
                 ["id", "text_key", "n_shingles", "digest", "sketch"],
             )
+        give_back_memory()
 
     return run
 
@@ -283,7 +284,7 @@ def near_duplicates(
     whole numbers.
     """
     spark = df.sparkSession
-    find_package(spark)
+    prepare_workers(spark)
     scratch = Scratch(spark, "near-duplicates")
     text = text_or_empty(text_col)
     rows = df.select(

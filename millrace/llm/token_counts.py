@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, find_package, grouped, path_exists, table, text_or_empty
+from .common import Scratch, column, give_back_memory, grouped, path_exists, prepare_workers, table, text_or_empty
 from .merges import LONGEST, from_tokenizer_file
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -117,6 +117,8 @@ def _count_batches(path: str):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"]
             )
+        counter.counts.clear()
+        give_back_memory()
 
     return run
 
@@ -147,7 +149,7 @@ def count_tokens(
     empty result; other columns are not looked at.
     """
     spark = df.sparkSession
-    find_package(spark)
+    prepare_workers(spark)
     version = tokenizer_digest(tokenizer_path)
     text = text_or_empty(text_col)
     digest = F.unhex(F.sha2(text, 256)).alias("digest")
