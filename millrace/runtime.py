@@ -95,7 +95,8 @@ def estimated_bytes(df: DataFrame) -> int:
     return size if size < _UNKNOWN_BYTES else 0
 
 
-def _in_bytes(spark: SparkSession, name: str) -> int:
+def in_bytes(spark: SparkSession, name: str) -> int:
+    """A session setting that is a size, such as ``64m``."""
     text = spark.conf.get(name).strip().lower()
     digits = text.rstrip("bkmgtp")
     unit = text[len(digits) :].rstrip("b")
@@ -157,8 +158,8 @@ def sized_for(spark: SparkSession, *inputs: DataFrame, stored: int = 0) -> Itera
     values = scaled_settings(
         stored + sum(estimated_bytes(df) for df in inputs),
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        _in_bytes(spark, "spark.sql.files.maxPartitionBytes"),
-        _in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes"),
+        in_bytes(spark, "spark.sql.files.maxPartitionBytes"),
+        in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes"),
     )
     values["spark.sql.adaptive.enabled"] = "true"
     writers = int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))

@@ -72,7 +72,7 @@ def test_unknown_size(spark, tmp_path):
 @pytest.mark.parametrize("text, size", [("128", 128), ("64MB", 64 << 20), ("1g", 1 << 30), ("7b", 7)])
 def test_byte_settings(spark, text, size):
     with runtime.settings(spark, {"spark.millrace.size": text}):
-        assert runtime._in_bytes(spark, "spark.millrace.size") == size
+        assert runtime.in_bytes(spark, "spark.millrace.size") == size
 
 
 def test_scratch_is_new_each_time_and_only_scratch_is_dropped(spark):
