@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import drop_scratch, scratch_dir
+from ..runtime import drop_scratch, in_bytes, scratch_dir
 
 #: The characters that count as white space in word and line operators.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -45,7 +45,7 @@ def prepare_workers(spark: SparkSession) -> None:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
-    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+    if in_bytes(spark, _BATCH_SETTING) > BATCH_BYTES:
         spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
