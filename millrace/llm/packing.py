@@ -29,7 +29,7 @@ SEPARATOR = 0
 #: Pieces of one length that one task numbers.
 NUMBERED_TOGETHER = 50_000
 #: Entries a worker's cache may hold before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 
 Pattern = tuple[tuple[int, int], ...]
 
