@@ -36,8 +36,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that occur earlier, in full or but for two edits."""
-    return _counted(line_dedup.drop_repeated_lines(docs))
+    """Documents without the lines that occur earlier, in full or, if they are not short,
+    but for two edits."""
+    return _counted(line_dedup.drop_repeated_lines(docs, short_exact=True))
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

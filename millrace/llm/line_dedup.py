@@ -16,14 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, column, give_back_memory, grouped, prepare_workers, small_side, table, text_or_empty
 from .shingles import mixed
 
 EDITS = 2
-#: Shorter lines are left alone: few edits would make most of them equal.
+#: Shorter lines have no edits to spare: few would make most of them equal.
 MIN_CHARS = 20
 BLOCK_LINES = 512
 #: Code points of one side that are compared together.
@@ -270,12 +270,17 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(column(id_col).alias("id"), F.xxhash64(text).alias("key"), line)
 
 
+def _says_something(line) -> Column:
+    return F.regexp_like(line, F.lit(r"[^\s\p{Z}]"))
+
+
 def near_lines(
     df: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
+    short_exact: bool = False,
 ) -> DataFrame:
     """One row per line of every text: ``id``, ``key`` (of the text), ``line_no`` from 0,
     ``copies`` (times its text occurs), ``links`` (other line texts within ``edits``
@@ -283,9 +288,11 @@ def near_lines(
 
     Of equal lines the first stays: that of the smallest id, NULL ids last, then of the
     smallest line number. It goes too if a line within ``edits`` edits occurs earlier.
-    Lines of fewer than ``min_chars`` code points stay, with NULL counts. Rows that are
-    equal in id and text share their lines' fate. A NULL text is one empty line. An empty
-    table gives an empty result. Other columns are not looked at.
+    Lines of fewer than ``min_chars`` code points are near to nothing. With ``short_exact``
+    they are counted and judged by their exact repeats, but blank ones, which part
+    paragraphs, stay; without it all of them stay, with NULL counts. Rows that are equal
+    in id and text share their lines' fate. A NULL text is one empty line. An empty table
+    gives an empty result. Other columns are not looked at.
     """
     spark = df.sparkSession
     prepare_workers(spark)
@@ -293,7 +300,8 @@ def near_lines(
     lines = _lines(df, id_col, text_col).withColumns(
         {"node": F.xxhash64("line"), "digest": F.unhex(F.md5("line"))}
     )
-    long_lines = lines.filter(F.char_length("line") >= min_chars)
+    is_long = F.char_length("line") >= min_chars
+    long_lines = lines.filter(is_long)
     found = long_lines.select("line", "node").mapInArrow(_line_keys(edits), "key long, node long")
     shared = found.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
         _shared_keys, "key long, node long"
@@ -302,7 +310,7 @@ def near_lines(
     nodes = scratch.save(shared.select("node").distinct(), "nodes")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line_no", "key")
     first = scratch.save(
-        long_lines.groupBy("digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")),
+        (lines if short_exact else long_lines).groupBy("digest").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")),
         "first",
     )
     texts = (
@@ -335,7 +343,11 @@ def near_lines(
     links = scratch.save(links, "links")
     scratch.drop("shared", "nodes", "texts")
     judged = first.join(small_side(links, scratch.path("links")), "digest", "left")
-    places = lines.select("id", "key", "line_no", F.when(F.char_length("line") >= min_chars, F.col("digest")).alias("digest"))
+    places = lines.select(
+        "id", "key", "line_no",
+        (F.col("digest") if short_exact else F.when(is_long, F.col("digest"))).alias("digest"),
+        (~is_long & ~_says_something("line")).alias("blank"),
+    )
     is_first = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("line_no") == F.col("least.line_no")) & (F.col("key") == F.col("least.key"))
     return places.join(judged, "digest", "left").select(
         "id",
@@ -343,7 +355,7 @@ def near_lines(
         "line_no",
         "copies",
         F.when(F.col("copies").isNotNull(), F.coalesce("links", F.lit(0).cast("long"))).alias("links"),
-        (F.col("copies").isNull() | (is_first & ~F.coalesce("preceded", F.lit(False)))).alias("kept"),
+        (F.col("copies").isNull() | F.col("blank") | (is_first & ~F.coalesce("preceded", F.lit(False)))).alias("kept"),
     )
 
 
@@ -353,12 +365,14 @@ def drop_repeated_lines(
     text_col: str = "text",
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
+    short_exact: bool = False,
 ) -> DataFrame:
     """``df`` without the lines that ``near_lines`` does not keep. A document that loses
-    all of its lines goes; every other row, and every other column, stays."""
+    all of its lines, or all but blank ones, goes; every other row, and every other
+    column, stays."""
     scratch = Scratch(df.sparkSession, "repeated-lines")
     gone = (
-        near_lines(df, id_col, text_col, edits, min_chars)
+        near_lines(df, id_col, text_col, edits, min_chars, short_exact)
         .filter(~F.col("kept"))
         .groupBy("id", "key")
         .agg(F.collect_set("line_no").alias("gone"))
@@ -376,12 +390,12 @@ def drop_repeated_lines(
     changed = F.col("__gone").isNotNull()
     return (
         joined.withColumn("__left", F.when(changed, left))
-        .filter(~changed | (F.size("__left") > 0))
+        .filter(~changed | F.exists("__left", _says_something))
         .withColumn(text_col, F.when(changed, F.array_join("__left", "\n")).otherwise(column(text_col)))
         .drop("__gone", "__left")
     )
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_lines(table(spark, sf_dir, "documents"))
+    found = near_lines(table(spark, sf_dir, "documents"), short_exact=True)
     return found.withColumnRenamed("id", "doc_id").drop("key")
