@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from millrace.llm import langid, line_dedup, packing, secret_scan, setsketch
 from millrace.llm.common import Scratch, small_side, table
 
-#: A document whose language is less sure than this is rejected, as is one without letters.
-LEAST_SCORE = 0.3
+#: A document whose language is less sure than this, from 0 (chance) to 1, is rejected, as is
+#: one without letters or less familiar than the network's labelled rows allow.
+LEAST_MARGIN = 1 / 15
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -30,9 +31,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     network = langid.train_on(docs)
     if network is None:
         return docs
-    named = langid.with_language(docs, network)
-    sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return named.filter(sure).select(*docs.columns)
+    named = langid.with_language(docs, network, familiar=True)
+    sure = (F.col("lang_pred") != langid.UNDETERMINED) & (network.margins(F.col("score")) >= LEAST_MARGIN)
+    known = F.col("familiarity") >= network.least_familiar
+    return named.filter(sure & known).select(*docs.columns)
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 12, 6
 SAMPLE_PER_LANGUAGE, WINDOWS_PER_TEXT = 300, 6
 EPOCHS, BATCH, RATE = 10, 64, 0.004
 UNDETERMINED = "und"
+#: How much less familiar than a labelled row (all but one in a hundred) a text may be.
+FAMILIAR_SHARE = 0.75
 #: Windows scored together.
 TOGETHER = 512
 
@@ -47,7 +49,8 @@ def normal(text: str) -> bytes:
 
 @dataclass
 class Network:
-    """``embed[byte]``, a filter bank per width, and the softmax layer."""
+    """``embed[byte]``, a filter bank per width, and the softmax layer. ``known`` tells the
+    byte pairs of the sample, ``least_familiar`` what a text in a learned language has."""
 
     labels: list[str]
     embed: np.ndarray
@@ -55,6 +58,8 @@ class Network:
     biases: list[np.ndarray]
     out: np.ndarray
     out_bias: np.ndarray
+    known: np.ndarray
+    least_familiar: float = 0.0
 
     @classmethod
     def fresh(cls, labels: list[str], seed: int = 7) -> Network:
@@ -67,6 +72,7 @@ class Network:
             [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
             draw(len(WIDTHS) * FILTERS, len(labels), scale=0.3),
             np.zeros(len(labels), np.float32),
+            np.zeros(1 << 16, bool),
         )
 
     def parameters(self) -> list[np.ndarray]:
@@ -118,7 +124,8 @@ class Network:
 
     def to_bytes(self) -> bytes:
         held = io.BytesIO()
-        np.savez(held, *self.parameters(), labels=np.array(self.labels, dtype=str))
+        told = dict(known=np.packbits(self.known), least_familiar=np.array(self.least_familiar))
+        np.savez(held, *self.parameters(), labels=np.array(self.labels, dtype=str), **told)
         return held.getvalue()
 
     @classmethod
@@ -126,13 +133,49 @@ class Network:
         held = np.load(io.BytesIO(data))
         p = [held[f"arr_{i}"] for i in range(3 + 2 * len(WIDTHS))]
         n = len(WIDTHS)
-        return cls(held["labels"].tolist(), p[0], p[1 : 1 + n], p[1 + n : 1 + 2 * n], p[-2], p[-1])
+        told = np.unpackbits(held["known"]).astype(bool), float(held["least_familiar"])
+        return cls(held["labels"].tolist(), p[0], p[1 : 1 + n], p[1 + n : 1 + 2 * n], p[-2], p[-1], *told)
+
+    def margins(self, score: Column) -> Column:
+        """``score`` from 0, chance among the labels, to 1. One label leaves no choice: 1."""
+        chance = 1 / len(self.labels)
+        return (score - chance) / (1 - chance) if chance < 1 else F.lit(1.0)
+
+
+def byte_pairs(text: str) -> np.ndarray:
+    data = np.frombuffer(normal(text), np.uint8).astype(np.uint16)
+    return (data[:-1] << 8) | data[1:]
+
+
+def familiarity(known: np.ndarray, text: str) -> float:
+    """Share of the text's byte pairs that are known: of all of them or of the different
+    ones, whichever is more, so that neither a long run nor a short passage decides."""
+    pairs = byte_pairs(text)
+    if not len(pairs):
+        return 1.0
+    seen = np.zeros(1 << 16, bool)
+    seen[pairs] = True
+    return float(max(known[pairs].mean(), known[seen].mean()))
+
+
+def learn_pairs(network: Network, samples: list[list[str]]) -> None:
+    """``known`` from all samples; ``least_familiar`` from how familiar every other sample
+    is to one that knows the rest."""
+    for pieces in samples[::2]:
+        for piece in pieces:
+            network.known[byte_pairs(piece)] = True
+    rest = [familiarity(network.known, " ".join(pieces)) for pieces in samples[1::2]]
+    network.least_familiar = FAMILIAR_SHARE * float(np.quantile(rest, 0.01)) if rest else 0.0
+    for pieces in samples[1::2]:
+        for piece in pieces:
+            network.known[byte_pairs(piece)] = True
 
 
 def train(samples: list[list[str]], labels: list[str], seed: int = 7) -> Network:
     """Adam on the windows of each sample's pieces of text."""
     names = sorted(set(labels))
     network, random = Network.fresh(names, seed), np.random.default_rng(seed)
+    learn_pairs(network, samples)
     rows, wanted = [], []
     for pieces, label in zip(samples, labels):
         found = np.concatenate([windows(normal(piece)) for piece in pieces])
@@ -211,18 +254,23 @@ def train_on(
     return train([pieces for _, _, pieces in found], [lang for lang, _, _ in found])
 
 
-def _predict(model: bytes):
+def _predict(model: bytes, familiar: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network.from_bytes(model)
         for batch in batches:
-            names, scores = [], []
+            names, scores, shares = [], [], []
             for texts in grouped((t.as_py() for t in batch.column("__text")), 250_000):
                 label, score = predict(network, texts)
                 names += label
                 scores += score
+                if familiar:
+                    shares += [familiarity(network.known, t) for t in texts]
+            told = {"lang_pred": pa.array(names), "score": pa.array(scores)}
+            if familiar:
+                told["familiarity"] = pa.array(shares)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(names), pa.array(scores)],
-                [*batch.schema.names[:-1], "lang_pred", "score"],
+                [*(batch.column(i) for i in range(batch.num_columns - 1)), *told.values()],
+                [*batch.schema.names[:-1], *told],
             )
         give_back_memory()
 
@@ -246,18 +294,24 @@ def predict(network: Network, texts: list[str]) -> tuple[list[str], list[float]]
 
 
 def with_language(
-    df: DataFrame, network: Network | None, text_col: str = "text", keep: list[str] | None = None
+    df: DataFrame,
+    network: Network | None,
+    text_col: str = "text",
+    keep: list[str] | None = None,
+    familiar: bool = False,
 ) -> DataFrame:
-    """``keep`` (all columns by default), then ``lang_pred`` and ``score``.
+    """``keep`` (all columns by default), then ``lang_pred`` and ``score``, and with
+    ``familiar`` also ``familiarity``.
 
     A NULL text, one without a letter, or any text if there is no network is ``und``
-    with score 0. Columns named ``lang_pred`` or ``score`` are replaced.
+    with score (and familiarity) 0. Columns of these names are replaced.
     """
     prepare_workers(df.sparkSession)
-    keep = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    added = ["lang_pred", "score", *(["familiarity"] if familiar else [])]
+    keep = [c for c in (df.columns if keep is None else keep) if c not in added]
     kept = df.select(*[column(c) for c in keep], column(text_col).cast("string").alias("__text"))
     lettered = F.col("__text").rlike(r"\p{L}")
-    und = [F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")]
+    und = [F.lit(UNDETERMINED if c == "lang_pred" else 0.0).alias(c) for c in added]
     if network is None:
         return kept.select(*[column(c) for c in keep], *und)
     found = kept.select(
@@ -265,12 +319,14 @@ def with_language(
         F.coalesce(~lettered, F.lit(True)).alias("__und"),
         F.when(lettered, F.col("__text")).otherwise("").alias("__text"),
     )
-    schema = found.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    named = found.mapInArrow(_predict(network.to_bytes()), schema)
+    schema = found.drop("__text").schema.add("lang_pred", "string")
+    for c in added[1:]:
+        schema = schema.add(c, "double")
+    named = found.mapInArrow(_predict(network.to_bytes(), familiar), schema)
     return named.select(
         *[column(c) for c in keep],
         F.when(F.col("__und"), UNDETERMINED).otherwise(F.col("lang_pred")).alias("lang_pred"),
-        F.when(F.col("__und"), 0.0).otherwise(F.col("score")).alias("score"),
+        *[F.when(F.col("__und"), 0.0).otherwise(F.col(c)).alias(c) for c in added[1:]],
     )
 
 

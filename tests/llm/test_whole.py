@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import corpus_pipeline
 from millrace.llm.line_dedup import drop_repeated_lines, near_lines
 from millrace.llm.queries import QUERIES
@@ -64,3 +66,21 @@ def test_line_dedup_query_and_stage_judge_short_lines(spark, sf_dir):
             left[doc] = "\n".join(lines)
     staged = corpus_pipeline.line_deduplication(spark, some, sf_dir).collect()
     assert {r["doc_id"]: r["text"] for r in staged} == left
+
+
+UNLEARNED = [
+    (9101, "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью."),
+    (9102, "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα."),
+    (9103, "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。"),
+    (9104, "#@!% a &*(^ ~~ {}[] <> || \\\\ ++ == -- ;; 0x12 %% $$ @@ !! ?? 99 88 b ^^"),
+]
+
+
+@pytest.mark.parametrize("languages", [["en"], ["en", "fr"], ["de", "en", "es", "fr"]])
+def test_unlearned_languages_go_and_clean_documents_stay(spark, sf_dir, languages):
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    clean = source.filter(source["lang"].isin(languages))
+    odd = spark.createDataFrame([(doc, text, None, "s", len(text)) for doc, text in UNLEARNED], source.schema)
+    left = corpus_pipeline.language_id(spark, clean.unionByName(odd), sf_dir)
+    assert left.columns == source.columns
+    assert sorted(r[0] for r in left.select("doc_id").collect()) == sorted(r[0] for r in clean.select("doc_id").collect())
