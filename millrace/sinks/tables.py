@@ -179,6 +179,7 @@ def merge_into_table(
 
     target = spark.table(table_name(table))
     parts = _partition_columns(spark, table)
+    source = _as_partitioned(source, target, parts)
     stored = stored_bytes(spark, table_location(spark, table))
     if parts and {p.lower() for p in parts} <= {k.lower() for k in keys}:
         touched, one_partition = _touched(target, source, parts)
@@ -191,6 +192,13 @@ def merge_into_table(
         _replace_files(gathered(upsert_rows(target, source, keys), parts), table, parts)
 
 
+def _as_partitioned(source: DataFrame, target: DataFrame, parts: list[str]) -> DataFrame:
+    """``source`` with NULL for empty strings in partition columns, which is what the file
+    writer stores; else the NULL partition would be overwritten without being read."""
+    texts = [p for p in parts if isinstance(target.schema[p].dataType, T.StringType)]
+    return source.withColumns({p: F.when(col(p).cast("string") != "", col(p)) for p in texts}) if texts else source
+
+
 def _touched(target: DataFrame, source: DataFrame, parts: list[str]) -> tuple[DataFrame, bool]:
     """Target rows in the partitions ``source`` has rows for; and: is it only one?
 
