@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, exact_dedup, langid, line_dedup, packing, secret_scan, setsketch, token_counts, warc
+from . import (
+    ann,
+    bpe,
+    clustering,
+    divergence,
+    exact_dedup,
+    inner_product,
+    langid,
+    line_dedup,
+    packing,
+    secret_scan,
+    setsketch,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_near_duplicates": setsketch.op1_near_duplicates,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_warc": warc.op9_warc,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_clusters": clustering.op11_clusters,
+    "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_top_products": inner_product.op13_top_products,
 }
 
 ORACLES = {
@@ -22,4 +39,7 @@ ORACLES = {
     "op6_secrets": secret_scan.ORACLE,
     "op7_nearest": ann.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op11_clusters": clustering.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_top_products": inner_product.ORACLE,
 }
