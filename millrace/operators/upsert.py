@@ -32,16 +32,7 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     unless AQE measures the keys to be small.
     """
     names = target.columns
-    known = Names(target)
-    extra = [c for c in source.columns if known.find(c) is None]
-    if extra:
-        raise ValueError(f"upsert: the target has no column {', '.join(extra)}")
-    arriving = source.select(
-        *[
-            _as_stored(source.schema[present], field)
-            for present, field in zip(require(source, names, "upsert source"), target.schema)
-        ]
-    )
+    arriving = _arriving(target, source)
     key_names = list(dict.fromkeys(require(target, keys, "upsert key")))
     key_columns = [col(k) for k in key_names]
     # Joined on the hash as well, so these few keys are shuffled once more than they
@@ -75,6 +66,30 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return unmatched.unionByName(arriving)
 
 
+def _arriving(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Source rows with the target's columns and types."""
+    known = Names(target)
+    extra = [c for c in source.columns if known.find(c) is None]
+    if extra:
+        raise ValueError(f"upsert: the target has no column {', '.join(extra)}")
+    return source.select(
+        *[
+            _as_stored(source.schema[present], field)
+            for present, field in zip(require(source, target.columns, "upsert source"), target.schema)
+        ]
+    )
+
+
+def source_keys(
+    target: DataFrame, source: DataFrame, keys: Sequence[str]
+) -> tuple[list[str], DataFrame]:
+    """Names of the key columns, and their distinct values in the source, as the target
+    stores them and without NULLs, which match nothing."""
+    names = list(dict.fromkeys(require(target, keys, "upsert key")))
+    values = _arriving(target, source).select(*[col(k) for k in names])
+    return names, values.filter(_all_present([col(k) for k in names])).distinct()
+
+
 def _as_stored(given: T.StructField, stored: T.StructField) -> Column:
     value = col(given.name)
     if given.dataType != stored.dataType:

@@ -1,9 +1,11 @@
 """One load of one dataset, from source files to published rows and an audit row.
 
-Data is read twice: the source for the staging copy, then the rows to be judged. A
-full load takes these from the staging copy, which holds this load and nothing else,
-already filtered and in columns; an incremental one, whose staging copy also holds
-earlier loads, from the source again.
+The source is read once, for the staging copy. The rows to be judged come from the part
+of the staging copy that this run published: already filtered, in columns, and without the
+rows of earlier loads.
+
+Appends carry the run's identity, so a run that is repeated takes the place of what it
+appended before.
 
 Judged rows are written to shared scratch space, partitioned by outcome, so that the
 curated and the reject writer each read only their own rows and the keyed dedupe
@@ -44,10 +46,11 @@ from ..operators.quality import (
     valid_rows,
 )
 from ..operators.reports import SchemaIssue, conformance_metrics, raise_on_error, schema_issues
-from ..operators.rows import STAMP_COLUMNS, keep_where, stamp_load, with_domicile
+from ..operators.rows import STAMP_COLUMNS, keep_where, with_domicile
 from ..runtime import drop_scratch, scratch_dir, sized_for
 from ..sinks.audit import append_audit
-from ..sinks.curated import read_partitioned, with_earlier_columns, write_curated_files
+from ..sinks.curated import with_earlier_columns, write_curated_files
+from ..sinks.published import Dataset, read_published
 from ..sinks.rejects import (
     RUN_COLUMNS,
     publish_rejects,
@@ -55,9 +58,9 @@ from ..sinks.rejects import (
     write_rejects_partition,
 )
 from ..sinks.staging import write_staging
-from ..sinks.tables import publish_table, table_name, unknown_columns
+from ..sinks.tables import publish_table, read_table, table_name, unknown_columns
 from ..sources.files import MALFORMED, read_source
-from ..spec import DatasetSpec
+from ..spec import DatasetSpec, TableSpec
 
 log = logging.getLogger(__name__)
 _HOUR = [T.StructField(name, T.StringType()) for name in RUN_COLUMNS]
@@ -102,6 +105,16 @@ class LoadOptions:
     rejects_table: tuple[str, str] | None = None
     cast_mode: str = "try"
     csv_types: str = "declared"
+    #: Identity of the run. What an incremental run adds to files takes the place of what
+    #: a run of the same identity added before. ``load_ts``, if not given; a run with
+    #: neither is like no other.
+    run_id: str | None = None
+
+    @property
+    def run(self) -> str | None:
+        if self.run_id is None and self.load_ts is not None:
+            return self.load_ts.isoformat()
+        return self.run_id
 
 
 @dataclass
@@ -122,7 +135,12 @@ class LoadResult:
     bad_casts: dict[str, int] = field(default_factory=dict)
     curated_schema: T.StructType | None = None
     rejects_schema: T.StructType | None = None
-    table: str | None = None
+    #: The table that curated rows went to, if not to files.
+    target: TableSpec | None = None
+
+    @property
+    def table(self) -> str | None:
+        return None if self.target is None else table_name(self.target)
 
     @property
     def not_published(self) -> int | None:
@@ -138,14 +156,18 @@ class LoadResult:
 
     def curated(self, spark: SparkSession) -> DataFrame:
         """All curated rows there are now, with the columns of this and earlier runs."""
-        if self.table is not None:
-            return spark.table(self.table)
+        if self.target is not None:
+            return read_table(spark, self.target)
         schema = with_earlier_columns(spark, self.paths.curated, self.curated_schema)
-        return read_partitioned(spark, self.paths.curated, schema)
+        return read_published(spark, self.paths.curated, schema)
+
+    def staged(self, spark: SparkSession) -> DataFrame:
+        """The raw copies of this and earlier runs, with their load stamps."""
+        return read_published(spark, self.paths.staging)
 
     def rejects(self, spark: SparkSession, all_hours: bool = False) -> DataFrame:
         """This run's rejects; with ``all_hours`` those of every hour that is kept."""
-        found = read_partitioned(spark, self.paths.rejects, self.rejects_schema)
+        found = read_published(spark, self.paths.rejects, self.rejects_schema)
         if self.hour is None or all_hours:
             return found
         return found.filter((F.col("dt") == self.hour[0]) & (F.col("hr") == self.hour[1]))
@@ -188,18 +210,20 @@ def run_load(
             _write_rejects(rejected, options, clock, result)
         status = "SUCCESS"
     finally:
-        drop_scratch(spark, scratch)
-        append_audit(
-            spark,
-            result.paths.audit,
-            spec.name,
-            options.sys_level,
-            result.source,
-            result.valid,
-            result.rejected,
-            status,
-            utc,
-        )
+        try:
+            append_audit(
+                spark,
+                result.paths.audit,
+                spec.name,
+                options.sys_level,
+                result.source,
+                result.valid,
+                result.rejected,
+                status,
+                utc,
+            )
+        finally:
+            drop_scratch(spark, scratch)
     return result
 
 
@@ -267,7 +291,7 @@ def _stage(
     watched = tagged.observe(seen, *metrics)
     aside = _moved_aside(rows)
     copied = watched.drop(MALFORMED).withColumnsRenamed(aside)
-    write_staging(copied, result.paths.staging, options.full_load, clock)
+    part = write_staging(copied, result.paths.staging, options.full_load, clock, options.run)
     counts = seen.get
     result.source = counts["rows"]
     result.malformed = counts.get("malformed", 0)
@@ -277,12 +301,8 @@ def _stage(
         if f"nulls_{i}" in counts:
             result.nulls[column.source] = counts[f"nulls_{i}"]
             result.bad_casts[column.source] = counts[f"bad_casts_{i}"]
-    if not options.full_load:
-        return rows
-    schema = stamp_load(rows.withColumnsRenamed(aside), clock).schema
-    return read_partitioned(rows.sparkSession, result.paths.staging, schema).select(
-        *[col(aside.get(c, c)).alias(c) for c in rows.columns]
-    )
+    staged = Dataset(rows.sparkSession, result.paths.staging).read(part.schema, [part])
+    return staged.select(*[col(aside.get(c, c)).alias(c) for c in rows.columns])
 
 
 def _deduped(rows: DataFrame, spec: DatasetSpec, options: LoadOptions) -> DataFrame:
@@ -329,6 +349,7 @@ def _write_all(
         spec.domicile,
         single_tag,
         watch=lambda df: df.observe(seen, F.count(F.lit(1)).alias(VALID)),
+        run=options.run,
     )
     result.valid, result.rejected, result.lost = seen.get[VALID], 0, 0
     return none
@@ -351,7 +372,7 @@ def _judge(
     counts = seen.get
     result.valid, result.rejected, result.lost = counts[VALID], counts[REJECT], counts[LOST]
     result.rule_failures = {rule: counts[rule] for rule in rules}
-    return read_partitioned(rows.sparkSession, scratch, judged.schema)
+    return rows.sparkSession.read.schema(judged.schema).parquet(scratch)
 
 
 def _check_counts(spec: DatasetSpec, options: LoadOptions, result: LoadResult) -> None:
@@ -375,12 +396,12 @@ def _publish(
 ) -> None:
     if spec.table is None:
         result.curated_schema = write_curated_files(
-            valid, result.paths.curated, options.full_load, spec.domicile, single_tag
+            valid, result.paths.curated, options.full_load, spec.domicile, single_tag, run=options.run
         )
         return
     keys = () if options.full_load else spec.merge_keys()
     publish_table(valid, spec.table, options.full_load, keys, spec.domicile, single_tag)
-    result.table = table_name(spec.table)
+    result.target = spec.table
     result.curated_schema = valid.schema
 
 

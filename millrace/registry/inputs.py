@@ -99,12 +99,20 @@ def file_table(
     return TableSpec("spark_catalog", database, name, partition_columns, "parquet", data)
 
 
-def taken_from(spark: SparkSession, target: TableSpec, name: str | None = None) -> DataFrame:
+def taken_from(
+    spark: SparkSession, target: TableSpec, name: str | None = None, copied: bool = False
+) -> DataFrame:
     """The rows of a table of ``file_table``'s database, read as files; the database is
-    dropped, which leaves the files."""
+    dropped, which leaves the files. With ``copied`` the rows are read through the table,
+    whose partitions may lie anywhere, and copied first."""
     name = name or f"{quoted(target.database)}.{quoted(target.table)}"
     found = spark.table(name)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-    rows = spark.read.schema(found.schema).parquet(location.first()["data_type"])
+    if copied:
+        location = scratch_dir(spark, target.table)
+        found.write.parquet(location)
+    else:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        location = next(r["data_type"] for r in described if r["col_name"] == "Location")
+    rows = spark.read.schema(found.schema).parquet(location)
     spark.sql(f"DROP DATABASE {quoted(target.database)} CASCADE")
     return rows

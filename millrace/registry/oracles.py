@@ -80,6 +80,16 @@ LOADED = f"""WITH loaded AS (
   FROM ({_latest("(SELECT * FROM lineitem WHERE l_quantity >= 10)",
                  "l_orderkey, l_linenumber", LINE_ORDER)}))"""
 
+APPENDED = (
+    "SELECT *, 'global' AS domicile FROM ("
+    + _latest(
+        "lineitem",
+        "l_orderkey, l_linenumber, l_shipdate < TIMESTAMP '2000-01-01'",
+        LINE_ORDER,
+    )
+    + ")"
+)
+
 STAGED = "SELECT *, '2024-03-05' AS load_dt, {hour} AS load_hr FROM orders"
 
 ORACLES = {
@@ -221,11 +231,8 @@ ORACLES = {
         ELSE domicile END AS domicile), '2024-03-05' AS dt, '07' AS hr
         FROM ({FLAG_REASONED}) WHERE o_custkey IS NULL""",
     "incremental_load": f"SELECT *, 'global' AS domicile FROM ({LATEST_LINES})",
-    "incremental_append": "SELECT *, 'global' AS domicile FROM ("
-    + _latest(
-        "lineitem",
-        "l_orderkey, l_linenumber, l_shipdate < TIMESTAMP '2000-01-01'",
-        LINE_ORDER,
-    )
-    + ")",
+    "incremental_append": APPENDED,
+    "incremental_replay": f"""SELECT * FROM ({APPENDED}) JOIN (
+        SELECT l_orderkey, l_linenumber, count(*) AS staged FROM lineitem GROUP BY 1, 2)
+        USING (l_orderkey, l_linenumber)""",
 }

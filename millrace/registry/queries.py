@@ -222,7 +222,7 @@ def rowcount_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _staged(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     schema = op.stamp_load(rows, LOAD_TS).schema
-    staged = sinks.read_partitioned(spark, path, schema)
+    staged = sinks.read_published(spark, path, schema)
     return staged.withColumn("load_dt", F.col("load_dt").cast("string"))
 
 
@@ -248,7 +248,7 @@ def curated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = op.with_domicile(dirty_orders(spark, sf_dir))
     sinks.write_curated_files(op.with_domicile(table(spark, sf_dir, "orders")), path, True)
     schema = sinks.write_curated_files(orders, path, full_load=True)
-    return sinks.read_partitioned(spark, path, schema)
+    return sinks.read_published(spark, path, schema)
 
 
 def curated_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +257,7 @@ def curated_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = op.with_domicile(dirty_orders(spark, sf_dir))
     sinks.write_curated_files(orders, path, full_load=True)
     schema = sinks.write_curated_files(orders, path, full_load=False)
-    return sinks.read_partitioned(spark, path, schema)
+    return sinks.read_published(spark, path, schema)
 
 
 def _merged(spark: SparkSession, history: DataFrame, batch: DataFrame) -> DataFrame:
@@ -332,7 +332,7 @@ def rejects_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = _order_rejects(spark, sf_dir)
     sinks.write_rejects(dirty_orders(spark, sf_dir), path)
     sinks.write_rejects(rejected, path)
-    return _joined_reasons(sinks.read_partitioned(spark, path, rejected.schema))
+    return _joined_reasons(sinks.read_published(spark, path, rejected.schema))
 
 
 def rejects_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +357,7 @@ def rejects_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "rejects")
     rejected = _two_hours_of_rejects(spark, sf_dir, path)
     schema = rejected.withColumns({"dt": F.lit(""), "hr": F.lit("")}).schema
-    return _joined_reasons(sinks.read_partitioned(spark, path, schema))
+    return _joined_reasons(sinks.read_published(spark, path, schema))
 
 
 def rejects_table_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +368,7 @@ def rejects_table_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         name = sinks.register_reject_partition(
             spark, target.database, "orders_rejects", path, schema, "2024-03-05", hr
         )
-    return _joined_reasons(taken_from(spark, target, name))
+    return _joined_reasons(taken_from(spark, target, name, copied=True))
 
 
 def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -522,6 +522,17 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_loads(spark, _plain_lineitem(sf_dir))
 
 
+def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch is run twice under one load moment, and is there once, also in staging."""
+    spec, base = _plain_lineitem(sf_dir), scratch_dir(spark, "load")
+    _load(spark, replace(spec, where=f"l_shipdate < {CUT}"), base, full_load=True)
+    later = replace(spec, where=f"l_shipdate >= {CUT}")
+    for _ in range(2):
+        result = run_load(spark, later, base, LoadOptions(load_ts=NEXT_LOAD_TS))
+    staged = result.staged(spark).groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("staged"))
+    return result.curated(spark).join(staged, list(LINE_KEY))
+
+
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_csv": scan_csv,
@@ -581,4 +592,5 @@ QUERIES = {
     "full_load_rejects_by_hour": full_load_rejects_by_hour,
     "incremental_load": incremental_load,
     "incremental_append": incremental_append,
+    "incremental_replay": incremental_replay,
 }

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 from threading import RLock
@@ -28,10 +29,18 @@ MAX_ADVISORY_BYTES = 512 * MIB
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder all executors can reach: under ``spark.checkpoint.dir`` or,
-    where that is unset, under the warehouse, which is shared as well."""
+    where that is unset, under the warehouse.
+
+    Spark's own default for the warehouse is a folder of the driver's machine, so on a
+    cluster one of the two must be set.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        unset = warehouse.removeprefix("file:") == f"{os.getcwd()}/spark-warehouse"
+        if unset and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = warehouse + "/_scratch"
     return f"{root.rstrip('/')}/{SCRATCH_FOLDER}/{label}-{uuid.uuid4().hex}"
 
 
@@ -47,35 +56,36 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
 
 
-def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Let ``write`` fill a new folder beside ``path``; then let it take ``path``'s place.
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right under a folder; none if there is no folder."""
+    files, folder = file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
 
-    Until the new folder is complete nothing that exists is touched, so a write that
-    fails leaves the old files as they were. The switch is two renames; if the second
-    fails the first is undone. Stores without a rename of their own copy instead.
-    """
-    files, target = file_system(spark, path.rstrip("/"))
-    mark = uuid.uuid4().hex
-    beside = lambda kind: f"{target.getParent()}/_{kind}-{target.getName()}-{mark}"
-    new, old = (file_system(spark, beside(kind))[1] for kind in ("new", "old"))
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, if it is there."""
+    files, folder = file_system(spark, path)
+    files.delete(folder, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; an error if it is there already."""
+    files, file = file_system(spark, path)
+    files.mkdirs(file.getParent())
+    out = files.create(file, False)
     try:
-        write(str(new.toString()))
-        replaced = files.exists(target)
-        if replaced and not files.rename(target, old):
-            raise OSError(f"cannot move {target} aside")
-        files.mkdirs(target.getParent())
-        moved = False
-        try:
-            moved = files.rename(new, target)
-        finally:
-            if replaced and not moved:
-                files.rename(old, target)
-        if not moved:
-            raise OSError(f"cannot move the new files to {target}")
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, file = file_system(spark, path)
+    stream = files.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
-        files.delete(new, True)
-    files.delete(old, True)
-    spark.catalog.refreshByPath(path)
+        stream.close()
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:

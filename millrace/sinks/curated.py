@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.columns import Names, find
 from ..functions.tags import DEFAULT_TAG, TAG_COLUMN
 from ..operators.rows import with_domicile
-from ..runtime import replace_folder
 from .layout import gathered
+from .published import Dataset
 
 
 def write_curated_files(
@@ -22,43 +21,29 @@ def write_curated_files(
     domicile: str = DEFAULT_TAG,
     single_tag: bool = False,
     watch: Callable[[DataFrame], DataFrame] = lambda df: df,
+    run: str | None = None,
 ) -> T.StructType:
-    """Replace all tags (full load) or append as is; returns the written schema.
+    """Publish in place of all tags (full load) or add as is; returns the written schema.
 
-    A full load is written completely before it takes the old files' place. Appending does not look at the rows already there. ``single_tag`` says that all
-    rows share one tag, which saves the shuffle that gathers rows by tag; a tag
-    added here is such a constant. ``watch`` may observe the rows as they are written.
+    Adding does not look at the rows already there, but takes the place of what the same
+    ``run`` added before. ``single_tag`` says that all rows share one tag, which saves the
+    shuffle that gathers rows by tag; a tag added here is such a constant. ``watch`` may
+    observe the rows as they are written.
     """
     single_tag = single_tag or find(df, TAG_COLUMN) is None
     if find(df, TAG_COLUMN) is None:
         df = with_domicile(df, domicile)
     rows = watch(df if single_tag else gathered(df, [TAG_COLUMN]))
+    dataset = Dataset(df.sparkSession, path)
     if full_load:
-        new = lambda to: rows.write.partitionBy(TAG_COLUMN).parquet(to)
-        replace_folder(df.sparkSession, path, new)
+        dataset.replace(rows, [TAG_COLUMN])
     else:
-        rows.write.mode("append").partitionBy(TAG_COLUMN).parquet(path)
+        dataset.append(rows, [TAG_COLUMN], run)
     return df.schema
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read partitioned files with the types they were written with.
-
-    Left to inference, a partition value such as ``001`` would come back as 1.
-    """
-    return spark.read.schema(schema).parquet(path)
-
-
 def with_earlier_columns(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
-    """``schema`` and the columns that only files of earlier runs have.
-
-    Reads the footers of all files, as tasks.
-    """
-    try:
-        merged = spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return schema  # no run has written a row yet
+    """``schema`` and the columns that only rows of earlier runs have."""
     known = Names(spark.createDataFrame([], schema))
-    return T.StructType([*schema, *[f for f in merged.schema if known.find(f.name) is None]])
+    earlier = Dataset(spark, path).schema()
+    return T.StructType([*schema, *[f for f in earlier if known.find(f.name) is None]])

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.columns import quoted
-from ..runtime import replace_folder
+from .published import Dataset
 from .tables import columns_ddl, ensure_namespace, sql_text
 
 RUN_COLUMNS = ("dt", "hr")
@@ -16,20 +18,40 @@ RUN_COLUMNS = ("dt", "hr")
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
 
 
-def write_rejects(df: DataFrame, path: str) -> None:
-    """Replace the previous run's rejects, also by nothing when there are none now."""
-    replace_folder(df.sparkSession, path, lambda new: df.write.parquet(new))
+def write_rejects(df: DataFrame, path: str, then: Callable[[str], None] | None = None) -> None:
+    """Replace the previous run's rejects, also by nothing when there are none now.
+
+    ``then`` gets the folder of the new files before the old ones are deleted.
+    """
+    dataset = Dataset(df.sparkSession, path)
+    dataset.replace(df, then=lambda part: then(dataset.location(part)) if then else None)
 
 
-def write_rejects_partition(df: DataFrame, path: str, dt: str, hr: str) -> None:
+def write_rejects_partition(
+    df: DataFrame, path: str, dt: str, hr: str, then: Callable[[str], None] | None = None
+) -> None:
     """Replace the rejects of one hour, ``dt=…/hr=…``, also by nothing; other hours stay.
 
-    The hour's folder always holds a file afterwards, so what is empty can be read.
+    The hour's folder always holds a file afterwards, so a table's partition can be there.
     """
     taken = [c for c in df.columns if c.lower() in RUN_COLUMNS]
     if taken:
         raise ValueError(f"rejects already have the column {', '.join(taken)}")
-    write_rejects(df, hour_folder(path, dt, hr))
+    dataset = Dataset(df.sparkSession, path)
+    hour = T.StructType([T.StructField(c, T.StringType()) for c in RUN_COLUMNS])
+    dataset.append(
+        df,
+        RUN_COLUMNS,
+        key=hour_key(dt, hr),
+        then=lambda part: then(hour_folder(dataset.location(part), dt, hr)) if then else None,
+        write=lambda rows, folder: rows.write.parquet(hour_folder(folder, dt, hr)),
+        schema=T.StructType([*df.schema, *hour]),
+    )
+
+
+def hour_key(dt: str, hr: str) -> str:
+    """Under which the rejects of an hour are published."""
+    return f"{dt}/{hr}"
 
 
 def hour_folder(path: str, dt: str, hr: str) -> str:
@@ -42,12 +64,23 @@ def hour_folder(path: str, dt: str, hr: str) -> str:
 def register_rejects(
     spark: SparkSession, database: str, table: str, location: str, schema: T.StructType
 ) -> str:
-    """(Re)create an external table over reject files; returns its quoted name."""
+    """(Re)create an external table over reject files; returns its quoted name.
+
+    ``location`` is where rejects were published, or a folder of plain files.
+    """
+    parts = Dataset(spark, location).parts()
+    files = Dataset(spark, location).location(parts[-1]) if parts else location
+    return _over_files(spark, database, table, files, schema)
+
+
+def _over_files(
+    spark: SparkSession, database: str, table: str, files: str, schema: T.StructType
+) -> str:
     ensure_namespace(spark, quoted(database))
     name = f"{quoted(database)}.{quoted(table)}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({columns_ddl(schema)}) USING parquet LOCATION {sql_text(location)}"
+        f"CREATE TABLE {name} ({columns_ddl(schema)}) USING parquet LOCATION {sql_text(files)}"
     )
     return name
 
@@ -63,9 +96,25 @@ def register_reject_partition(
 ) -> str:
     """Make one hour of rejects visible in the reject table; returns its quoted name.
 
-    The table is created on first use. Adding a partition that is already there is
-    not an error, so re-running an hour is safe.
+    The table is created on first use. A partition that is already there is pointed at
+    the hour's files of now, so re-running an hour is safe.
     """
+    dataset = Dataset(spark, location)
+    hour = [p for p in dataset.parts() if p.key == hour_key(dt, hr)]
+    files = hour_folder(dataset.location(hour[0]) if hour else location, dt, hr)
+    return _partition_over_files(spark, database, table, location, files, schema, dt, hr)
+
+
+def _partition_over_files(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    location: str,
+    files: str,
+    schema: T.StructType,
+    dt: str,
+    hr: str,
+) -> str:
     ensure_namespace(spark, quoted(database))
     name = f"{quoted(database)}.{quoted(table)}"
     fields = [f for f in schema.fields if f.name not in RUN_COLUMNS]
@@ -74,9 +123,9 @@ def register_reject_partition(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(columns)}) USING parquet "
         f"PARTITIONED BY ({', '.join(RUN_COLUMNS)}) LOCATION {sql_text(location)}"
     )
-    spark.sql(
-        f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (dt = {sql_text(dt)}, hr = {sql_text(hr)})"
-    )
+    hour = f"PARTITION (dt = {sql_text(dt)}, hr = {sql_text(hr)})"
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {hour} LOCATION {sql_text(files)}")
+    spark.sql(f"ALTER TABLE {name} {hour} SET LOCATION {sql_text(files)}")
     spark.catalog.refreshTable(name)
     return name
 
@@ -92,13 +141,17 @@ def publish_rejects(
     """Write rejects and register their table; returns its quoted name.
 
     With ``dt`` and ``hr`` only that hour is replaced, otherwise the rejects of the last
-    run; either also by none.
+    run; either also by none. The files replaced are deleted when the table no longer
+    points at them.
     """
     if df is None:
         return None
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     if dt is None or hr is None:
-        write_rejects(df, location)
-        return register_rejects(spark, database, table, location, df.schema)
-    write_rejects_partition(df, location, dt, hr)
-    return register_reject_partition(spark, database, table, location, df.schema, dt, hr)
+        write_rejects(df, location, lambda files: _over_files(spark, database, table, files, schema))
+    else:
+        register = lambda files: _partition_over_files(
+            spark, database, table, location, files, schema, dt, hr
+        )
+        write_rejects_partition(df, location, dt, hr, register)
+    return f"{quoted(database)}.{quoted(table)}"

@@ -6,23 +6,24 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from ..operators.rows import stamp_load
-from ..runtime import replace_folder
+from ..operators.rows import STAMP_COLUMNS, stamp_load
+from .published import Dataset, Part
 
 
 def write_staging(
-    df: DataFrame, path: str, full_load: bool, load_ts: datetime | None = None
-) -> None:
-    """Write the rows under ``load_dt=…/load_hr=…``.
+    df: DataFrame,
+    path: str,
+    full_load: bool,
+    load_ts: datetime | None = None,
+    run: str | None = None,
+) -> Part:
+    """Publish the rows, partitioned by ``load_dt`` and ``load_hr``; returns their part.
 
-    A full load replaces all earlier history once it is written completely, an
-    incremental one adds to it. Both
-    partition values are constants, so every task writes one file and no shuffle is
-    needed.
+    A full load replaces all earlier history, an incremental one adds to it, in place of
+    what the same ``run`` added before. Both partition values are constants, so every
+    task writes one file and no shuffle is needed.
     """
-    rows = stamp_load(df, load_ts)
-    write = lambda to: rows.write.mode("append").partitionBy("load_dt", "load_hr").parquet(to)
+    rows, dataset = stamp_load(df, load_ts), Dataset(df.sparkSession, path)
     if full_load:
-        replace_folder(df.sparkSession, path, write)
-    else:
-        write(path)
+        return dataset.replace(rows, STAMP_COLUMNS)
+    return dataset.append(rows, STAMP_COLUMNS, run)

@@ -84,7 +84,7 @@ def main(sf_dir: str, work: str) -> None:
     for one, other in ((calm, rough), (rough, calm)):
         assert one.curated(spark).exceptAll(other.curated(spark)).isEmpty()
         assert one.rejects(spark).exceptAll(other.rejects(spark)).isEmpty()
-    assert spark.read.parquet(rough.paths.staging).count() == rough.source
+    assert rough.staged(spark).count() == rough.source
     print(f"{len(killed)} executors killed in {seconds:.0f} s, same rows and counts: {counts[0]}")
     spark.stop()
 

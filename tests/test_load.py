@@ -68,7 +68,7 @@ def test_full_load(spark, spec, folder):
     ]
     assert result.curated(spark).schema["key"].dataType.simpleString() == "int"
     assert rows(result.rejects(spark), "key", "dq_reasons") == [(4, ["name:regex"])]
-    staged = spark.read.parquet(result.paths.staging)
+    staged = result.staged(spark)
     assert staged.columns == ["id", "name", "updated", "domicile", "load_dt", "load_hr"]
     assert staged.count() == 5
     assert audit(spark, result) == [
@@ -86,15 +86,45 @@ def test_incremental_files_append(spark, spec, folder):
     run_load(spark, spec, folder, full())
     result = run_load(spark, spec, folder, LoadOptions(load_ts=AT))
     assert result.curated(spark).count() == 6
-    assert spark.read.parquet(result.paths.staging).count() == 10
+    assert result.staged(spark).count() == 10
     assert len(audit(spark, result)) == 2
 
 
+@pytest.mark.parametrize("identity", [{"load_ts": AT}, {"run_id": "batch 7"}])
+def test_a_repeated_incremental_run_replaces_what_it_appended(spark, spec, folder, identity):
+    first = run_load(spark, spec, folder, full())
+    for _ in range(3):
+        result = run_load(spark, spec, folder, LoadOptions(**identity))
+    assert result.curated(spark).count() == 6 and result.staged(spark).count() == 10
+    other = run_load(spark, spec, folder, LoadOptions())
+    assert other.curated(spark).count() == 9 and len(audit(spark, first)) == 5
+
+
+def test_a_run_that_stops_between_its_writes_can_be_repeated(spark, spec, folder, monkeypatch):
+    """The staging copy is there already; nothing is there twice afterwards."""
+    run_load(spark, spec, folder, full())
+    monkeypatch.setattr("millrace.plans.load.write_curated_files", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_load(spark, spec, folder, LoadOptions(load_ts=AT))
+    monkeypatch.undo()
+    result = run_load(spark, spec, folder, LoadOptions(load_ts=AT))
+    assert result.curated(spark).count() == 6 and result.staged(spark).count() == 10
+
+
 def test_full_load_replaces(spark, spec, folder):
     for _ in range(2):
         result = run_load(spark, spec, folder, full())
     assert result.curated(spark).count() == 3
-    assert spark.read.parquet(result.paths.staging).count() == 5
+    assert result.staged(spark).count() == 5
+
+
+def test_a_column_whose_type_changed_is_read_with_the_newer_one(spark, spec, folder, tmp_path):
+    run_load(spark, spec, folder, full())
+    wide = str(tmp_path / "wide")
+    spark.createDataFrame([(7, "zoe", "n/a", "eu")], "id bigint, name string, updated string, domicile string").write.parquet(wide)
+    columns = (*COLUMNS[:2], ColumnSpec("updated", "updated", "string", "string"))
+    result = run_load(spark, replace(spec, source_path=wide, columns=columns), folder, LoadOptions(load_ts=AT))
+    assert rows(result.curated(spark), "key", "updated") == [(1, "2"), (2, "1"), (3, "1"), (7, "n/a")]
 
 
 @pytest.fixture
@@ -160,7 +190,7 @@ def test_source_columns_named_like_the_stamp_are_kept(spark, spec, folder, tmp_p
     ).write.parquet(source)
     result = run_load(spark, replace(spec, source_path=source), folder, LoadOptions(full_load=full_load, load_ts=AT))
     assert set(rows(result.curated(spark), "load_dt", "LOAD_HR")) == {("2001-01-01", 5)}
-    staged = spark.read.parquet(result.paths.staging)
+    staged = result.staged(spark)
     assert set(rows(staged.selectExpr("cast(load_dt as string) d", "load_hr h", "source_load_dt s"), "d", "h", "s")) == {
         ("2024-03-05", 7, "2001-01-01")
     }
@@ -275,7 +305,7 @@ def test_stamps_use_the_session_zone_and_audit_uses_utc(spark, spec, folder):
     with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
         options = LoadOptions(full_load=True, load_ts=at, rejects_by_hour=True)
         result = run_load(spark, spec, folder, options)
-        staged = spark.read.parquet(result.paths.staging)
+        staged = result.staged(spark)
         assert [tuple(map(str, r)) for r in staged.select("load_dt", "load_hr").distinct().collect()] == [
             ("2024-03-06", "8")
         ]
@@ -332,7 +362,7 @@ def test_declared_csv_types(spark, csv_spec, folder):
     result = run_load(spark, csv_spec, folder, full())
     assert rows(result.curated(spark), "code", "n") == [("001", 1), ("002", 2), ("003", None)]
     assert result.malformed == 1
-    assert spark.read.parquet(result.paths.staging).columns == [
+    assert result.staged(spark).columns == [
         "code",
         "n",
         "domicile",
@@ -359,7 +389,7 @@ def test_csv_headers_in_another_order_fail(spark, folder, tmp_path):
         run_load(spark, spec, folder, full())
 
 
-def test_incremental_csv_reads_the_source_again(spark, csv_spec, folder):
+def test_incremental_csv(spark, csv_spec, folder):
     result = run_load(spark, csv_spec, folder, LoadOptions(load_ts=AT))
     assert result.malformed == 1 and result.valid == 3
     assert rows(result.curated(spark), "code", "n")[2] == ("003", None)

@@ -4,13 +4,14 @@ import uuid
 from collections import Counter
 from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace import TableSpec, sinks
 from millrace.functions.columns import quoted
-from millrace.runtime import replace_folder, settings, stored_bytes
+from millrace.runtime import settings, stored_bytes
 from millrace.sinks import tables
 
 HOUR_7, HOUR_8 = datetime(2024, 3, 5, 7), datetime(2024, 3, 5, 8)
@@ -41,25 +42,30 @@ def stored(spark, table):
 
 def test_staging_history(spark, folder):
     df = spark.range(2)
-    schema = "id bigint, load_dt date, load_hr int"
     sinks.write_staging(df, folder, full_load=True, load_ts=HOUR_7)
     sinks.write_staging(df, folder, full_load=False, load_ts=HOUR_7)
     sinks.write_staging(df, folder, full_load=False, load_ts=HOUR_8)
-    hours = spark.read.schema(schema).parquet(folder).groupBy("load_hr").count()
+    hours = sinks.read_published(spark, folder).groupBy("load_hr").count()
     assert bag(hours) == {(7, 4): 1, (8, 2): 1}
     sinks.write_staging(df, folder, full_load=True, load_ts=HOUR_8)
-    assert spark.read.parquet(folder).count() == 2
+    assert sinks.read_published(spark, folder).count() == 2
+
+
+def test_a_repeated_run_takes_its_own_place(spark, folder):
+    for n, run in ((2, "a"), (3, "b"), (5, "a"), (7, None), (7, None)):
+        sinks.write_staging(spark.range(n), folder, full_load=False, load_ts=HOUR_7, run=run)
+    assert sinks.read_published(spark, folder).count() == 3 + 5 + 7 + 7
 
 
 def test_curated_modes_and_partition_types(spark, folder):
     df = spark.createDataFrame([(1, "001"), (2, "us")], "id int, domicile string")
     schema = sinks.write_curated_files(df, folder, full_load=True)
     sinks.write_curated_files(df, folder, full_load=False)
-    both = sinks.read_partitioned(spark, folder, schema)
+    both = sinks.read_published(spark, folder, schema)
     assert both.schema["domicile"].dataType.simpleString() == "string"
     assert bag(both) == {(1, "001"): 2, (2, "us"): 2}
     sinks.write_curated_files(df.filter("id = 2"), folder, full_load=True)
-    assert bag(sinks.read_partitioned(spark, folder, schema)) == {(2, "us"): 1}
+    assert bag(sinks.read_published(spark, folder, schema)) == {(2, "us"): 1}
 
 
 def test_curated_overwrite_ignores_the_sessions_overwrite_mode(spark, folder):
@@ -71,12 +77,12 @@ def test_curated_overwrite_ignores_the_sessions_overwrite_mode(spark, folder):
         sinks.write_curated_files(two, folder, full_load=True)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    assert bag(sinks.read_partitioned(spark, folder, schema)) == {(2, "b"): 1}
+    assert bag(sinks.read_published(spark, folder, schema)) == {(2, "b"): 1}
 
 
 def test_curated_adds_the_tag(spark, folder):
     schema = sinks.write_curated_files(spark.range(1), folder, True, domicile="emea")
-    assert bag(sinks.read_partitioned(spark, folder, schema)) == {(0, "emea"): 1}
+    assert bag(sinks.read_published(spark, folder, schema)) == {(0, "emea"): 1}
 
 
 def test_partition_values_become_few_files(spark, folder, tmp_path):
@@ -85,14 +91,14 @@ def test_partition_values_become_few_files(spark, folder, tmp_path):
     )
     sinks.write_curated_files(df, folder, full_load=True)
     for part in range(5):
-        assert len(list((tmp_path / "out" / f"domicile=tag{part}").glob("*.parquet"))) == 1
+        assert len(list(tmp_path.glob(f"out/_parts/*/domicile=tag{part}/*.parquet"))) == 1
 
 
 def test_rejects_are_cleared_by_a_run_without_any(spark, folder):
     df = spark.range(3)
     sinks.write_rejects(df, folder)
     sinks.write_rejects(df.filter("id < 0"), folder)
-    assert spark.read.parquet(folder).count() == 0
+    assert sinks.read_published(spark, folder).count() == 0
 
 
 def test_reject_hours(spark, folder):
@@ -100,8 +106,7 @@ def test_reject_hours(spark, folder):
     for hr, rows in (("07", df), ("08", df), ("07", df.filter("id = 0"))):
         sinks.write_rejects_partition(rows, folder, "2024-03-05", hr)
     sinks.write_rejects_partition(df.filter("id < 0"), folder, "2024-03-05", "08")
-    schema = "id bigint, dt string, hr string"
-    hours = spark.read.schema(schema).parquet(folder).groupBy("hr").count()
+    hours = sinks.read_published(spark, folder).groupBy("hr").count()
     assert bag(hours) == {("07", 1): 1}  # the second run of hour 08 had none
     with pytest.raises(ValueError, match="HR"):
         sinks.write_rejects_partition(df.withColumn("HR", F.lit(1)), folder, "2024-03-05", "07")
@@ -199,15 +204,85 @@ def test_table_merge_into_several_partitions(spark, database, partition_columns)
     assert bag(stored(spark, table).select("id", "v", "domicile")) == +expected
 
 
-def test_merge_leaves_other_partitions_alone(spark, database, tmp_path):
+def files_of(spark, table):
+    """Name and time of every data file of a table."""
+    location = tables.stored_table(spark, table).location.removeprefix("file:")
+    found = Path(location).rglob("*.parquet")
+    return {str(p.relative_to(location)): p.stat().st_mtime_ns for p in found if "/_" not in str(p.relative_to(location))}
+
+
+def test_merge_leaves_other_partitions_alone(spark, database):
     table = parquet_table(database, "domicile")
     sinks.publish_table(spark.createDataFrame(ROWS, SCHEMA), table, full_load=True)
-    eu = list(tmp_path.rglob("domicile=eu/*.parquet"))
-    us = list(tmp_path.rglob("domicile=us/*.parquet"))
+    before = files_of(spark, table)
     batch = spark.createDataFrame(BATCH, SCHEMA)
     sinks.publish_table(batch, table, full_load=False, keys=["id", "domicile"])
-    assert list(tmp_path.rglob("domicile=eu/*.parquet")) == eu
-    assert list(tmp_path.rglob("domicile=us/*.parquet")) != us
+    after = files_of(spark, table)
+    eu = lambda files: {f: t for f, t in files.items() if f.startswith("domicile=eu/")}
+    assert eu(before) == eu(after) and before != after
+
+
+@pytest.mark.parametrize("partition_columns", [("v",), ()])
+def test_merge_rewrites_only_files_with_a_match(spark, database, partition_columns):
+    """Twenty files of fifty keys each; the batch meets two of them."""
+    table = parquet_table(database, *partition_columns)
+    rows = spark.range(0, 1000, 1, 20).select(
+        F.col("id").cast("int"), F.concat(F.lit("v"), F.floor(F.col("id") / 50)).alias("v"), F.lit("us").alias("domicile")
+    )
+    sinks.create_table(spark, table, rows.schema)
+    sinks.replace_table(rows, table, single_valued=True)
+    before = files_of(spark, table)
+    batch = spark.createDataFrame([(3, "w", "us"), (777, "w", "us"), (5000, "w", "us"), (4, "w", "eu")], SCHEMA)
+    sinks.merge_into_table(batch, table, ["id", "domicile"])
+    after = files_of(spark, table)
+    gone, new = set(before) - set(after), set(after) - set(before)
+    assert len(before) == 20 and len(gone) == 2 and new
+    assert all(after[f] == before[f] for f in set(before) - gone)
+    found = bag(stored(spark, table).select("id", "v", "domicile"))
+    expected = Counter((i, f"v{i // 50}", "us") for i in range(1000) if i not in (3, 777))
+    assert found == expected + Counter(map(tuple, batch.collect()))
+
+
+def test_merge_reads_matched_files_only(spark, database):
+    table = parquet_table(database)
+    rows = spark.range(0, 1000, 1, 20).select(F.col("id").cast("int"), F.lit("v").alias("v"), F.lit("us").alias("domicile"))
+    sinks.create_table(spark, table, rows.schema)
+    sinks.replace_table(rows, table)
+    target = stored(spark, table)
+    batch = spark.createDataFrame([(3, "w", "us"), (777, "w", "us")], SCHEMA)
+    files = tables._files_with(target, batch, ["id"])
+    assert len(files) == 2
+    scan = tables._in_files(target, ", ".join(tables.sql_text(f) for f in files))
+    assert len(scan.collect()) == 100
+    leaf = scan._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert leaf.metrics().apply("numFiles").value() == 2
+
+
+def test_names_and_folders_with_odd_characters(spark, tmp_path):
+    """Paths come back from Spark encoded; folder names of partitions are escaped."""
+    database = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/a b%20c/{database}'")
+    table = parquet_table(database, "domicile")
+    rows = [(1, "a", "x y/z"), (2, "b", "50%"), (3, "c", "é=1")]
+    sinks.publish_table(spark.createDataFrame(rows, SCHEMA), table, full_load=True)
+    batch = [(1, "A", "x y/z"), (2, "B", "50%"), (3, "C", "é=1"), (4, "D", "#")]
+    for _ in range(2):
+        sinks.publish_table(spark.createDataFrame(batch, SCHEMA), table, full_load=False, keys=["id", "domicile"])
+    assert bag(stored(spark, table)) == Counter(batch)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_a_table_that_lists_its_partitions_in_the_catalog(spark, database):
+    """Made by someone else: replaced, merged into and replaced again."""
+    table = parquet_table(database, "domicile")
+    spark.sql(f"CREATE TABLE {sinks.table_name(table)} ({SCHEMA}) USING parquet PARTITIONED BY (domicile)")
+    assert tables.stored_table(spark, table).tracked
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    sinks.publish_table(rows, table, full_load=True)
+    sinks.publish_table(spark.createDataFrame(BATCH, SCHEMA), table, full_load=False, keys=["id", "domicile"])
+    assert bag(stored(spark, table)) == Counter(AFTER)
+    sinks.publish_table(rows.filter("id = 3"), table, full_load=True)
+    assert bag(stored(spark, table)) == {(3, "c", "eu"): 1}
 
 
 def test_empty_batch(spark, database):
@@ -251,7 +326,8 @@ def test_row_level_provider_uses_merge(spark, database):
 def test_file_table_at_a_location(spark, database, folder):
     table = replace(parquet_table(database, "domicile"), location=folder)
     sinks.publish_table(spark.createDataFrame(ROWS, SCHEMA), table, full_load=True)
-    assert sinks.read_partitioned(spark, folder, stored(spark, table).schema).count() == 4
+    assert sinks.read_table(spark, table).count() == 4
+    assert tables.stored_table(spark, table).location.rstrip("/").startswith(f"file:{folder}/")
 
 
 def test_partition_values_are_compared_as_stored(spark, database):
@@ -280,16 +356,18 @@ def test_more_than_a_thousand_partitions_are_pruned(spark, database):
 
 
 def test_upsert_is_sized_by_the_whole_table(spark, database, monkeypatch):
-    """The target is 64 bytes a partition here, so thousands of them are asked for."""
+    """A partition stands for 64 bytes of the target here."""
     table = parquet_table(database)
     sinks.publish_table(spark.createDataFrame(ROWS, SCHEMA), table, full_load=True)
     seen = []
     monkeypatch.setattr("millrace.runtime.SHUFFLE_BYTES", 64)
-    monkeypatch.setattr(tables, "_replace_files", lambda *a: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    find = tables._files_with
+    look = lambda *a: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or find(*a)
+    monkeypatch.setattr(tables, "_files_with", look)
     batch = spark.createDataFrame(BATCH, SCHEMA)
+    size = stored_bytes(spark, tables.stored_table(spark, table).location)
     sinks.publish_table(batch, table, full_load=False, keys=["id", "domicile"])
-    location = tables.table_location(spark, table)
-    assert seen[0] * 64 >= stored_bytes(spark, location) > 1_000
+    assert seen[0] * 64 >= size > 1_000
 
 
 # --- writes that fail ----------------------------------------------------------
@@ -321,14 +399,7 @@ def test_failed_curated_write_leaves_the_files(spark, folder, single_tag):
     schema = sinks.write_curated_files(spark.createDataFrame(ROWS, SCHEMA), folder, full_load=True)
     with pytest.raises(Exception, match="injected"):
         sinks.write_curated_files(failing(spark, SCHEMA), folder, True, single_tag=single_tag)
-    assert bag(sinks.read_partitioned(spark, folder, schema)) == Counter(ROWS)
-
-
-def test_failed_switch_is_undone(spark, folder, monkeypatch):
-    sinks.write_rejects(spark.range(3), folder)
-    with pytest.raises(Exception):
-        replace_folder(spark, folder, lambda new: None)  # nothing written, nothing to move in
-    assert spark.read.parquet(folder).count() == 3
+    assert bag(sinks.read_published(spark, folder, schema)) == Counter(ROWS)
 
 
 # --- columns -------------------------------------------------------------------
