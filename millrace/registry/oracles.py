@@ -100,6 +100,15 @@ ORACLES = {
         lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS c_nationkey) FROM customer""",
     "scan_json": "SELECT * REPLACE (CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
     "scan_orc": "SELECT * FROM customer",
+    "scan_csv_two_headers": """SELECT * REPLACE (
+        CASE WHEN c_custkey % 2 = 1 THEN c_nationkey END AS c_nationkey) FROM customer""",
+    "scan_parquet_mixed": """SELECT * REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey,
+        CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority) FROM orders""",
+    "schema_report_files": """SELECT * FROM (
+        SELECT 'o_orderpriority' AS "column", 'missing' AS issue, CAST(NULL AS VARCHAR) AS found,
+            'string' AS expected, count(*) AS rows FROM orders WHERE o_orderkey % 2 = 0
+        UNION ALL SELECT 'o_custkey', 'type', 'bigint', 'string', count(*)
+            FROM orders WHERE o_orderkey % 2 = 0) WHERE rows > 0""",
     "source_count": "SELECT count(*) AS rows FROM orders",
     "filter_sql": "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000",
     "rename": """SELECT o_orderkey AS order_id, o_custkey AS customer_id,

@@ -17,6 +17,7 @@ from .. import sinks
 from ..functions.rules import null_rule, regex_rule
 from ..plans.load import LoadOptions, run_load
 from ..runtime import scratch_dir
+from ..sources.drift import schema_report_files
 from ..sources.files import read_source, source_count
 from ..spec import ColumnSpec, DatasetSpec
 from .inputs import (
@@ -81,6 +82,37 @@ def scan_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, _rewritten(spark, sf_dir, "customer", "orc"), "orc")
 
 
+def scan_csv_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the customers lack a column, and have the others in another order."""
+    path = scratch_dir(spark, "customer-csv")
+    customers = table(spark, sf_dir, "customer")
+    narrow = customers.filter("c_custkey % 2 = 0").drop("c_nationkey")
+    narrow = narrow.select(*reversed(narrow.columns))
+    for rows in (customers.filter("c_custkey % 2 = 1"), narrow):
+        rows.write.mode("append").option("header", True).csv(path)
+    return read_source(spark, path, "csv", CUSTOMER_COLUMNS)
+
+
+def _mixed_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Even orders lack the priority; odd ones have their customer as text."""
+    path = scratch_dir(spark, "orders-mixed")
+    orders = table(spark, sf_dir, "orders")
+    odd = orders.filter("o_orderkey % 2 = 1").withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    for rows in (orders.filter("o_orderkey % 2 = 0").drop("o_orderpriority"), odd):
+        rows.write.mode("append").parquet(path)
+    return path
+
+
+def scan_parquet_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_source(spark, _mixed_orders(spark, sf_dir), "parquet")
+
+
+def drift_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in files that lack a column, or have it under another type."""
+    found = schema_report_files(spark, _mixed_orders(spark, sf_dir), "parquet")
+    return found.groupBy("column", "issue", "found", "expected").agg(F.sum("rows").alias("rows"))
+
+
 def count_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_count(table(spark, sf_dir, "orders"))
 
@@ -540,6 +572,9 @@ QUERIES = {
     "scan_csv_partly_declared": scan_csv_partly_declared,
     "scan_json": scan_json,
     "scan_orc": scan_orc,
+    "scan_csv_two_headers": scan_csv_two_headers,
+    "scan_parquet_mixed": scan_parquet_mixed,
+    "schema_report_files": drift_of_files,
     "source_count": count_source,
     "filter_sql": filter_sql,
     "rename": rename,

@@ -379,14 +379,73 @@ def test_inferred_csv_types(spark, csv_spec, folder):
     assert rows(result.curated(spark), "code", "n") == [("001", "1"), ("002", "2"), ("003", "x")]
 
 
-def test_csv_headers_in_another_order_fail(spark, folder, tmp_path):
-    source = tmp_path / "headers"
-    source.mkdir()
-    (source / "a.csv").write_text("code,n\n001,1\n")
-    (source / "b.csv").write_text("n,code\n2,002\n")
-    spec = DatasetSpec(name="codes", source_path=str(source), format="csv", columns=CSV_COLUMNS)
-    with pytest.raises(Exception, match="CSV header"):
-        run_load(spark, spec, folder, full())
+def test_csv_files_with_different_headers(spark, folder, tmp_path):
+    source = tmp_path / "dt=1" / "headers %5B[x]"
+    source.mkdir(parents=True)
+    (source / "a.csv").write_text("code,n\n001,1\n004,x\n")
+    (source / "b.csv").write_text("\n\nn,code\n2,002\n")
+    (source / "c.csv").write_text("CODE,more\n003,m\n")
+    (source / "d.csv").write_text("")
+    spec = DatasetSpec(name="codes", source_path=str(source).replace("[", "\\[").replace("]", "\\]"), format="csv", columns=CSV_COLUMNS)
+    result = run_load(spark, spec, folder, full())
+    assert rows(result.curated(spark), "code", "n", "more") == [
+        ("001", 1, None), ("002", 2, None), ("003", None, "m"), ("004", None, None),
+    ]
+    assert result.source == 4 and result.malformed == 1
+
+
+def test_partition_columns_of_csv_files_with_different_headers(spark, tmp_path):
+    from millrace.sources import read_source
+
+    for part, text in (("x", "code,n\n001,1\n"), ("y", "n,code\n2,002\n"), ("z", "n,code\n3,003\n")):
+        (tmp_path / "in" / f"part={part}").mkdir(parents=True)
+        (tmp_path / "in" / f"part={part}" / "f.csv").write_text(text)
+    df = read_source(spark, str(tmp_path / "in"), "csv", CSV_COLUMNS)
+    assert rows(df, "code", "n", "part") == [("001", 1, "x"), ("002", 2, "y"), ("003", 3, "z")]
+
+
+def test_undeclared_csv_columns_whose_types_differ_are_text(spark, tmp_path):
+    from millrace.sources import read_source
+
+    (tmp_path / "a.csv").write_text("k,v,w\n1,007,1\n")
+    (tmp_path / "b.csv").write_text("v,k,w\nx,2,1.5\n")
+    df = read_source(spark, str(tmp_path), "csv")
+    assert dict(df.dtypes) == {"k": "int", "v": "string", "w": "double"}
+    assert rows(df, "k", "v", "w") == [(1, "007", 1.0), (2, "x", 1.5)]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "orc"])
+def test_files_with_different_columns_are_united(spark, tmp_path, file_format):
+    from millrace.sources import read_source, schema_report_files
+
+    path = str(tmp_path / "mixed [x]")
+    write = lambda df: df.coalesce(1).write.mode("append").format(file_format).save(path)
+    write(spark.createDataFrame([(1, "a")], "id int, name string"))
+    write(spark.createDataFrame([(2, True), (3, False)], "id int, flag boolean"))
+    at = path.replace("[", "\\[").replace("]", "\\]")
+    assert rows(read_source(spark, at, file_format), "id", "name", "flag") == [(1, "a", None), (2, None, True), (3, None, False)]
+    write(spark.createDataFrame([(4, "b")], "id bigint, NAME string"))
+    write(spark.createDataFrame([("x", 1)], "id string, name int"))
+    df = read_source(spark, at, file_format)
+    assert rows(df, "id", "name", "flag") == [
+        ("1", "a", None), ("2", None, True), ("3", None, False), ("4", "b", None), ("x", "1", None),
+    ]
+    report = schema_report_files(spark, at, file_format)
+    assert rows(report, "column", "issue", "found", "expected", "rows") == sorted([
+        ("flag", "missing", None, "boolean", 1), ("flag", "missing", None, "boolean", 1), ("flag", "missing", None, "boolean", 1),
+        ("id", "type", "int", "string", 1), ("id", "type", "int", "string", 2), ("id", "type", "bigint", "string", 1),
+        ("name", "missing", None, "string", 2), ("name", "type", "int", "string", 1),
+    ], key=str)
+
+
+@pytest.mark.parametrize("types, one", [
+    (["int", "bigint"], "bigint"), (["int", "float"], "double"), (["int", "decimal(10,2)"], "decimal(21,2)"),
+    (["decimal(38,0)", "decimal(20,10)"], "string"), (["decimal(12,2)", "decimal(20,10)"], "decimal(20,10)"), (["date", "timestamp"], "string"), (["int", "string"], "string"),
+])
+def test_one_type_for_several(types, one):
+    from millrace.sources.drift import wider
+
+    assert wider(types) == one
 
 
 def test_incremental_csv(spark, csv_spec, folder):
