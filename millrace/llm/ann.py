@@ -246,18 +246,23 @@ def nearest(
 
     Vectors that are NULL, zero or hold a NULL or a number that is not finite take no
     part, nor do rows with a NULL id. Fewer candidates give fewer rows; ties go to the
-    smaller id, and rows that repeat an id are candidates each. Vectors of another length
-    than the most are an error. Empty tables give an empty result. With ``factor`` 1 the
+    smaller id, and rows that repeat an id are candidates each. Vectors of
+    different lengths, among those that take part, are an error. Empty tables give an empty result. With ``factor`` 1 the
     result is exact; a larger one skips more.
     """
     spark = df.sparkSession
     prepare_workers(spark)
     scratch = Scratch(spark, "nearest")
     vectors, asked = usable(df, id_col, vector_col), usable(queries, id_col, vector_col)
-    shards = max(1, -(-vectors.count() // shard))
+    length = F.size("vector")
+    told = [v.agg(F.count(F.lit(1)), F.min(length), F.max(length)).first() for v in (vectors, asked)]
+    lengths = {n for _, *ends in told for n in ends if n is not None}
+    if len(lengths) > 1:
+        raise ValueError(f"vectors have different lengths, from {min(lengths)} to {max(lengths)}")
+    shards = max(1, -(-told[0][0] // shard))
     trees = build_index(vectors, scratch.path("index"), shards)
     blocks = scratch.save(
-        _packed(asked, max(1, -(-asked.count() // block)), lambda ids, v: build_tree(ids, v, len(ids)).to_bytes()),
+        _packed(asked, max(1, -(-told[1][0] // block)), lambda ids, v: build_tree(ids, v, len(ids)).to_bytes()),
         "blocks",
     )
     # Every block of queries goes to every shard.

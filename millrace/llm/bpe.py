@@ -193,41 +193,79 @@ class ByteBPE:
                 self.cache[piece] = self._long(word)
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        pieces, _, counts = self.slices(texts)
+        return [ids for ids, _ in self.encode_slices(texts, False)]
+
+    def encode_slices(self, texts: list[str], offsets: bool = True) -> Iterator[tuple[list[int], list[tuple] | None]]:
+        """Per text its ids and, if asked for, for each slice where it begins and ends in
+        the text and how many ids it has."""
+        pieces, starts, counts = self.slices(texts)
         self._learn(pieces)
-        known, out, at = self.cache, [], 0
+        known, at = self.cache, 0
         for n in counts.tolist():
-            out.append(list(chain.from_iterable(map(known.__getitem__, pieces[at : at + n]))))
+            own = pieces[at : at + n]
+            found = list(map(known.__getitem__, own))
+            places = None
+            if offsets:
+                begins = starts[at : at + n].tolist()
+                places = [(a, a + len(p), len(ids)) for a, p, ids in zip(begins, own, found)]
+            yield list(chain.from_iterable(found)), places
             at += n
-        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def decode_slices(self, ids: list[int], places: list[tuple]) -> list[tuple[int, int, str]]:
+        """The slices that ``places`` names, each decoded by itself: where it begins and
+        ends, and its text."""
+        out, at = [], 0
+        for begin, end, n in places:
+            text = self.decode(ids[at : at + n]).decode("utf-8")
+            if len(text) != end - begin:
+                raise ValueError(f"ids give {len(text)} characters for those from {begin} to {end}")
+            out.append((begin, end, text))
+            at += n
+        if at != len(ids):
+            raise ValueError(f"offsets name {at} of {len(ids)} ids")
+        return out
+
 
 @cache
 def byte_bpe(path: str) -> ByteBPE:
     return ByteBPE.from_file(path)
 
 
-def _digests(path: str, with_ids: bool):
+_PLACES = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("ids", pa.int32())]))
+_SLICES = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
+
+
+def _named(kind: pa.ListType, rows: list[list[tuple]]) -> pa.Array:
+    names = [f.name for f in kind.value_type]
+    return pa.array([[dict(zip(names, r)) for r in row] for row in rows], kind)
+
+
+def _digests(path: str, with_ids: bool, with_offsets: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
         for batch in batches:
-            counts, digests, decoded, ids_of = [], [], [], []
+            counts, digests, decoded, ids_of, places_of = [], [], [], [], []
             for texts in grouped(t.as_py() for t in batch.column("text")):
-                for ids in bpe.encode_all(texts):
+                for ids, places in bpe.encode_slices(texts, with_offsets):
                     counts.append(len(ids))
                     decimal = " ".join(map(bpe.decimal.__getitem__, ids))
                     digests.append(hashlib.sha256(decimal.encode()).hexdigest())
                     decoded.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                     if with_ids:
                         ids_of.append(ids)
+                    if with_offsets:
+                        places_of.append(places)
             columns = [batch.column("id"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
             names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
                 columns.append(pa.array(ids_of, pa.list_(pa.int32())))
                 names.append("ids")
+            if with_offsets:
+                columns.append(_named(_PLACES, places_of))
+                names.append("offsets")
             yield pa.RecordBatch.from_arrays(columns, names)
         bpe.cache.clear()
         give_back_memory()
@@ -241,9 +279,12 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    with_offsets: bool = False,
 ) -> DataFrame:
     """One row per input row: id, ``n_tokens``, digests of the ids and of the bytes they
-    decode to and, if asked for, the ``ids``.
+    decode to and, if asked for, the ``ids`` and the ``offsets``: where each slice begins
+    and ends in the text, in code points, and how many of the ids are its own. A slice
+    starts and ends between characters, so it can be decoded without its neighbours.
 
     A NULL text is an empty one, of no tokens. Repeated and NULL ids give a row each. An
     empty table gives an empty result. Other columns are not looked at.
@@ -253,22 +294,48 @@ def encode(
     schema = (
         f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string,"
         " decoded_sha256 string" + ", ids array<int>" * with_ids
+        + ", offsets array<struct<begin:int,end:int,ids:int>>" * with_offsets
     )
-    return rows.mapInArrow(_digests(ranks_path, with_ids), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_digests(ranks_path, with_ids, with_offsets), schema).withColumnRenamed("id", id_col)
 
 
-def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Id and ``text`` of every row of ids; NULL ids give an empty text."""
+def decode(
+    df: DataFrame,
+    ranks_path: str,
+    id_col: str = "doc_id",
+    ids_col: str = "ids",
+    offsets_col: str | None = None,
+) -> DataFrame:
+    """Id and ``text`` of every row of ids; NULL ids give an empty text.
+
+    With the offsets of ``encode`` the text is put together from its slices, which are a
+    column ``slices`` (``begin``, ``end``, ``text``) too. Offsets that do not fit the ids are an
+    error; NULL ones are those of no slice.
+    """
     prepare_workers(df.sparkSession)
-    rows = df.select(column(id_col).alias("id"), column(ids_col).cast("array<int>").alias("ids"))
+    rows = df.select(
+        column(id_col).alias("id"), column(ids_col).cast("array<int>").alias("ids"),
+        *([column(offsets_col).alias("offsets")] if offsets_col else []),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(ranks_path)
         for batch in batches:
-            texts = [bpe.decode(i.as_py() or []).decode("utf-8", "replace") for i in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], ["id", "text"])
+            ids_of = [i.as_py() or [] for i in batch.column("ids")]
+            if not offsets_col:
+                texts = [bpe.decode(ids).decode("utf-8", "replace") for ids in ids_of]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], ["id", "text"])
+                continue
+            places = [[(p["begin"], p["end"], p["ids"]) for p in o.as_py() or []] for o in batch.column("offsets")]
+            slices = [bpe.decode_slices(ids, some) for ids, some in zip(ids_of, places)]
+            texts = ["".join(text for _, _, text in some) for some in slices]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(texts, pa.string()), _named(_SLICES, slices)], ["id", "text", "slices"]
+            )
 
     schema = f"id {rows.schema['id'].dataType.simpleString()}, text string"
+    if offsets_col:
+        schema += ", slices array<struct<begin:int,end:int,text:string>>"
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 

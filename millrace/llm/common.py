@@ -74,6 +74,11 @@ class Scratch:
             drop_scratch(self.spark, self.path(name))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns ``c0``, ``c1``, …, which no name of an operator clashes with."""
+    return df.select(*[column(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     first, *rest = frames
     for frame in rest:

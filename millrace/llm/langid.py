@@ -309,24 +309,26 @@ def with_language(
     prepare_workers(df.sparkSession)
     added = ["lang_pred", "score", *(["familiarity"] if familiar else [])]
     keep = [c for c in (df.columns if keep is None else keep) if c not in added]
-    kept = df.select(*[column(c) for c in keep], column(text_col).cast("string").alias("__text"))
-    lettered = F.col("__text").rlike(r"\p{L}")
+    # Numbered inside, so that no column of the table has a name that is used here.
+    own = [f"c{i}" for i in range(len(keep))]
+    named_again = [F.col(c).alias(name) for c, name in zip(own, keep)]
+    numbered_ = [column(name).alias(c) for c, name in zip(own, keep)]
+    kept = df.select(*numbered_, column(text_col).cast("string").alias("text"))
+    lettered = F.col("text").rlike(r"\p{L}")
     und = [F.lit(UNDETERMINED if c == "lang_pred" else 0.0).alias(c) for c in added]
     if network is None:
-        return kept.select(*[column(c) for c in keep], *und)
+        return kept.select(*named_again, *und)
     found = kept.select(
-        *[column(c) for c in keep],
-        F.coalesce(~lettered, F.lit(True)).alias("__und"),
-        F.when(lettered, F.col("__text")).otherwise("").alias("__text"),
+        *own, F.coalesce(~lettered, F.lit(True)).alias("und"), F.when(lettered, F.col("text")).otherwise("").alias("text")
     )
-    schema = found.drop("__text").schema.add("lang_pred", "string")
+    schema = found.drop("text").schema.add("lang_pred", "string")
     for c in added[1:]:
         schema = schema.add(c, "double")
     named = found.mapInArrow(_predict(network.to_bytes(), familiar), schema)
     return named.select(
-        *[column(c) for c in keep],
-        F.when(F.col("__und"), UNDETERMINED).otherwise(F.col("lang_pred")).alias("lang_pred"),
-        *[F.when(F.col("__und"), 0.0).otherwise(F.col(c)).alias(c) for c in added[1:]],
+        *named_again,
+        F.when(F.col("und"), UNDETERMINED).otherwise(F.col("lang_pred")).alias("lang_pred"),
+        *[F.when(F.col("und"), 0.0).otherwise(F.col(c)).alias(c) for c in added[1:]],
     )
 
 

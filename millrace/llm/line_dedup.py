@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, give_back_memory, grouped, prepare_workers, small_side, table, text_or_empty
+from .common import Scratch, column, give_back_memory, grouped, numbered, prepare_workers, small_side, table, text_or_empty
 from .shingles import mixed
 
 EDITS = 2
@@ -379,20 +379,20 @@ def drop_repeated_lines(
     )
     gone = scratch.save(gone, "gone")
     gone = small_side(gone, scratch.path("gone")).alias("gone")
-    text = text_or_empty(text_col)
-    rows = df.withColumns({"__line_id": column(id_col), "__line_key": F.xxhash64(text)}).alias("rows")
-    joined = rows.join(
+    own_id, own_text = (f"c{df.columns.index(c)}" for c in (id_col, text_col))
+    plain, text = numbered(df), text_or_empty(own_text)
+    joined = plain.withColumn("key", F.xxhash64(text)).alias("rows").join(
         gone,
-        F.col("rows.__line_id").eqNullSafe(F.col("gone.id")) & (F.col("rows.__line_key") == F.col("gone.key")),
+        F.col(f"rows.{own_id}").eqNullSafe(F.col("gone.id")) & (F.col("rows.key") == F.col("gone.key")),
         "left",
-    ).select(*[F.col(f"rows.`{c}`") for c in df.columns], F.col("gone.gone").alias("__gone"))
-    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("__gone"), i))
-    changed = F.col("__gone").isNotNull()
+    ).select(*[F.col(f"rows.{c}") for c in plain.columns], F.col("gone.gone").alias("gone"))
+    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i))
+    changed = F.col("gone").isNotNull()
+    rest = F.when(changed, F.array_join("left", "\n")).otherwise(F.col(own_text))
     return (
-        joined.withColumn("__left", F.when(changed, left))
-        .filter(~changed | F.exists("__left", _says_something))
-        .withColumn(text_col, F.when(changed, F.array_join("__left", "\n")).otherwise(column(text_col)))
-        .drop("__gone", "__left")
+        joined.withColumn("left", F.when(changed, left))
+        .filter(~changed | F.exists("left", _says_something))
+        .select(*[(rest if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(df.columns)])
     )
 
 

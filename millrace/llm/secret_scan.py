@@ -16,7 +16,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, small_side, table, text_or_empty
+from .common import Scratch, column, numbered, small_side, table, text_or_empty
 
 try:  # the parser of the standard library, under its names old and new
     from re import _parser as regex_parser
@@ -209,9 +209,11 @@ def with_spans(
     indexed = {i: q for i, q in queries.items() if q != ANYTHING}
     spark = df.sparkSession
     scratch = Scratch(spark, "secrets")
-    named = df.drop("secret_spans")
-    own_id, own_key = "__scan_id", "__scan_key"
-    rows = named.withColumns({own_id: column(id_col), own_key: F.xxhash64(text_or_empty(text_col))})
+    names = [c for c in df.columns if c != "secret_spans"]
+    named = numbered(df.select(*[column(c) for c in names]))
+    own_id, own_key = "id", "key"
+    own_text = f"c{names.index(text_col)}"
+    rows = named.withColumns({own_id: column(f"c{names.index(id_col)}"), own_key: F.xxhash64(text_or_empty(own_text))})
     if indexed:
         terms = sorted({t for q in indexed.values() for branch in q for t in branch})
         postings = scratch.save(trigram_index(_documents(df, id_col, text_col), terms), "postings")
@@ -225,19 +227,20 @@ def with_spans(
             "left",
         )
         hit = F.coalesce(F.col("found.rules"), F.lit(0).cast("long"))
-        base = [F.col(f"rows.`{c}`") for c in named.columns]
+        base = [F.col(f"rows.{c}") for c in named.columns]
     else:
         hit, base = F.lit(0).cast("long"), [column(c) for c in named.columns]
-    rows = rows.select(*base, hit.alias("__scan_hit"))
-    text, none = text_or_empty(text_col), F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string>>")
+    rows = rows.select(*base, hit.alias("hit"))
+    text, none = text_or_empty(own_text), F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string>>")
     spans = []
     for i, rule in enumerate(rules):
         if i in indexed:
-            verify = F.col("__scan_hit").bitwiseAND(F.lit(1 << i).cast("long")) != 0
+            verify = F.col("hit").bitwiseAND(F.lit(1 << i).cast("long")) != 0
         else:
             verify = text.rlike(rule.pattern)
         spans.append(F.when(verify, rule_spans(text, rule, i)).otherwise(none))
-    return rows.withColumn("secret_spans", F.array_sort(F.concat(*spans))).drop("__scan_hit")
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    return rows.select(*own, F.array_sort(F.concat(*spans)).alias("secret_spans"))
 
 
 def redact(
@@ -249,9 +252,11 @@ def redact(
 ) -> DataFrame:
     """``df`` with every span of ``text_col`` replaced; spans that meet become one.
 
-    Columns, rows and texts without secrets stay as they are.
+    Columns of any name, rows (repeated ones and NULL ids too) and texts without secrets,
+    NULL ones among them, stay as they are. An empty table gives an empty result.
     """
-    text, spans = text_or_empty(text_col), F.col("secret_spans")
+    own_id, own_text = (f"c{df.columns.index(c)}" for c in (id_col, text_col))
+    text, spans = text_or_empty(own_text), F.col("secret_spans")
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(held, x):
@@ -265,9 +270,11 @@ def redact(
     rest = lambda s: F.concat(
         s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.lit((1 << 31) - 1))
     )
-    clean = F.when(F.size(spans) == 0, column(text_col)).otherwise(F.aggregate(spans, state, step, rest))
-    found = with_spans(df, id_col, text_col, rules)
-    return found.withColumn(text_col, clean).select(*[column(c) for c in df.columns if c != "secret_spans"])
+    clean = F.when(F.size(spans) == 0, F.col(own_text)).otherwise(F.aggregate(spans, state, step, rest))
+    found = with_spans(numbered(df), own_id, own_text, rules)
+    return found.select(
+        *[(clean if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(df.columns)]
+    )
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -272,8 +272,10 @@ def near_duplicates(
     text_col: str = "text",
     shingle_words: int = 5,
     threshold: int = 80,
+    with_key: bool = False,
 ) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``; ``with_key``
+    also ``text_key``, xxhash64 of the text, which tells rows that repeat an id apart.
 
     Two documents are linked if 100 * shared shingles >= ``threshold`` * all their
     shingles; components are what links reach, and are named by their smallest id. A
@@ -344,11 +346,13 @@ def near_duplicates(
     components = connected_components(links, scratch, "links")
     node_of = classes.select("digest", "n_shingles", "node")
     found = (
-        sketches.join(node_of, ["digest", "n_shingles"], "left")
+        sketches.select("id", sketches["text_key"], "digest", "n_shingles")
+        .join(node_of, ["digest", "n_shingles"], "left")
         .join(components, "node", "left")
         .select(
             "id",
             "n_shingles",
+            "text_key",
             F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"),
         )
     )
@@ -357,6 +361,7 @@ def near_duplicates(
         "n_shingles",
         "component_id",
         (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"),
+        *(["text_key"] if with_key else []),
     )
     scratch.drop("met", "members")
     return result

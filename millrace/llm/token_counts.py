@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, give_back_memory, grouped, path_exists, prepare_workers, table, text_or_empty
+from .common import Scratch, column, give_back_memory, grouped, path_exists, prepare_workers, small_side, table, text_or_empty
 from .merges import LONGEST, from_tokenizer_file
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -167,7 +167,11 @@ def count_tokens(
     rows = df.select(
         column(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), digest
     )
-    return rows.join(cached_counts(spark, cache_path, version), "digest").select(
+    # From a stored copy both sides of the join are plain shuffles, which AQE splits where
+    # one text has most rows.
+    scratch = Scratch(spark, "token-counts")
+    counts = scratch.save(cached_counts(spark, cache_path, version), "counts")
+    return rows.join(small_side(counts, scratch.path("counts")), "digest").select(
         F.col("id").alias(id_col),
         "n_bytes",
         "n_tokens",
@@ -176,10 +180,11 @@ def count_tokens(
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twice on one cache: the first call fills it, the second finds every text there."""
     import public_tokenizers
 
-    return count_tokens(
-        table(spark, sf_dir, "documents"),
-        public_tokenizers.path("byte_bpe_50k.json"),
-        Scratch(spark, "token-counts").path("cache"),
-    )
+    cache = Scratch(spark, "token-counts").path("cache")
+    documents = table(spark, sf_dir, "documents")
+    for _ in range(2):
+        counted = count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"), cache)
+    return counted

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, table, text_or_empty
+from .common import Scratch, column, small_side, table, text_or_empty
 
 #: Fixed values of the WARC 1.1 format and of RFC 4648.
 VERSION = "WARC/1.1"
@@ -75,11 +75,14 @@ def write_archive(
     A NULL body is an empty payload. Of rows with equal payloads of ``revisit_from``
     bytes or more, the smallest id is the response and the others revisit it; rows
     that repeat that id are responses too. NULL ids revisit the smallest id there is,
-    and are responses where there is none. Line ends in a URL are taken out, as they
-    would end the header; a NULL URL is written as an empty one. Columns other than
-    the three named ones are not looked at. An empty table gives an empty archive.
+    and are responses where there is none. Rows that repeat an id, and all NULL ids, share
+    one record id. Control characters and line ends of any script in a URL are written in
+    percent form, as they would end the field; a NULL URL is written as an empty one.
+    Columns other than the three named ones are not looked at. An empty table gives an
+    empty archive.
     """
     spark = df.sparkSession
+    scratch = Scratch(spark, "warc-write")
     body = text_or_empty(body_col).cast("binary")
     pages = df.select(
         column(id_col).alias("id"), text_or_empty(url_col).alias("url"), body.alias("payload")
@@ -93,9 +96,10 @@ def write_archive(
         .write.mode("overwrite")
         .parquet(f"{folder}/payloads")
     )
-    rows = pages.select("id", "url", *_address(F.col("payload")))
-    first = rows.groupBy(*ADDRESS).agg(F.min("id").alias("first_id"))
-    rows = rows.join(first, list(ADDRESS))
+    rows = scratch.save(pages.select("id", "url", *_address(F.col("payload"))), "rows")
+    first = scratch.save(rows.groupBy(*ADDRESS).agg(F.min("id").alias("first_id")), "first")
+    # Read from a stored copy, so that AQE can split a payload that most rows have.
+    rows = rows.join(small_side(first, scratch.path("first")), list(ADDRESS))
     revisit = (
         (F.col("n_bytes") >= revisit_from)
         & F.col("first_id").isNotNull()
@@ -108,7 +112,7 @@ def write_archive(
         field("WARC-Type", F.when(F.col("revisit"), "revisit").otherwise("response")),
         field("WARC-Record-ID", record_id(F.col("id"))),
         field("WARC-Date", F.lit(date)),
-        field("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]+", "")),
+        field("WARC-Target-URI", _one_line(F.col("url"))),
         field(
             "WARC-Payload-Digest",
             F.concat(F.lit("sha1:"), base32_sha1(F.hex(F.col("sha1")))),
@@ -129,9 +133,22 @@ def write_archive(
     )
     rows.select(F.col("id").alias("record_of"), header.cast("binary").alias("header"), *ADDRESS) \
         .write.mode("overwrite").parquet(f"{folder}/headers")
+    scratch.drop("rows", "first")
     return archive
 
 
+#: The characters that some reader takes for the end of a line, or that
+#: cannot be seen.
+_UNSAFE = [*map(chr, range(32)), "\x7f", "\x85", "\u2028", "\u2029"]
+
+
+def _one_line(url: Column) -> Column:
+    safe = url
+    for c in _UNSAFE:
+        safe = F.replace(safe, F.lit(c), F.lit("".join(f"%{b:02X}" for b in c.encode())))
+    return F.when(url.rlike(r"[\x00-\x1F\x7F\x85\u2028\u2029]"), safe).otherwise(url)
+
+
 def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
     """The original records, byte for byte: ``record_of``, ``record``.
 
@@ -139,7 +156,7 @@ def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
     an id aside), so the join has no hot key.
     """
     headers = archive.headers(spark)
-    is_revisit = F.col("header").cast("string").contains("WARC-Type: revisit" + CRLF)
+    is_revisit = header_field(F.col("header").cast("string"), "WARC-Type") == "revisit"
     end = F.lit(CRLF * 2).cast("binary")
     full = (
         headers.filter(~is_revisit)
@@ -162,21 +179,60 @@ def verify_payloads(spark: SparkSession, archive: Archive) -> DataFrame:
     ).select(*ADDRESS)
 
 
-def header_field(name: str) -> Column:
-    return F.regexp_extract(F.col("text"), rf"(?m)^{name}: ([^\r\n]*)$", 1)
+def header_field(header: Column, name: str) -> Column:
+    """A field of a header block. Only CRLF ends a field, whatever its value holds."""
+    begin = f"{name}: "
+    lines = F.filter(F.split(header, CRLF), lambda line: line.startswith(begin))
+    return F.substring(F.get(lines, F.lit(0)), len(begin) + 1, 1 << 30)
+
+
+def parsed_records(spark: SparkSession, archive: Archive) -> DataFrame:
+    """The records of ``read_records``, taken apart: ``record_of``, ``header`` (text),
+    ``payload`` (the bytes that Content-Length names) and ``rest`` (what follows)."""
+    text = F.col("record").cast("string")
+    header = F.substring_index(text, CRLF * 2, 1)
+    records = read_records(spark, archive).select("record_of", "record", header.alias("header"))
+    at = F.octet_length("header") + len(CRLF * 2) + 1
+    length = header_field(F.col("header"), "Content-Length").cast("int")
+    return records.select(
+        "record_of",
+        "header",
+        F.substring("record", at, length).alias("payload"),
+        F.substring("record", at + length, F.lit(1 << 30)).alias("rest"),
+    )
 
 
 def read_index(spark: SparkSession, archive: Archive) -> DataFrame:
-    """Per record, what its header block and its verified payload say."""
-    headers = archive.headers(spark).withColumn("text", F.col("header").cast("string"))
-    # The response's payload is hashed again; records find it by its address.
-    return headers.join(verify_payloads(spark, archive), list(ADDRESS)).select(
-        F.col("record_of").alias("page_id"),
-        F.col("n_bytes").alias("payload_bytes"),
-        F.substring(header_field("WARC-Payload-Digest"), 6, 32).alias("payload_digest"),
-        header_field("WARC-Type").alias("record_type"),
-        F.nullif(header_field("WARC-Refers-To-Page"), F.lit("")).cast("long").alias("refers_to"),
+    """Per record, what the record itself says once it is put together and read back.
+
+    A response's payload is cut out of its record and hashed; a digest that differs from
+    the header's fails the job, as does a record that does not end where its length says.
+    A revisit has the digest and length of the response's payload.
+    """
+    scratch = Scratch(spark, "warc-index")
+    records = parsed_records(spark, archive)
+    field = lambda name: header_field(F.col("header"), name)
+    is_response = field("WARC-Type") == "response"
+    digest = F.substring(field("WARC-Payload-Digest"), 6, 32)
+    found = base32_sha1(F.sha1("payload"))
+    whole = F.col("rest") == F.lit(CRLF * 2).cast("binary")
+    fine = whole & (~is_response | (digest == found))
+    said = scratch.save(
+        records.select(
+            F.col("record_of").alias("page_id"),
+            F.when(fine, field("WARC-Type")).otherwise(F.raise_error(F.lit("record was damaged"))).alias("record_type"),
+            digest.alias("payload_digest"),
+            F.when(is_response, F.octet_length("payload").cast("long")).alias("payload_bytes"),
+            field("WARC-Refers-To-Page").cast("long").alias("refers_to"),
+        ),
+        "said",
     )
+    sizes = said.filter("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("bytes"))
+    sizes = scratch.save(sizes, "sizes")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    revisits = said.filter("record_type = 'revisit'").drop("payload_bytes")
+    revisits = revisits.join(small_side(sizes, scratch.path("sizes")), "payload_digest").withColumnRenamed("bytes", "payload_bytes")
+    return said.filter("record_type = 'response'").select(*columns).unionByName(revisits.select(*columns))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

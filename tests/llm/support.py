@@ -8,7 +8,10 @@ from collections import Counter, defaultdict
 from pyspark.sql import DataFrame, SparkSession
 
 #: Names that operators use inside, to show that columns of the input never meet them.
-CLASHES = ["id", "key", "node", "unit", "group", "digest", "rules", "length", "members", "component"]
+CLASHES = [
+    "id", "key", "node", "unit", "group", "digest", "rules", "length", "members", "component", "text_key", "hit", "c0", "c1",
+    "__scan_id", "__scan_hit", "__text", "__gone",
+]
 
 PROSE = (
     "the quick brown fox jumps over the lazy dog while a patient crow watches from the old"

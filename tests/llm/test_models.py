@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 import zlib
 from collections import Counter
+from urllib.parse import unquote
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import warc
@@ -102,6 +106,28 @@ def test_nearest_edges(spark):
     assert nearest(df.limit(0), df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("lengths", [(4, 2, 6), (3, 1, 1), (2, 2, 3)])
+def test_vectors_of_different_lengths_are_an_error(spark, lengths):
+    """Also where their total would divide, and where they are in different shards."""
+    rows = [(i, [float(i + 1)] * n) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match=f"from {min(lengths)} to {max(lengths)}"):
+        nearest(df, df, shard=1)
+    with pytest.raises(ValueError, match="different lengths"):
+        nearest(df.filter("vec_id = 0"), df.filter("vec_id = 2"))
+    # a vector that takes no part may have any length
+    odd = spark.createDataFrame([(9, [float("nan")]), (10, [1.0, 2.0]), (11, [2.0, 1.0])], df.schema)
+    assert nearest(odd, odd).count() == 2
+
+
+def test_recall_of_a_relaxed_search(spark, sf_dir):
+    """Factor 6 is documented to find most neighbours of the given vectors."""
+    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    pairs = lambda factor: {(r["query_id"], r["id"]) for r in nearest(df, df.filter("vec_id % 20 = 0"), factor=factor).collect()}
+    exact = pairs(1.0)
+    assert len(pairs(6.0) & exact) >= 0.9 * len(exact)
+
+
 # -- WARC ------------------------------------------------------------------------------
 
 
@@ -136,6 +162,41 @@ def test_archive_round_trip(spark):
     assert warc.read_index(spark, empty).collect() == []
 
 
+FORGED = [
+    "http://a/\u2028WARC-Payload-Digest: sha1:SPOOFED", "http://a/\x85WARC-Refers-To-Page: 88", "u\r\nWARC-Type: revisit\r\nx: y",
+    "u\r\n\r\nbody", "u WARC-Type: revisit", "\u2029WARC-Type: revisit", "\nWARC-Type: revisit", "\x00\x0b\x0c\x1c\x1d\x1e\x7f", "é😀 %0D%0A",
+]
+
+
+def test_urls_cannot_forge_fields(spark):
+    rows = [(i, url, f"page {i}\r\n\r\nWARC-Type: revisit\r\n") for i, url in enumerate(FORGED)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write_archive(df, Scratch(spark, "test-warc").path("forged"))
+    for r in warc.read_index(spark, archive).collect():
+        body = rows[r["page_id"]][2].encode()
+        assert (r["record_type"], r["refers_to"], r["payload_bytes"]) == ("response", None, len(body))
+        assert r["payload_digest"] == base64.b32encode(hashlib.sha1(body).digest()).decode()
+    uris = {r["record_of"]: r["u"] for r in warc.parsed_records(spark, archive).select("record_of", warc.header_field(F.col("header"), "WARC-Target-URI").alias("u")).collect()}
+    assert all(len(u.splitlines()) == 1 and unquote(u) == unquote(FORGED[i]) for i, u in uris.items())
+
+
+def test_damage_is_noticed(spark):
+    rows = [(1, "u", "one"), (2, "u", "two"), (3, "u", "two")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write_archive(df, Scratch(spark, "test-warc").path("whole"))
+    payloads = archive.payloads(spark)
+    for change in (F.lit(b"owt"), F.lit(b"twofold"), F.lit(b"")):
+        damaged = warc.Archive(Scratch(spark, "test-warc").path("damaged"))
+        archive.headers(spark).write.parquet(f"{damaged.folder}/headers")
+        bad = F.when(F.col("payload") == F.lit(b"two"), change).otherwise(F.col("payload"))
+        payloads.withColumn("payload", bad).write.parquet(f"{damaged.folder}/payloads")
+        with pytest.raises(Exception, match="record was damaged"):
+            warc.read_index(spark, damaged).collect()
+        with pytest.raises(Exception, match="payload was damaged"):
+            warc.verify_payloads(spark, damaged).collect()
+    assert warc.verify_payloads(spark, archive).count() == 2
+
+
 # -- secrets ---------------------------------------------------------------------------
 
 SECRETS = [
@@ -177,6 +238,17 @@ def test_redaction(spark):
     assert got == want
 
 
+def test_scanned_columns_of_any_name_stay(spark):
+    schema = "doc_id long, text string, secret_spans string, __scan_id int, __scan_key int, __scan_hit int, c1 string, hit int, id int, key int"
+    df = spark.createDataFrame([(1, "token=" + "Z" * 20, "mine", 1, 2, 3, "c", 4, 5, 6), (1, None, None, 1, 2, 3, "d", 4, 5, 6)], schema)
+    clean = redact(df)
+    assert clean.schema == df.schema
+    assert sorted(map(tuple, clean.drop("text").collect()), key=str) == sorted(map(tuple, df.drop("text").collect()), key=str)
+    found = with_spans(df)
+    assert found.columns == [*[c for c in df.columns if c != "secret_spans"], "secret_spans"]
+    assert sorted(len(r["secret_spans"]) for r in found.collect()) == [0, 1]
+
+
 def test_trigram_queries_hold_for_matches():
     samples = {"assign": 'Api_Key : "abc"', "access": "AKIAZ", "github": "ghp_" + "a" * 36, "google": "AIza" + "b" * 35}
     for rule in RULES:
@@ -195,8 +267,8 @@ def test_trigram_queries_hold_for_matches():
 
 def test_pipeline_stages(spark, sf_dir):
     from .support import components
-    from .test_dedup import lines_by_force
     from .test_tokens import packed_well
+    from .test_whole import whole_lines_by_force
 
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
         "language_id", "line_deduplication", "near_deduplication", "secret_removal", "best_fit_packing",
@@ -215,13 +287,14 @@ def test_pipeline_stages(spark, sf_dir):
     for df in held[1:-1]:
         assert df.columns == source.columns
     assert {d for d, _ in plain(held[0])} - {d for d, _ in plain(held[1])} == {9001, 9002}
-    lines = lines_by_force(plain(held[1]))
+    lines = whole_lines_by_force(plain(held[1]))
     kept = {}
     for doc, n, _, _, keep in lines:
         kept.setdefault(doc, []).extend([n] if keep else [])
     want = {}
     for doc, text in plain(held[1]):
-        if kept[doc]:
+        left = [line for n, line in enumerate(text.split("\n")) if n in kept[doc]]
+        if any(line.strip() for line in left):
             want[doc] = "\n".join(line for n, line in enumerate(text.split("\n")) if n in kept[doc])
     assert dict(plain(held[2])) == want
     groups = components(plain(held[2]), 5, 80)
@@ -232,3 +305,26 @@ def test_pipeline_stages(spark, sf_dir):
         assert (before == after) == (not spans) and not any(before[s:e] in after for s, _, e, k in spans if k != "hex")
     assert all(r["n_chars"] == len(r["text"]) for r in held[4].collect())
     packed_well(held[5].collect(), plain(held[4]))
+
+
+def test_pipeline_tells_rows_that_repeat_an_id_apart(spark, sf_dir):
+    """A copy goes; a row with its id and another text stays."""
+    words = lambda a: " ".join(f"{a}{i}" for i in range(60))
+    rows = [(1, words("a")), (5, words("a")), (5, words("b")), (6, words("b")), (None, words("a")), (7, None), (7, "")]
+    kept = corpus_pipeline.near_deduplication(spark, documents(spark, rows), sf_dir).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(
+        [(1, words("a")), (5, words("b")), (None, words("a")), (7, None), (7, "")]
+    )
+
+
+def test_pipeline_leaves_columns_of_any_name(spark, sf_dir):
+    """Those that an operator adds, and those that it uses inside, are the user's own."""
+    own = ["lang_pred", "score", "familiarity", "secret_spans", "text_key", "gone", "kept", "__text", "__und", "__line_id", "c0", "id"]
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 300")
+    docs = source.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in own})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        rows = out.select("doc_id", *own).collect()
+        assert len(rows) > 200
+        assert all(r[c] == f"{c}:{r['doc_id']}" for r in rows for c in own), name

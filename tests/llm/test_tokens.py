@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -12,8 +13,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm import token_counts
 from millrace.llm.bpe import ByteBPE, decode, encode, scan
 from millrace.llm.common import Scratch
 from millrace.llm.packing import CAPACITY, WordEncoder, pack, plan_bins, reduce_instance
@@ -76,6 +79,21 @@ def test_counts_are_cached(spark, monkeypatch):
     assert count_tokens(documents(spark, []), BYTE_JSON, path).collect() == []
 
 
+def test_the_second_call_encodes_nothing(spark, monkeypatch):
+    rows = edge_rows()
+    path = Scratch(spark, "test-cache").path("cache")
+    first = count_tokens(documents(spark, rows), BYTE_JSON, path).collect()
+    monkeypatch.setattr(token_counts, "_count_batches", lambda path: _no_misses)
+    again = count_tokens(documents(spark, rows), BYTE_JSON, path).collect()
+    assert sorted(map(tuple, first), key=str) == sorted(map(tuple, again), key=str)
+
+
+def _no_misses(batches):
+    for batch in batches:
+        assert batch.num_rows == 0, "a text was encoded that the cache holds"
+    yield from ()
+
+
 # -- packing ---------------------------------------------------------------------------
 
 
@@ -211,3 +229,21 @@ def test_bpe_edges(spark):
     back = decode(found, RANKS).collect()
     assert sorted((tuple(r) for r in back), key=str) == sorted(((d, t or "") for d, t in rows), key=str)
     assert encode(documents(spark, []), RANKS).collect() == []
+
+
+def test_offsets_equal_the_librarys_and_decode(spark):
+    library = tiktoken_library()
+    rows = [*edge_rows(), (20, "I'll go, it's  2024!\n\n 漢字😀é́ don't\tstop'LL "), (21, "\u2028\u3000 x")]
+    found = encode(documents(spark, rows), RANKS, with_ids=True, with_offsets=True)
+    for r in found.collect():
+        text, at = library.decode_with_offsets(r["ids"])
+        firsts = [0, *itertools.accumulate(p["ids"] for p in r["offsets"])]
+        assert [at[i] for i in firsts[:-1]] == [p["begin"] for p in r["offsets"]]
+        assert firsts[-1] == len(r["ids"])
+        assert "".join(text[p["begin"] : p["end"]] for p in r["offsets"]) == text
+    back = decode(found, RANKS, offsets_col="offsets").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in back), key=str) == sorted(((d, t or "") for d, t in rows), key=str)
+    assert all(s["text"] == r["text"][s["begin"] : s["end"]] for r in back for s in r["slices"])
+    wrong = found.withColumn("offsets", F.slice("offsets", 2, 1000)).filter("doc_id = 20")
+    with pytest.raises(Exception, match="offsets name|characters for those"):
+        decode(wrong, RANKS, offsets_col="offsets").collect()
