@@ -248,7 +248,9 @@ def train_on(
     sample = rows.join(F.broadcast(chosen), ["id", "lang"]).select(
         "lang", "id", F.array_distinct(pieces).alias("pieces")
     )
-    found = sorted((r["lang"], r["id"], r["pieces"]) for r in sample.dropDuplicates(["id", "lang"]).collect())
+    # Of rows that repeat an id in a language one teaches, the same in every run.
+    once = sample.groupBy("id", "lang").agg(F.min("pieces").alias("pieces"))
+    found = sorted((r["lang"], r["id"], r["pieces"]) for r in once.collect())
     if not found:
         return None
     return train([pieces for _, _, pieces in found], [lang for lang, _, _ in found])
@@ -259,7 +261,7 @@ def _predict(model: bytes, familiar: bool):
         network = Network.from_bytes(model)
         for batch in batches:
             names, scores, shares = [], [], []
-            for texts in grouped((t.as_py() for t in batch.column("__text")), 250_000):
+            for texts in grouped((t.as_py() for t in batch.column("text")), 250_000):
                 label, score = predict(network, texts)
                 names += label
                 scores += score

@@ -51,6 +51,13 @@ def test_language_edges(spark, sf_dir):
     assert df.filter(held_out("doc_id")).filter("doc_id IS NULL").count() == 0
 
 
+def test_repeated_ids_teach_alike(spark):
+    rows = [(i % 40, f"{'der die das und' if i % 2 else 'the and of with'} {i}", "de" if i % 2 else "en") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, other = (train_on(d).to_bytes() for d in (df.repartition(7), df.orderBy(F.desc("text")).coalesce(1)))
+    assert one == other
+
+
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
 def test_windows_cover_every_byte(n):
     data = bytes((i * 7 + 1) % 251 + 1 for i in range(n))
