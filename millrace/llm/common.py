@@ -74,6 +74,15 @@ class Scratch:
             drop_scratch(self.spark, self.path(name))
 
 
+def with_sizes(rows: DataFrame, key: str, scratch: Scratch, name: str, **totals: Column) -> DataFrame:
+    """``rows`` with the totals of their group. Totals are combined before they are
+    shuffled, and joined from a stored copy, so that no task holds a group: a hot key's rows
+    stay where they are, or are split by AQE."""
+    sizes = rows.groupBy(key).agg(*[total.alias(column_) for column_, total in totals.items()])
+    sizes = scratch.save(sizes, name)
+    return rows.join(small_side(sizes, scratch.path(name)), key)
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """``df`` with columns ``c0``, ``c1``, …, which no name of an operator clashes with."""
     return df.select(*[column(c).alias(f"c{i}") for i, c in enumerate(df.columns)])

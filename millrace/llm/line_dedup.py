@@ -16,10 +16,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, give_back_memory, grouped, numbered, prepare_workers, small_side, table, text_or_empty
+from .common import (
+    Scratch,
+    column,
+    give_back_memory,
+    grouped,
+    numbered,
+    prepare_workers,
+    small_side,
+    table,
+    text_or_empty,
+    with_sizes,
+)
 from .shingles import mixed
 
 EDITS = 2
@@ -319,8 +330,8 @@ def near_lines(
         .agg(F.any_value("line").alias("line"), F.min(place).alias("least"))
     )
     texts = scratch.save(texts, "texts")
-    size = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    met = shared.withColumn("blocks", F.ceil(size / BLOCK_LINES)).withColumn(
+    met = with_sizes(shared, "key", scratch, "sizes", members=F.count(F.lit(1)))
+    met = met.withColumn("blocks", F.ceil(F.col("members") / BLOCK_LINES)).withColumn(
         "own", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - F.lit(1)))
@@ -341,15 +352,16 @@ def near_lines(
         .agg(F.sum("links").alias("links"), F.max("preceded").alias("preceded"))
     )
     links = scratch.save(links, "links")
-    scratch.drop("shared", "nodes", "texts")
-    judged = first.join(small_side(links, scratch.path("links")), "digest", "left")
+    scratch.drop("shared", "nodes", "texts", "sizes")
+    judged = scratch.save(first.join(small_side(links, scratch.path("links")), "digest", "left"), "judged")
     places = lines.select(
         "id", "key", "line_no",
         (F.col("digest") if short_exact else F.when(is_long, F.col("digest"))).alias("digest"),
         (~is_long & ~_says_something("line")).alias("blank"),
     )
     is_first = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("line_no") == F.col("least.line_no")) & (F.col("key") == F.col("least.key"))
-    return places.join(judged, "digest", "left").select(
+    # From a stored copy, so that AQE can split a line that most documents have.
+    return places.join(small_side(judged, scratch.path("judged")), "digest", "left").select(
         "id",
         "key",
         "line_no",

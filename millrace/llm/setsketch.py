@@ -19,10 +19,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, give_back_memory, grouped, prepare_workers, small_side, table, text_or_empty
+from .common import (
+    Scratch,
+    column,
+    give_back_memory,
+    grouped,
+    prepare_workers,
+    small_side,
+    table,
+    text_or_empty,
+    with_sizes,
+)
 from .graph import connected_components
 from .shingles import shingle_sets
 
@@ -313,10 +323,11 @@ def near_duplicates(
             for i in range(REGISTERS // BAND)
         ])
     )
-    met = classes.select("node", "n_shingles", bands.alias("group")).withColumn(
-        "members", F.count(F.lit(1)).over(Window.partitionBy("group"))
-    )
-    met = scratch.save(met.filter("members > 1"), "met")
+    met = classes.select("node", "n_shingles", bands.alias("group"))
+    sizes = met.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    sizes = scratch.save(sizes, "sizes")
+    # Joined from a stored copy: a hot bucket's members are split by AQE, or not shuffled.
+    met = scratch.save(met.join(small_side(sizes, scratch.path("sizes")), "group"), "met")
     sketch_of = classes.select("node", "n_shingles", "sketch")
     units = in_blocks(
         met.join(small_side(sketch_of, scratch.path("classes")), ["node", "n_shingles"]),
@@ -326,13 +337,10 @@ def near_duplicates(
         _close_sketches(threshold), "u long, v long"
     )
     clusters = connected_components(close, scratch, "close")
-    size = Window.partitionBy("component")
-    members = (
-        classes.select("node", "n_shingles", "text_key")
-        .join(clusters, "node")
-        .withColumn("members", F.count(F.lit(1)).over(size))
-        .withColumn("weight", F.sum("n_shingles").over(size))
-        .withColumnRenamed("component", "group")
+    clustered = classes.select("node", "n_shingles", "text_key").join(clusters, "node")
+    clustered = scratch.save(clustered.withColumnRenamed("component", "group"), "clustered")
+    members = with_sizes(
+        clustered, "group", scratch, "weights", members=F.count(F.lit(1)), weight=F.sum("n_shingles")
     )
     members = scratch.save(members, "members")
     texts = rows.join(
@@ -363,7 +371,7 @@ def near_duplicates(
         (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"),
         *(["text_key"] if with_key else []),
     )
-    scratch.drop("met", "members")
+    scratch.drop("met", "sizes", "clustered", "weights", "members")
     return result
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
+from millrace.llm.common import Scratch
 from millrace.llm.line_dedup import drop_repeated_lines, near_lines
 from millrace.llm.queries import QUERIES
 
@@ -84,3 +85,23 @@ def test_unlearned_languages_go_and_clean_documents_stay(spark, sf_dir, language
     left = corpus_pipeline.language_id(spark, clean.unionByName(odd), sf_dir)
     assert left.columns == source.columns
     assert sorted(r[0] for r in left.select("doc_id").collect()) == sorted(r[0] for r in clean.select("doc_id").collect())
+
+
+@pytest.mark.parametrize("name", ["op1_near_duplicates", "op2_line_dedup", "op4_token_counts", "op9_warc", "op12_source_divergence"])
+def test_no_task_holds_a_whole_group(spark, sf_dir, name, monkeypatch):
+    """No window over a key of the data, and no join that aggregates right before it
+    meets the rows of a group, as AQE cannot split either."""
+    plans = []
+    save = Scratch.save
+
+    def watched(self, df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(self, df, label)
+
+    monkeypatch.setattr(Scratch, "save", watched)
+    result = QUERIES[name](spark, sf_dir)
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    ranks = ("row_number", "sum(terms")  # ranks are limited map-side; bases are a row per transducer
+    for plan in plans:
+        windows = [line for line in plan.splitlines() if "Window [" in line]
+        assert all(any(r in w for r in ranks) for w in windows), windows
