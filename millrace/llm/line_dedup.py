@@ -291,17 +291,17 @@ def near_lines(
     text_col: str = "text",
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
-    short_exact: bool = False,
+    short_exact: bool = True,
 ) -> DataFrame:
     """One row per line of every text: ``id``, ``key`` (of the text), ``line_no`` from 0,
     ``copies`` (times its text occurs), ``links`` (other line texts within ``edits``
     edits) and ``kept``.
 
-    Of equal lines the first stays: that of the smallest id, NULL ids last, then of the
-    smallest line number. It goes too if a line within ``edits`` edits occurs earlier.
-    Lines of fewer than ``min_chars`` code points are near to nothing. With ``short_exact``
-    they are counted and judged by their exact repeats, but blank ones, which part
-    paragraphs, stay; without it all of them stay, with NULL counts. Rows that are equal
+    Of equal lines the first stays: that of the smallest id (of any type that has an
+    order), NULL ids last, then of the smallest line number. It goes too if a line within ``edits`` edits occurs earlier.
+    Lines of fewer than ``min_chars`` code points are near to nothing. They are counted and
+    judged by their exact repeats, but blank ones, which part paragraphs, stay; without
+    ``short_exact`` all of them stay, with NULL counts. Rows that are equal
     in id and text share their lines' fate. A NULL text is one empty line. An empty table
     gives an empty result. Other columns are not looked at.
     """
@@ -341,7 +341,7 @@ def near_lines(
     )
     units = units.join(small_side(texts, scratch.path("texts")), "node").select(
         "unit", "key", "own", "cross", "digest", "line", F.col("least.no_id"),
-        F.col("least.id").cast("long").alias("first_id"), F.col("least.line_no").alias("first_line"),
+        F.col("least.id").alias("first_id"), F.col("least.line_no").alias("first_line"),
         F.col("least.key").alias("first_key"),
     )
     links = (
@@ -377,7 +377,7 @@ def drop_repeated_lines(
     text_col: str = "text",
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
-    short_exact: bool = False,
+    short_exact: bool = True,
 ) -> DataFrame:
     """``df`` without the lines that ``near_lines`` does not keep. A document that loses
     all of its lines, or all but blank ones, goes; every other row, and every other
@@ -409,5 +409,5 @@ def drop_repeated_lines(
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_lines(table(spark, sf_dir, "documents"), short_exact=True)
+    found = near_lines(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id").drop("key")

@@ -17,7 +17,7 @@ import corpus_pipeline
 from millrace.llm import warc
 from millrace.llm.ann import Search, build_tree, nearest
 from millrace.llm.common import Scratch
-from millrace.llm.langid import UNDETERMINED, held_out, train_on, windows, with_language
+from millrace.llm.langid import UNDETERMINED, WIDTHS, Network, held_out, predict, train_on, windows, with_language
 from millrace.llm.queries import QUERIES
 from millrace.llm.secret_scan import ANYTHING, RULES, redact, trigram_query, with_spans
 
@@ -68,6 +68,68 @@ def test_windows_cover_every_byte(n):
     assert data[-50:] in seen
 
 
+def doubled(labels) -> Network:
+    """An untrained network in double precision, with biases."""
+    network, random = Network.fresh(labels, seed=3), np.random.default_rng(3)
+    network.embed = network.embed.astype(float)
+    network.banks = [b.astype(float) for b in network.banks]
+    network.biases = [random.normal(0, 0.3, b.shape) for b in network.biases]
+    network.out = network.out.astype(float)
+    network.out_bias = random.normal(0, 0.3, network.out_bias.shape)
+    return network
+
+
+def forward_by_force(network: Network, row: np.ndarray) -> np.ndarray:
+    """Probabilities of one window, one filter and one place at a time."""
+    hidden = []
+    for width, bank, bias in zip(WIDTHS, network.banks, network.biases):
+        for f in range(bank.shape[2]):
+            places = range(len(row) - width + 1)
+            best = max(sum(network.embed[row[i + k]] @ bank[k, :, f] for k in range(width)) for i in places)
+            hidden.append(max(best + bias[f], 0.0))
+    e = np.exp(np.array(hidden) @ network.out + network.out_bias)
+    return e / e.sum()
+
+
+def test_forward_pass_by_force():
+    network = doubled(["de", "en", "fr"])
+    texts = ["Ein kurzer Satz.", "no " * 200 + "more", "é" * 130]
+    for text in texts:
+        rows = windows(text.encode())
+        got = network.probabilities(network.pooled(rows)[0])
+        want = np.array([forward_by_force(network, row) for row in rows])
+        assert np.allclose(got, want, atol=1e-12)
+    labels, scores = predict(network, texts)
+    for text, label, score in zip(texts, labels, scores):
+        # the mean over the windows' logarithms
+        logs = np.mean([np.log(forward_by_force(network, r) + 1e-9) for r in windows(text.lower().encode())], axis=0)
+        p = np.exp(logs) / np.exp(logs).sum()
+        assert label == network.labels[p.argmax()] and abs(score - p.max()) < 1e-9
+
+
+def test_gradients_equal_differences():
+    network, random = doubled(["de", "en", "fr"]), np.random.default_rng(4)
+    rows = random.integers(97, 110, (5, 40)).astype(np.uint8)
+    labels = np.array([0, 1, 2, 1, 0])
+
+    def loss():
+        p = network.probabilities(network.pooled(rows)[0])
+        return -np.log(p[np.arange(len(rows)), labels]).mean()
+
+    for parameter, gradient in zip(network.parameters(), network.gradients(rows, labels)):
+        assert parameter.shape == gradient.shape
+        flat, told = parameter.reshape(-1), gradient.reshape(-1)
+        some = np.union1d(random.choice(len(flat), min(20, len(flat)), replace=False), np.abs(told).argmax())
+        for i in some:
+            held, step = flat[i], 1e-6
+            flat[i] = held + step
+            above = loss()
+            flat[i] = held - step
+            below = loss()
+            flat[i] = held
+            assert abs((above - below) / (2 * step) - told[i]) < 1e-6
+
+
 # -- nearest neighbours ----------------------------------------------------------------
 
 

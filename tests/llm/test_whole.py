@@ -36,16 +36,26 @@ def test_short_lines_are_counted_and_judged(spark):
         (1, f"brief\n\n{long}\nbrief\nbrieg"), (2, f"brief\n{long}!\n \n"), (3, "19 characters here."),
         (4, "19 characters here.\n19 characters here"), (5, None), (6, ""), (None, "brief\nowned"),
     ]
-    got = near_lines(documents(spark, rows), short_exact=True)
+    got = near_lines(documents(spark, rows))
     got = got.select("id", "line_no", "copies", "links", "kept").collect()
     assert sorted(map(tuple, got), key=str) == whole_lines_by_force(rows)
-    left = {r["doc_id"]: r["text"] for r in drop_repeated_lines(documents(spark, rows), short_exact=True).collect()}
+    left = {r["doc_id"]: r["text"] for r in drop_repeated_lines(documents(spark, rows)).collect()}
     # 2 has only blank lines left, which is none
     assert left == {
         1: f"brief\n\n{long}\nbrieg", 3: "19 characters here.", 4: "19 characters here", 5: None, 6: "", None: "owned",
     }
 
 
+def test_lines_of_documents_with_text_ids(spark):
+    line = "a line that is long enough to be near to others"
+    rows = [("b", f"{line}\nown"), ("a", f"{line}!"), ("ä", f"{line}\nbrief"), (None, line), ("10", "brief")]
+    got = near_lines(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert {(r["id"], r["line_no"]): (r["copies"], r["links"], r["kept"]) for r in got.collect()} == {
+        ("b", 0): (3, 1, False), ("b", 1): (1, 0, True), ("a", 0): (1, 1, True), ("ä", 0): (3, 1, False),
+        ("ä", 1): (2, 0, False), (None, 0): (3, 1, False), ("10", 0): (2, 0, True),
+    }
+
+
 def test_line_dedup_query_and_stage_judge_short_lines(spark, sf_dir):
     source = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = QUERIES["op2_line_dedup"](spark, sf_dir)
