@@ -19,7 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, give_back_memory, grouped, path_exists, prepare_workers, small_side, table, text_or_empty
+from .common import (
+    SMALL_BYTES,
+    Scratch,
+    column,
+    give_back_memory,
+    grouped,
+    path_exists,
+    prepare_workers,
+    small_side,
+    stored_bytes,
+    table,
+    text_or_empty,
+)
 from .merges import LONGEST, from_tokenizer_file
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -153,13 +165,20 @@ def count_tokens(
     version = tokenizer_digest(tokenizer_path)
     text = text_or_empty(text_col)
     digest = F.unhex(F.sha2(text, 256)).alias("digest")
-    texts = df.select(digest, text.alias("text"))
+    scratch = Scratch(spark, "token-counts")
+    texts, missing = df.select(digest, text.alias("text")), None
     if path_exists(spark, cache_path):
-        texts = texts.join(cached_counts(spark, cache_path, version), "digest", "left_anti")
+        # Digests are compared first: few misses, or none, leave the texts where they are.
+        missing = df.select(digest).distinct().join(cached_counts(spark, cache_path, version), "digest", "left_anti")
+        missing = scratch.save(missing, "missing")
+        if stored_bytes(spark, scratch.path("missing")) <= SMALL_BYTES:
+            texts, missing = texts.join(F.broadcast(missing), "digest", "left_semi"), None
+    once = texts.groupBy("digest").agg(F.any_value("text").alias("text"))
+    if missing is not None:
+        # Repeats of a text are combined before this join, so that no key of it is hot.
+        once = once.join(missing, "digest", "left_semi")
     (
-        texts.groupBy("digest")
-        .agg(F.any_value("text").alias("text"))
-        .mapInArrow(_count_batches(tokenizer_path), "digest binary, n_tokens long")
+        once.mapInArrow(_count_batches(tokenizer_path), "digest binary, n_tokens long")
         .select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
         .write.mode("append")
         .parquet(cache_path)
@@ -169,7 +188,6 @@ def count_tokens(
     )
     # From a stored copy both sides of the join are plain shuffles, which AQE splits where
     # one text has most rows.
-    scratch = Scratch(spark, "token-counts")
     counts = scratch.save(cached_counts(spark, cache_path, version), "counts")
     return rows.join(small_side(counts, scratch.path("counts")), "digest").select(
         F.col("id").alias(id_col),

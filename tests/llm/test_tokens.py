@@ -88,6 +88,17 @@ def test_the_second_call_encodes_nothing(spark, monkeypatch):
     assert sorted(map(tuple, first), key=str) == sorted(map(tuple, again), key=str)
 
 
+def test_many_misses_are_joined_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SMALL_BYTES", -1)
+    rows = edge_rows()
+    path = Scratch(spark, "test-cache").path("cache")
+    count_tokens(documents(spark, rows[:4]), BYTE_JSON, path).collect()
+    cold = count_tokens(documents(spark, rows), BYTE_JSON, Scratch(spark, "test-cache").path("cache")).collect()
+    warm = count_tokens(documents(spark, rows), BYTE_JSON, path).collect()
+    assert sorted(map(tuple, warm), key=str) == sorted(map(tuple, cold), key=str)
+    assert spark.read.parquet(path).count() == len({text or "" for _, text in rows})
+
+
 def _no_misses(batches):
     for batch in batches:
         assert batch.num_rows == 0, "a text was encoded that the cache holds"
