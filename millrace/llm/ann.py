@@ -1,8 +1,10 @@
 """Nearest neighbours with vantage-point trees, one per shard.
 
-Vectors are dealt to shards of bounded size by a hash of their id; each shard is one row
-of an index table, holding its tree in flat arrays. Queries travel in blocks of bounded
-size: every block meets every shard once, and gives its nearest of that shard.
+A coarse vantage-point tree, grown from a bounded sample, cuts space into cells; the
+vectors of a cell are dealt to shards of bounded size. Each shard is one row of an index
+table, holding its own tree in flat arrays. Every query is searched in its own cell first;
+the distance of the worst neighbour held then tells, by the triangle inequality, which
+other cells it has to travel to. A shard meets its queries in units of bounded size.
 """
 
 from __future__ import annotations
@@ -14,13 +16,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..runtime import settings
 from .common import Scratch, column, prepare_workers, table
 
 SHARD_VECTORS = 4096
 LEAF_VECTORS = 64
-QUERY_BLOCK = 1024
+#: The coarse tree has about this many cells at most, and is grown from a sample of about
+#: this many vectors (at most twice as many); all vectors are indexed and measured.
+MAX_CELLS, SAMPLE_VECTORS = 256, 4096
+#: Queries that go down a tree together, and about as many as one task takes to a shard.
+QUERY_BLOCK, UNIT_QUERIES = 1024, 65_536
+#: Relative rounding error that pruning allows for.
+SLACK = 1e-12
 #: Pruning factor: 1 is exact; a subtree is skipped if factor * its lower bound is
 #: above the distance of the worst neighbour held.
 FACTOR = 1.0
@@ -42,18 +51,26 @@ class Tree:
     bounds: np.ndarray
 
     def to_bytes(self) -> bytes:
-        out = pa.BufferOutputStream()
         parts = [self.ids, self.vectors.ravel(), self.start, self.stop, self.inner, self.outer, self.bounds.ravel()]
-        batch = pa.record_batch([pa.array([p]) for p in parts], names=[str(i) for i in range(7)])
-        with pa.ipc.new_stream(out, batch.schema) as writer:
-            writer.write_batch(batch)
-        return out.getvalue().to_pybytes()
+        return arrays_to_bytes(parts)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Tree:
-        batch = pa.ipc.open_stream(data).read_next_batch()
-        p = [c.values.to_numpy(zero_copy_only=False) for c in batch.columns]
-        return cls(p[0], p[1].reshape(len(p[0]), -1), *p[2:6], p[6].reshape(-1, 4))
+        p = arrays_from_bytes(data)
+        return cls(p[0], p[1].reshape(len(p[0]), -1).astype(float), *p[2:6], p[6].reshape(-1, 4))
+
+
+def arrays_to_bytes(arrays: list[np.ndarray]) -> bytes:
+    out = pa.BufferOutputStream()
+    batch = pa.record_batch([pa.array([a]) for a in arrays], names=[str(i) for i in range(len(arrays))])
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def arrays_from_bytes(data: bytes) -> list[np.ndarray]:
+    batch = pa.ipc.open_stream(data).read_next_batch()
+    return [c.values.to_numpy(zero_copy_only=False) for c in batch.columns]
 
 
 def distances(points: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -65,6 +82,7 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF_VECTORS) -
     """Splits at the median distance; equal distances may fall on both sides, which the
     closed bounds allow for."""
     order = np.argsort(ids, kind="stable")
+    kept, vectors = vectors, vectors.astype(float)
     nodes = []
 
     def grow(lo: int, hi: int) -> int:
@@ -88,15 +106,73 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF_VECTORS) -
         grow(0, len(ids))
     table_ = np.array(nodes, float).reshape(-1, 8)
     as_int = lambda c: table_[:, c].astype(np.int64)
-    return Tree(ids[order], vectors[order], as_int(0), as_int(1), as_int(2), as_int(3), table_[:, 4:])
+    return Tree(ids[order], kept[order], as_int(0), as_int(1), as_int(2), as_int(3), table_[:, 4:])
+
+
+class Cells:
+    """The coarse tree: cells are its leaves, and a cell's path the nodes above it, whose
+    vantage points its vectors are measured by."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        leaf = max(2, -(-len(sample) // cells))
+        tree = build_tree(np.arange(len(sample)), sample, leaf)
+        self.inner, self.outer, self.radius = tree.inner, tree.outer, tree.bounds[:, 1]
+        self.points = tree.vectors[tree.start].astype(float) if len(sample) else sample
+        self.paths: list[list[int]] = []
+        self.cell_of_node = np.zeros(max(1, len(self.inner)), np.int64)
+
+        def walk(node: int, path: list[int]) -> None:
+            if not len(self.inner) or self.inner[node] < 0:
+                self.cell_of_node[node] = len(self.paths)
+                self.paths.append(path)
+                return
+            walk(self.inner[node], [*path, node])
+            walk(self.outer[node], [*path, node])
+
+        walk(0, [])
+        self.depth = max(map(len, self.paths))
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """The cell of each vector."""
+        at = np.zeros(len(vectors), np.int64)
+        for _ in range(self.depth):
+            for node in np.unique(at).tolist():
+                if self.inner[node] >= 0:
+                    rows = np.flatnonzero(at == node)
+                    near = distances(vectors[rows], self.points[node]) <= self.radius[node]
+                    at[rows] = np.where(near, self.inner[node], self.outer[node])
+        return self.cell_of_node[at]
+
+    def ends(self, cell: int, vectors: np.ndarray) -> tuple[list[float], list[float]]:
+        """Least and greatest distance of vectors to each vantage point of the cell's path."""
+        far = [distances(vectors, self.points[node]) for node in self.paths[cell]]
+        return [float(d.min()) for d in far], [float(d.max()) for d in far]
+
+    def gaps(self, queries: np.ndarray, ends: dict[int, tuple[list[float], list[float]]]):
+        """For each cell that has vectors, how far away from each query they are at least."""
+        far: dict[int, np.ndarray] = {}
+        for cell, (low, high) in ends.items():
+            gap = np.zeros(len(queries))
+            for node, lo, hi in zip(self.paths[cell], low, high):
+                if node not in far:
+                    far[node] = distances(queries, self.points[node])
+                d = far[node]
+                least = np.maximum(lo - d, d - hi) - SLACK * (d + hi)
+                gap = np.fmax(gap, least)
+            yield cell, gap
 
 
 class Search:
-    """All queries of a block go down a tree together, each with its own bound."""
+    """All queries of a block go down a tree together, each with its own bound: ``bound``
+    is what it knows from elsewhere; neighbours beyond that are not looked for."""
 
-    def __init__(self, tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
+    def __init__(
+        self, tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float,
+        bound: np.ndarray | None = None,
+    ):
         self.tree, self.query_ids, self.queries, self.k, self.factor = tree, query_ids, queries, k, factor
         n = len(query_ids)
+        self.bound = np.full(n, np.inf) if bound is None else bound * (1 + SLACK)
         self.best = np.full((n, k), np.inf)
         self.best_id = np.full((n, k), np.iinfo(np.int64).max)
         self.best_at = np.zeros((n, k), np.int64)
@@ -122,7 +198,7 @@ class Search:
 
     def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query ids, neighbour ids and distances, summed component by component."""
-        hit = np.isfinite(self.best)
+        hit = np.isfinite(self.best) & (self.best <= self.bound[:, None])
         row = np.nonzero(hit)[0]
         square = (self.tree.vectors[self.best_at[hit]] - self.queries[row]) ** 2
         score = np.sqrt(np.cumsum(square, axis=1)[:, -1]) if len(row) else np.empty(0)
@@ -148,14 +224,18 @@ class Search:
             (tree.outer[node], gap_out, inner_first), (tree.inner[node], gap_in, ~inner_first),
         ):
             # a hair of slack, so that rounding never prunes a tie
-            near = chosen & (gap * self.factor <= self.best[rows, -1] * (1 + 1e-12))
+            most = np.minimum(self.best[rows, -1], self.bound[rows])
+            near = chosen & ((gap - SLACK * (most + d)) * self.factor <= most)
             if near.any():
                 self.run(child, rows[near])
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id``, ``vector`` (doubles) of the vectors that take part."""
-    vector = column(vector_col).cast("array<double>")
+    """``id``, ``vector`` of the vectors that take part: floats stay floats, any other
+    numbers become doubles."""
+    kind = df.select(column(vector_col)).schema[0].dataType
+    floats = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    vector = column(vector_col).cast("array<float>" if floats else "array<double>")
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     return df.select(column(id_col).cast("long").alias("id"), vector.alias("vector")).filter(
         F.col("id").isNotNull()
@@ -167,7 +247,7 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _matrix(column_: pa.Array) -> np.ndarray:
     n = len(column_)
-    return column_.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+    return column_.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.empty((0, 0))
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -186,51 +266,166 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _pack(make):
+def _placed(cells: Cells):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = cells.of(_matrix(batch.column("vector")).astype(float))
+                yield batch.append_column("cell", pa.array(found, pa.int32()))
+
+    return run
+
+
+def _place(vectors: DataFrame, cells: Cells) -> DataFrame:
+    """Vectors with their ``cell``, and a number to deal them out by. Rows that repeat an
+    id, or are equal, get numbers of their own; so the result must be stored to be used."""
+    numbered_ = vectors.withColumn("deal", F.xxhash64(F.monotonically_increasing_id()))
+    schema = T.StructType([*numbered_.schema, T.StructField("cell", T.IntegerType())])
+    return numbered_.mapInArrow(_placed(cells), schema)
+
+
+def _trees(cells: Cells):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_key(batches, "part"):
             vectors = _matrix(rows.column("vector").combine_chunks())
-            packed = make(rows.column("id").to_numpy(), vectors)
+            cell = rows.column("cell")[0].as_py()
+            low, high = cells.ends(cell, vectors.astype(float))
+            tree = build_tree(rows.column("id").to_numpy(), vectors).to_bytes()
             yield pa.RecordBatch.from_arrays(
-                [rows.column("part").slice(0, 1).combine_chunks(), pa.array([packed], pa.binary())],
-                ["part", "packed"],
-            )
+                [rows.column("part").slice(0, 1).combine_chunks(), pa.array([cell], pa.int32()),
+                 pa.array([tree], pa.binary()), pa.array([low], pa.list_(pa.float64())),
+                 pa.array([high], pa.list_(pa.float64()))],
+                ["part", "cell", "packed", "low", "high"],
+            )
 
     return run
 
 
-def _packed(vectors: DataFrame, parts: int, make) -> DataFrame:
-    """One row per part: about equal numbers of vectors, in one binary."""
-    dealt = vectors.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
-    return (
-        dealt.repartition("part").sortWithinPartitions("part", "id").mapInArrow(_pack(make), "part int, packed binary")
-    )
+INDEX = "part int, cell int, packed binary, low array<double>, high array<double>"
 
 
-def build_index(vectors: DataFrame, path: str, shards: int) -> DataFrame:
-    """Write the trees of all vectors (``id``, ``vector``) to ``path``: a row per shard."""
-    index = _packed(vectors, shards, lambda ids, v: build_tree(ids, v).to_bytes())
+@dataclass
+class Index:
+    """Trees of all vectors, a row per shard, and what is known of each cell that has any:
+    its first shard, its number of shards, and the ends of its distances (see ``Cells``)."""
+
+    trees: DataFrame
+    cells: Cells
+    shards: dict[int, tuple[int, int]]
+    ends: dict[int, tuple[list[float], list[float]]]
+
+
+def build_index(vectors: DataFrame, cells: Cells, path: str, shard: int) -> Index:
+    """Write the trees of stored, placed vectors to ``path``."""
+    spark = vectors.sparkSession
+    # No more rows than cells come back.
+    counts = {r["cell"]: r["count"] for r in vectors.groupBy("cell").count().collect()}
+    shards, first = {}, 0
+    for cell in sorted(counts):
+        shards[cell] = first, -(-counts[cell] // shard)
+        first += shards[cell][1]
+    known = spark.createDataFrame([(c, *s) for c, s in shards.items()], "cell int, first int, shards int")
+    dealt = vectors.join(F.broadcast(known), "cell").withColumn(
+        "part", (F.col("first") + F.pmod("deal", "shards")).cast("int")
+    )
+    dealt = dealt.select("part", "cell", "id", "vector")
+    index = dealt.repartition("part").sortWithinPartitions("part", "id").mapInArrow(_trees(cells), INDEX)
     index.write.mode("overwrite").parquet(path)
-    return vectors.sparkSession.read.schema("part int, packed binary").parquet(path)
+    trees = spark.read.schema(INDEX).parquet(path)
+    steps = range(cells.depth)
+    told = trees.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("trees"),
+        *[F.min(F.get("low", F.lit(i))).alias(f"low{i}") for i in steps],
+        *[F.max(F.get("high", F.lit(i))).alias(f"high{i}") for i in steps],
+    )
+    ends = {}
+    for r in told.collect():
+        path_ = range(len(cells.paths[r["cell"]]))
+        ends[r["cell"]] = [r[f"low{i}"] for i in path_], [r[f"high{i}"] for i in path_]
+    return Index(trees, cells, shards, ends)
+
+
+_ASKED = "cell int, first int, shards int, chunk int, packed binary"
+
+
+def _asks(index: Index, own: bool, factor: float):
+    """Queries by the cells they go to: their ``own``, or the others that may hold a nearer
+    neighbour than the worst one found there."""
+    cells, shards, ends = index.cells, index.shards, index.ends
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, home, chunk = (batch.column(c).to_numpy() for c in ("id", "cell", "chunk"))
+            bound = batch.column("bound").to_numpy()
+            vectors = _matrix(batch.column("vector"))
+            if own:
+                chosen = ((int(c), home == c) for c in np.unique(home) if c in shards)
+            else:
+                gaps = cells.gaps(vectors.astype(float), ends)
+                chosen = ((c, (home != c) & (gap * factor <= bound * (1 + SLACK))) for c, gap in gaps)
+            for cell, goes in chosen:
+                for number in np.unique(chunk[goes]).tolist():
+                    rows = np.flatnonzero(goes & (chunk == number))
+                    packed = arrays_to_bytes([ids[rows], vectors[rows].ravel(), bound[rows]])
+                    yield pa.RecordBatch.from_pydict(
+                        {"cell": pa.array([cell], pa.int32()), "first": pa.array([shards[cell][0]], pa.int32()),
+                         "shards": pa.array([shards[cell][1]], pa.int32()),
+                         "chunk": pa.array([number], pa.int32()), "packed": pa.array([packed], pa.binary())}
+                    )
+
+    return run
 
 
 def _search(k: int, factor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, Tree] | None = None
+        tree, held, size = None, [], 0
+
+        def searched() -> Iterator[pa.RecordBatch]:
+            if held:
+                ids, vectors, bound = (np.concatenate(p) for p in zip(*held))
+                queries = vectors.reshape(len(ids), -1).astype(float)
+                for at in range(0, len(ids), QUERY_BLOCK):
+                    some = slice(at, at + QUERY_BLOCK)
+                    search = Search(tree, ids[some], queries[some], k, factor, bound[some])
+                    search.run()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in search.found()], ["query_id", "id", "score"]
+                    )
+
         for batch in batches:
-            for shard, tree_bytes, block in zip(*(batch.column(i) for i in range(3))):
-                if held is None or held[0] != shard.as_py():
-                    held = shard.as_py(), Tree.from_bytes(tree_bytes.as_py())
-                queries = Tree.from_bytes(block.as_py())
-                search = Search(held[1], queries.ids, queries.vectors, k, factor)
-                search.run()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in search.found()], ["query_id", "id", "score"]
-                )
+            for is_query, packed in zip(batch.column("is_query"), batch.column("packed")):
+                if is_query.as_py():
+                    held.append(arrays_from_bytes(packed.as_py()))
+                    size += len(held[-1][0])
+                if held and (size >= QUERY_BLOCK or not is_query.as_py()):
+                    yield from searched()
+                    held, size = [], 0
+                if not is_query.as_py():
+                    tree = Tree.from_bytes(packed.as_py())
+        yield from searched()
 
     return run
 
 
+def _found(index: Index, queries: DataFrame, k: int, own: bool, factor: float) -> DataFrame:
+    """What the queries find in the cells they go to. A unit is a shard and a chunk of the
+    queries: the shard's tree comes first, then queries as they arrive."""
+    asks = queries.mapInArrow(_asks(index, own, factor), _ASKED)
+    met = asks.select("cell", "chunk").distinct()
+    trees = index.trees.select("part", "cell", "packed").join(met, "cell")
+    to_shards = F.explode(F.sequence("first", F.col("first") + F.col("shards") - 1))
+    units = trees.select("part", "chunk", F.lit(False).alias("is_query"), "packed").unionByName(
+        asks.select(to_shards.alias("part"), "chunk", F.lit(True).alias("is_query"), "packed")
+    )
+    return (
+        units.repartition("part", "chunk")
+        .sortWithinPartitions("part", "chunk", "is_query")
+        .mapInArrow(_search(k, factor), "query_id long, id long, score double")
+    )
+
+
 def nearest(
     df: DataFrame,
     queries: DataFrame,
@@ -239,7 +434,7 @@ def nearest(
     k: int = NEIGHBOURS,
     factor: float = FACTOR,
     shard: int = SHARD_VECTORS,
-    block: int = QUERY_BLOCK,
+    block: int = UNIT_QUERIES,
 ) -> DataFrame:
     """``query_id, rank, id, score``: the ``k`` nearest of every query in ``df``, by
     Euclidean distance in double precision, without the query's own id.
@@ -247,8 +442,9 @@ def nearest(
     Vectors that are NULL, zero or hold a NULL or a number that is not finite take no
     part, nor do rows with a NULL id. Fewer candidates give fewer rows; ties go to the
     smaller id, and rows that repeat an id are candidates each. Vectors of
-    different lengths, among those that take part, are an error. Empty tables give an empty result. With ``factor`` 1 the
-    result is exact; a larger one skips more.
+    different lengths, among those that take part, are an error. Empty tables give an empty
+    result. With ``factor`` 1 the result is exact; a larger one skips more. ``shard`` is the
+    number of vectors of a tree, ``block`` the number of queries that a task takes to it.
     """
     spark = df.sparkSession
     prepare_workers(spark)
@@ -259,29 +455,44 @@ def nearest(
     lengths = {n for _, *ends in told for n in ends if n is not None}
     if len(lengths) > 1:
         raise ValueError(f"vectors have different lengths, from {min(lengths)} to {max(lengths)}")
-    shards = max(1, -(-told[0][0] // shard))
-    trees = build_index(vectors, scratch.path("index"), shards)
-    blocks = scratch.save(
-        _packed(asked, max(1, -(-told[1][0] // block)), lambda ids, v: build_tree(ids, v, len(ids)).to_bytes()),
-        "blocks",
-    )
-    # Every block of queries goes to every shard.
-    to_shards = blocks.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("part"), F.col("packed").alias("queries")
-    )
-    pairs = trees.join(to_shards, "part").select("part", "packed", "queries")
-    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": 4}):
-        found = scratch.save(
-            pairs.mapInArrow(_search(k, factor), "query_id long, id long, score double"), "found"
-        )
+    cells = _coarse(vectors, told[0][0], shard)
+    placed = scratch.save(_place(vectors, cells), "vectors")
+    index = build_index(placed, cells, scratch.path("index"), shard)
+    scratch.drop("vectors")
+    chunks = max(1, -(-told[1][0] // block))
+    chunk = F.pmod("deal", F.lit(chunks)).cast("int").alias("chunk")
+    asked = scratch.save(_place(asked, cells).select("id", "vector", "cell", chunk), "queries")
     order = Window.partitionBy("query_id").orderBy("score", "id")
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": QUERY_BLOCK}):
+        unbound = asked.withColumn("bound", F.lit(float("inf")))
+        near = scratch.save(_found(index, unbound, k, True, factor), "near")
+        worst = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k)
+        worst = worst.select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
+        bound = asked.join(worst, "id", "left").select(
+            *asked.columns, F.coalesce("bound", F.lit(float("inf"))).alias("bound")
+        )
+        bound = scratch.save(bound, "bound")
+        far = scratch.save(_found(index, bound, k, False, factor), "far")
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        near.unionByName(far)
+        .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "id", "score")
     )
 
 
+def _coarse(vectors: DataFrame, count: int, shard: int) -> Cells:
+    """Cells for about one shard each, as far as ``MAX_CELLS`` allows. The result of an exact
+    search does not depend on the sample."""
+    cells = min(MAX_CELLS, max(1, -(-count // shard)))
+    if cells == 1:
+        return Cells(np.empty((0, 0)), 1)
+    one_in = max(1, count // SAMPLE_VECTORS)
+    some = vectors.filter(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(one_in)) == 0)
+    rows = some.select("vector").limit(2 * SAMPLE_VECTORS).collect()
+    return Cells(np.array([r["vector"] for r in rows], float), min(cells, max(1, len(rows))))
+
+
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
     found = nearest(embeddings, embeddings.filter("vec_id % 100 = 0"))

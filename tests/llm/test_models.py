@@ -14,8 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import warc
-from millrace.llm.ann import Search, build_tree, nearest
+from millrace.llm import ann, warc
+from millrace.llm.ann import Cells, Search, build_tree, nearest
 from millrace.llm.common import Scratch
 from millrace.llm.langid import UNDETERMINED, WIDTHS, Network, held_out, predict, train_on, windows, with_language
 from millrace.llm.queries import QUERIES
@@ -189,6 +189,56 @@ def test_vectors_of_different_lengths_are_an_error(spark, lengths):
     assert nearest(odd, odd).count() == 2
 
 
+def test_cells_bound_distances_from_below():
+    _, v = vectors()
+    cells = Cells(v[::7], 12)
+    at = cells.of(v)
+    assert len(set(at.tolist())) == len(cells.paths) > 8
+    ends = {c: cells.ends(c, v[at == c]) for c in set(at.tolist())}
+    queries, skipped = v[:50] * 1.1, 0
+    for c, gap in cells.gaps(queries, ends):
+        least = np.sqrt(((queries[:, None] - v[at == c][None]) ** 2).sum(axis=2)).min(axis=1)
+        assert (gap <= least).all()
+        skipped += (gap > 0).sum()
+    assert skipped
+
+
+def test_clustered_vectors_are_searched_in_few_cells(spark, monkeypatch):
+    """Exact, also for ties, copies and a vector that a third of all rows hold; and most
+    queries stay in the cells of their cluster."""
+    random = np.random.default_rng(8)
+    v = np.repeat(random.normal(size=(8, 6)) * 100, 120, axis=0) + random.normal(size=(960, 6))
+    v = np.concatenate((v, np.tile(v[:1], (480, 1)))).astype(np.float32).astype(float)
+    ids = np.arange(len(v))
+    df = spark.createDataFrame([(int(i), [float(x) for x in r]) for i, r in zip(ids, v)], "vec_id long, embedding array<float>")
+    sent = []
+    real = ann._asks
+
+    def seen(index, own, factor):
+        if not own:
+            sent.append((index, factor))
+        return real(index, own, factor)
+
+    monkeypatch.setattr(ann, "_asks", seen)
+    got = {}
+    for r in sorted(nearest(df, df.filter("vec_id % 40 = 0"), shard=64, block=8).collect()):
+        got.setdefault(r["query_id"], []).append(r["id"])
+    asked = ids[ids % 40 == 0]
+    assert got == {int(q): by_force(ids, v, q, 10) for q in asked}
+    ((index, factor),) = sent
+    assert max(n for _, n in index.shards.values()) > 4  # the copies' cell is dealt out
+    bound = np.array([np.sqrt(((v[by_force(ids, v, q, 10)[-1]] - v[q]) ** 2).sum()) for q in asked])
+    goes = sum((gap <= bound).sum() for _, gap in index.cells.gaps(v[asked], index.ends))
+    assert goes < len(asked) * len(index.ends) / 2
+
+
+def test_rows_that_repeat_an_id_are_candidates_each(spark):
+    rows = [(1, [0.0, 1.0])] * 40 + [(2, [0.0, 2.0]), (3, [9.0, 9.0]), (4, [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest(df, df.filter("vec_id = 2"), k=42, shard=8).orderBy("rank").collect()
+    assert [r["id"] for r in found] == [1] * 40 + [4, 3]
+
+
 def test_recall_of_a_relaxed_search(spark, sf_dir):
     """Factor 6 is documented to find most neighbours of the given vectors."""
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
