@@ -110,55 +110,39 @@ def build_tree(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF_VECTORS) -
 
 
 class Cells:
-    """The coarse tree: cells are its leaves, and a cell's path the nodes above it, whose
-    vantage points its vectors are measured by."""
+    """The coarse tree: cells are its leaves. The first point of every node, leaves included,
+    is one that the vectors of all cells are measured by."""
 
     def __init__(self, sample: np.ndarray, cells: int):
         leaf = max(2, -(-len(sample) // cells))
         tree = build_tree(np.arange(len(sample)), sample, leaf)
         self.inner, self.outer, self.radius = tree.inner, tree.outer, tree.bounds[:, 1]
         self.points = tree.vectors[tree.start].astype(float) if len(sample) else sample
-        self.paths: list[list[int]] = []
-        self.cell_of_node = np.zeros(max(1, len(self.inner)), np.int64)
-
-        def walk(node: int, path: list[int]) -> None:
-            if not len(self.inner) or self.inner[node] < 0:
-                self.cell_of_node[node] = len(self.paths)
-                self.paths.append(path)
-                return
-            walk(self.inner[node], [*path, node])
-            walk(self.outer[node], [*path, node])
-
-        walk(0, [])
-        self.depth = max(map(len, self.paths))
+        leaves = self.inner < 0
+        self.count = max(1, int(leaves.sum()))
+        self.cell_of_node = np.maximum(np.cumsum(leaves) - 1, 0) if len(leaves) else np.zeros(1, np.int64)
 
     def of(self, vectors: np.ndarray) -> np.ndarray:
         """The cell of each vector."""
         at = np.zeros(len(vectors), np.int64)
-        for _ in range(self.depth):
-            for node in np.unique(at).tolist():
-                if self.inner[node] >= 0:
-                    rows = np.flatnonzero(at == node)
-                    near = distances(vectors[rows], self.points[node]) <= self.radius[node]
-                    at[rows] = np.where(near, self.inner[node], self.outer[node])
+        for node in np.flatnonzero(self.inner >= 0).tolist():  # parents come before children
+            rows = np.flatnonzero(at == node)
+            near = distances(vectors[rows], self.points[node]) <= self.radius[node]
+            at[rows] = np.where(near, self.inner[node], self.outer[node])
         return self.cell_of_node[at]
 
-    def ends(self, cell: int, vectors: np.ndarray) -> tuple[list[float], list[float]]:
-        """Least and greatest distance of vectors to each vantage point of the cell's path."""
-        far = [distances(vectors, self.points[node]) for node in self.paths[cell]]
+    def ends(self, vectors: np.ndarray) -> tuple[list[float], list[float]]:
+        """Least and greatest distance of vectors to each point."""
+        far = [distances(vectors, point) for point in self.points]
         return [float(d.min()) for d in far], [float(d.max()) for d in far]
 
     def gaps(self, queries: np.ndarray, ends: dict[int, tuple[list[float], list[float]]]):
         """For each cell that has vectors, how far away from each query they are at least."""
-        far: dict[int, np.ndarray] = {}
+        far = [distances(queries, point) for point in self.points]
         for cell, (low, high) in ends.items():
             gap = np.zeros(len(queries))
-            for node, lo, hi in zip(self.paths[cell], low, high):
-                if node not in far:
-                    far[node] = distances(queries, self.points[node])
-                d = far[node]
-                least = np.maximum(lo - d, d - hi) - SLACK * (d + hi)
-                gap = np.fmax(gap, least)
+            for d, lo, hi in zip(far, low, high):
+                gap = np.fmax(gap, np.maximum(lo - d, d - hi) - SLACK * (d + hi))
             yield cell, gap
 
 
@@ -289,7 +273,7 @@ def _trees(cells: Cells):
         for rows in _by_key(batches, "part"):
             vectors = _matrix(rows.column("vector").combine_chunks())
             cell = rows.column("cell")[0].as_py()
-            low, high = cells.ends(cell, vectors.astype(float))
+            low, high = cells.ends(vectors.astype(float))
             tree = build_tree(rows.column("id").to_numpy(), vectors).to_bytes()
             yield pa.RecordBatch.from_arrays(
                 [rows.column("part").slice(0, 1).combine_chunks(), pa.array([cell], pa.int32()),
@@ -332,16 +316,13 @@ def build_index(vectors: DataFrame, cells: Cells, path: str, shard: int) -> Inde
     index = dealt.repartition("part").sortWithinPartitions("part", "id").mapInArrow(_trees(cells), INDEX)
     index.write.mode("overwrite").parquet(path)
     trees = spark.read.schema(INDEX).parquet(path)
-    steps = range(cells.depth)
-    told = trees.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("trees"),
-        *[F.min(F.get("low", F.lit(i))).alias(f"low{i}") for i in steps],
-        *[F.max(F.get("high", F.lit(i))).alias(f"high{i}") for i in steps],
-    )
-    ends = {}
-    for r in told.collect():
-        path_ = range(len(cells.paths[r["cell"]]))
-        ends[r["cell"]] = [r[f"low{i}"] for i in path_], [r[f"high{i}"] for i in path_]
+    # As many rows as cells times points come back; both are bounded by the coarse tree.
+    told = trees.select("cell", F.posexplode(F.arrays_zip("low", "high")).alias("point", "end"))
+    told = told.groupBy("cell", "point").agg(F.min("end.low").alias("low"), F.max("end.high").alias("high"))
+    ends = {cell: ([], []) for cell in shards}
+    for r in sorted(told.collect(), key=lambda r: r["point"]):
+        ends[r["cell"]][0].append(r["low"])
+        ends[r["cell"]][1].append(r["high"])
     return Index(trees, cells, shards, ends)
 
 

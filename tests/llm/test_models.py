@@ -193,8 +193,8 @@ def test_cells_bound_distances_from_below():
     _, v = vectors()
     cells = Cells(v[::7], 12)
     at = cells.of(v)
-    assert len(set(at.tolist())) == len(cells.paths) > 8
-    ends = {c: cells.ends(c, v[at == c]) for c in set(at.tolist())}
+    assert len(set(at.tolist())) == cells.count > 8
+    ends = {c: cells.ends(v[at == c]) for c in set(at.tolist())}
     queries, skipped = v[:50] * 1.1, 0
     for c, gap in cells.gaps(queries, ends):
         least = np.sqrt(((queries[:, None] - v[at == c][None]) ** 2).sum(axis=2)).min(axis=1)
