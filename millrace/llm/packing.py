@@ -23,13 +23,16 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, column, give_back_memory, grouped, prepare_workers, table, text_or_empty
 from .merges import LONGEST, from_tokenizer_file
+from .shingles import mixed
 
 CAPACITY = 2048
 SEPARATOR = 0
 #: Pieces of one length that one task numbers.
 NUMBERED_TOGETHER = 50_000
-#: Entries a worker's cache may hold before it starts anew.
+#: Words a worker's cache may hold before it starts anew.
 CACHE_ENTRIES = 150_000
+#: Characters that are encoded together.
+TOGETHER = 250_000
 
 Pattern = tuple[tuple[int, int], ...]
 
@@ -168,16 +171,69 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]
 # -- tokens ----------------------------------------------------------------------------
 
 
+class WordTable:
+    """Ids of words of up to 16 bytes. A word's bytes are its key, so no two words share an
+    entry; slots are filled as in ``PairMerger``."""
+
+    def __init__(self, entries: int):
+        self._empty(max(10, (2 * entries).bit_length()))
+        self.ids, self.begin, self.count = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _empty(self, bits: int) -> None:
+        self.bits = bits
+        self.keys, self.at = np.zeros((2, 1 << bits), "<u8"), np.full(1 << bits, -1, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mixed(keys[0] + mixed(keys[1])) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each word's entry, or -1."""
+        slot, todo = self._slots(keys), np.arange(keys.shape[1])
+        out = np.full(len(todo), -1, np.int32)
+        while len(todo):
+            at = self.at[slot]
+            same = (self.keys[0][slot] == keys[0][todo]) & (self.keys[1][slot] == keys[1][todo]) & (at >= 0)
+            out[todo[same]] = at[same]
+            on = ~same & (at >= 0)
+            todo, slot = todo[on], (slot[on] + 1) & (len(self.at) - 1)
+        return out
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Enter different words that are not held yet."""
+        number = len(self.count) + np.arange(keys.shape[1], dtype=np.int32)
+        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(counts) - counts))
+        self.count = np.concatenate((self.count, counts))
+        self.ids = np.concatenate((self.ids, ids.astype("<u4")))
+        if 2 * len(self.count) > len(self.at):
+            held = self.at >= 0
+            number = np.concatenate((self.at[held], number))
+            keys = np.concatenate((self.keys[:, held], keys), axis=1)
+            self._empty((2 * len(self.count)).bit_length())
+        slot, todo = self._slots(keys), np.arange(keys.shape[1])
+        while len(todo):
+            _, first = np.unique(slot, return_index=True)
+            first = first[self.at[slot[first]] < 0]
+            self.at[slot[first]] = number[todo[first]]
+            self.keys[:, slot[first]] = keys[:, todo[first]]
+            left = np.ones(len(todo), bool)
+            left[first] = False
+            todo, slot = todo[left], (slot[left] + 1) & (len(self.at) - 1)
+
+
 class WordEncoder:
     """Ids of a tokenizer that drops white space and never merges across it, as bytes
-    (little-endian, four per id), remembering those of chunks between spaces.
+    (little-endian, four per id), remembering those of words.
 
-    A chunk that is letters of Latin-1 followed by ASCII punctuation is its lower-case
-    word and its punctuation, merged many at a time by the file's own merge table; any
-    other chunk goes to the tokenizer as it is.
+    A chunk between spaces that is letters of Latin-1 followed by ASCII punctuation is its
+    lower-case word and its punctuation, merged many at a time by the file's own merge
+    table. Short ones are cut and looked up in arrays, without a string each. Any other chunk
+    goes to the tokenizer as it is.
     """
 
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+    #: Kinds of bytes: between chunks, letter, punctuation, any other.
+    BETWEEN, LETTER, MARK, OTHER = range(4)
+    LONGEST_WORD = 16
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -188,7 +244,17 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.entries = entries
         self.merger, self.first, self.last = from_tokenizer_file(path)
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.kinds, self.lower = np.full(256, self.OTHER, np.uint8), np.arange(256, dtype=np.uint8)
+        for byte in range(33, 127):
+            if not chr(byte).isdigit():
+                self.kinds[byte] = self.LETTER if chr(byte).isalpha() else self.MARK
+            self.lower[byte] = ord(chr(byte).lower())
+        self.kinds[list(b" \n")] = self.BETWEEN
+        self.forget()
+
+    def forget(self) -> None:
+        self.table = WordTable(self.entries)
+        self.chunks: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> None:
         parts, words, other = [], {}, []
@@ -210,15 +276,88 @@ class WordEncoder:
         for chunk, encoding in zip(other, found):
             self.chunks[chunk] = np.array(encoding.ids, "<u4").tobytes()
 
-    def forget(self) -> None:
-        self.chunks = {"": b""}
+    def _known(self, low: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Entries of the words at these places of lower-case bytes; new ones are merged."""
+        eights = np.ndarray((len(low) - 7,), "<u8", low, strides=(1,))
+        masks = np.array([(1 << 8 * n) - 1 for n in range(9)], "<u8")
+        keys = np.stack([
+            eights[begin + 8 * half] & masks[np.clip(size - 8 * half, 0, 8)] for half in range(2)
+        ])
+        entry = self.table.find(keys)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            pairs = np.ascontiguousarray(keys[:, missing].T).view([("a", "<u8"), ("b", "<u8")]).ravel()
+            order = np.lexsort((pairs["b"], pairs["a"]))
+            pairs = pairs[order]
+            fresh = np.concatenate(([True], pairs[1:] != pairs[:-1]))
+            once = missing[order[fresh]]
+            data = low.tobytes()
+            words = [data[a : a + n] for a, n in zip(begin[once].tolist(), size[once].tolist())]
+            self.table.add(keys[:, once], *self.merger.merge(words, self.first, self.last))
+            entry[missing] = self.table.find(keys[:, missing])
+        return entry
+
+    @staticmethod
+    def _parts(text: str) -> Iterator[str]:
+        """A long text, cut at spaces where there are any."""
+        at = 0
+        while len(text) - at > 2 * TOGETHER and (stop := text.find(" ", at + TOGETHER)) >= 0:
+            yield text[at:stop]
+            at = stop + 1
+        yield text[at:]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > self.entries:
+        if len(self.table.count) > self.entries or len(self.chunks) > self.entries // 3:
             self.forget()
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        self._learn([c for c in dict.fromkeys(chain.from_iterable(split)) if c not in self.chunks])
-        return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
+        if len(texts) == 1:
+            return [b"".join(self._encode([part])[0] for part in self._parts(texts[0]))]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        coded = [t.encode("utf-8") for t in texts]
+        data = np.frombuffer(b" ".join([b"", *coded, b" " * 32]), np.uint8)
+        kinds, low = self.kinds[data], self.lower[data]
+        lead = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF, which but two are letters
+        lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+        kinds[lead] = kinds[lead + 1] = self.LETTER
+        capital = lead[data[lead + 1] < 0x9F] + 1
+        low[capital] |= 0x20
+        # Runs of one kind; a chunk is the runs between two that part chunks.
+        begin = np.concatenate(([0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1))
+        kind, size = kinds[begin], np.diff(begin, append=len(data))
+        first = np.concatenate(([False], kind[:-1] == self.BETWEEN))
+        inside = kind != self.BETWEEN
+        begin, kind, size, first = begin[inside], kind[inside], size[inside], first[inside]
+        if not len(begin):
+            return [b""] * len(texts)
+        heads = np.flatnonzero(first)
+        odd = (kind == self.OTHER) | (first != (kind == self.LETTER)) | (size > self.LONGEST_WORD)
+        odd_chunk = np.logical_or.reduceat(odd, heads)
+        odd = odd_chunk[np.cumsum(first) - 1]
+        whole = heads[odd_chunk]  # the first run stands for all of such a chunk
+        stops = (begin + size)[np.append(heads[1:], len(begin))[odd_chunk] - 1]
+        start, count = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+        plain = np.flatnonzero(~odd)
+        entry = self._known(low, begin[plain], size[plain])
+        start[plain], count[plain] = self.table.begin[entry], self.table.count[entry]
+        ids = self.table.ids
+        if len(whole):
+            held = data.tobytes()
+            chunks = [held[a:b].decode("utf-8") for a, b in zip(begin[whole].tolist(), stops.tolist())]
+            different = dict.fromkeys(chunks)
+            self._learn([c for c in different if c not in self.chunks])
+            coded_chunks = [self.chunks[c] for c in different]
+            sizes = np.fromiter(map(len, coded_chunks), np.int64, len(coded_chunks)) // 4
+            number = dict(zip(different, range(len(different))))
+            number = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+            start[whole], count[whole] = (len(ids) + np.cumsum(sizes) - sizes)[number], sizes[number]
+            ids = np.concatenate((ids, np.frombuffer(b"".join(coded_chunks), "<u4")))
+        before = np.cumsum(count) - count
+        out = ids[np.repeat(start - before, count) + np.arange(count.sum())].tobytes()
+        # Where each text ends among the runs, and so among the ids.
+        ends = np.searchsorted(begin, np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) + 1))
+        ends = (4 * np.append(before, count.sum())[ends]).tolist()
+        return [out[a:b] for a, b in zip([0, *ends], ends)]
 
 
 @cache
@@ -233,7 +372,7 @@ def _cut(path: str, capacity: int, with_ids: bool):
         encoder = word_encoder(path)
         for batch in batches:
             row, piece, length, crc, ids = [], [], [], [], []
-            texts = grouped(t.as_py() for t in batch.column("text"))
+            texts = grouped((t.as_py() for t in batch.column("text")), TOGETHER)
             encoded = chain.from_iterable(map(encoder.encode_all, texts))
             for i, tokens in enumerate(encoded):
                 tokens += end

@@ -115,6 +115,24 @@ def test_words_equal_the_librarys():
     assert encoder.encode_all(texts) == want
 
 
+def test_short_words_are_encoded_without_a_string_each():
+    library, encoder = Tokenizer.from_file(WORD_JSON), WordEncoder(WORD_JSON, entries=40)
+    ids = lambda t: np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    plain = ["One tablespoon, of SALT;", "", "Où est l\n\nécole? ÀÖÞß ÿÿ", "a" * 16 + "!!!", " \n ", "--x"[2:]]
+    assert encoder.encode_all(plain) == [ids(t) for t in plain]
+    assert encoder.chunks == {}
+    parts = ["×", "÷a", "a÷", "É", "e\u0301", "Ÿ", "a" * 17, "b" * 60, "é" * 8, "é" * 9, "!" * 17, "it's", "'s", "x1",
+             "!a", "a!b", "\t", "a\tb", "a\r", "\u3000", "Σ", "İ", "\0", "a\0", "日本", "<|endoftext|>", "\n", "ab", "AB."]
+    draw = random.Random(5)
+    for n in (1, 2, 3, 50, 400):
+        texts = [draw.choice(["", " ", "\n"]).join(draw.choices(parts, k=draw.randrange(9))) for _ in range(n)]
+        assert encoder.encode_all(texts) == [ids(t) for t in texts]
+    words = [f"{a}{b}{c}" for a in "bcdfghjklm" for b in "aeiouyéàü" for c in "bcdfghjklm"]
+    long = [" ".join(words), " ".join(words * 200), "x" * 600_000 + " y", "é " * 300_000]
+    for text in long:  # the table grows; long texts are cut at spaces
+        assert encoder.encode_all([text]) == [ids(text)]
+
+
 def packed_well(rows, docs, capacity=CAPACITY, encoded=None):
     library = Tokenizer.from_file(WORD_JSON)
     want = Counter()
