@@ -35,18 +35,20 @@ def text_or_empty(name: str) -> Column:
 #: Bytes of an Arrow batch, unless the session says otherwise: a batch is held by the
 #: executor and by its Python worker at once, and a text can be long.
 BATCH_BYTES = 8 << 20
+#: The same for operators that only go through texts, which gain nothing from more at once.
+TEXT_BATCH_BYTES = 2 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def prepare_workers(spark: SparkSession) -> None:
+def prepare_workers(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Batches of bounded size, and Python workers that find this package where the driver
     found it; on a cluster that installs it, or ships it with the job, they do anyway."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
-    if in_bytes(spark, _BATCH_SETTING) > BATCH_BYTES:
-        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    if in_bytes(spark, _BATCH_SETTING) > batch_bytes:
+        spark.conf.set(_BATCH_SETTING, f"{batch_bytes}b")
 
 
 def give_back_memory() -> None:

@@ -17,7 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, give_back_memory, grouped, prepare_workers, table, text_or_empty
+from .common import (
+    TEXT_BATCH_BYTES,
+    column,
+    give_back_memory,
+    grouped,
+    prepare_workers,
+    table,
+    text_or_empty,
+)
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 12, 6
@@ -308,7 +316,7 @@ def with_language(
     A NULL text, one without a letter, or any text if there is no network is ``und``
     with score (and familiarity) 0. Columns of these names are replaced.
     """
-    prepare_workers(df.sparkSession)
+    prepare_workers(df.sparkSession, TEXT_BATCH_BYTES)
     added = ["lang_pred", "score", *(["familiarity"] if familiar else [])]
     keep = [c for c in (df.columns if keep is None else keep) if c not in added]
     # Numbered inside, so that no column of the table has a name that is used here.

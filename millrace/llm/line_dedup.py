@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
+    TEXT_BATCH_BYTES,
     Scratch,
     column,
     give_back_memory,
@@ -306,7 +307,7 @@ def near_lines(
     gives an empty result. Other columns are not looked at.
     """
     spark = df.sparkSession
-    prepare_workers(spark)
+    prepare_workers(spark, TEXT_BATCH_BYTES)
     scratch = Scratch(spark, "lines")
     lines = _lines(df, id_col, text_col).withColumns(
         {"node": F.xxhash64("line"), "digest": F.unhex(F.md5("line"))}

@@ -21,7 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, column, give_back_memory, grouped, prepare_workers, table, text_or_empty
+from .common import (
+    TEXT_BATCH_BYTES,
+    Scratch,
+    column,
+    give_back_memory,
+    grouped,
+    prepare_workers,
+    table,
+    text_or_empty,
+)
 from .merges import LONGEST, from_tokenizer_file
 from .shingles import mixed
 
@@ -476,7 +485,7 @@ def pack(
     are not looked at.
     """
     spark = df.sparkSession
-    prepare_workers(spark)
+    prepare_workers(spark, TEXT_BATCH_BYTES)
     pieces = Scratch(spark, "packing").save(
         token_pieces(df, tokenizer_path, id_col, text_col, capacity, with_ids), "pieces"
     )

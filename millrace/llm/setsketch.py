@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
+    TEXT_BATCH_BYTES,
     Scratch,
     column,
     give_back_memory,
@@ -296,7 +297,7 @@ def near_duplicates(
     whole numbers.
     """
     spark = df.sparkSession
-    prepare_workers(spark)
+    prepare_workers(spark, TEXT_BATCH_BYTES)
     scratch = Scratch(spark, "near-duplicates")
     text = text_or_empty(text_col)
     rows = df.select(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from millrace.llm.common import BATCH_BYTES, Scratch, grouped, path_exists, prepare_workers, small_side
+from millrace.llm.packing import pack
 from millrace.runtime import in_bytes, settings
 
 SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -15,6 +18,14 @@ def test_batches_are_bounded_and_never_made_larger(spark):
             assert in_bytes(spark, SETTING) == want
 
 
+def test_text_operators_take_smaller_batches(spark):
+    with settings(spark, {SETTING: "32m"}):
+        pack(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"))
+        rows = spark.range(0, 100, 1, 1).selectExpr("id", "repeat('x', 200000) AS text")
+        sizes = rows.mapInArrow(lambda batches: (b.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+        assert max(r["n"] for r in sizes.collect()) <= 3 << 20
+
+
 def test_only_small_tables_are_marked_for_broadcast(spark, monkeypatch):
     scratch = Scratch(spark, "test-common")
     df = scratch.save(spark.range(1000), "t")
